@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import etl, sales
+from ..operators import etl, payload, sales
 from ..schema import FACT_COLUMNS, RAW_COLUMNS
 from ..sources.tables import raw_lines
 from ..sources.warehouse import fact_table
@@ -173,6 +173,155 @@ def q_channel_payment_mix(spark, sf_dir):
     return sales.channel_payment_mix(_fact(spark, sf_dir))
 
 
+# ====================================================================== payload
+_REV = "CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue"
+_AOV = "round_even(CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DOUBLE) / count(DISTINCT order_id) * 100, 0) / 100"
+_KPI_SELECT = f"""
+SELECT CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+       count(DISTINCT order_id) AS total_orders,
+       count(*) AS total_records_analyzed,
+       {_AOV} AS avg_order_value,
+       round_even(100.0 * avg(is_returned) * 100, 0) / 100 AS return_rate_pct,
+       count(DISTINCT customer_id) AS unique_customers
+FROM fact"""
+_WEEKDAYS = "SELECT dayname(DATE '2024-01-01' + CAST(i AS INTEGER)) AS day, i + 1 AS day_index FROM range(7) t(i)"
+
+
+def _money_label_sql(v: str) -> str:
+    return (f"CASE WHEN {v} >= 1000000 THEN printf('$%.2fM', round(CAST({v} AS DOUBLE) / 1000000.0 * 100, 0) / 100)"
+            f" WHEN {v} >= 1000 THEN printf('$%.1fK', round(CAST({v} AS DOUBLE) / 1000.0 * 10, 0) / 10)"
+            f" ELSE printf('$%.0f', round(CAST({v} AS DOUBLE) * 1, 0) / 1) END")
+
+
+@register("kpi_summary", O.on_fact(_KPI_SELECT))
+def q_kpi_summary(spark, sf_dir):
+    return payload.kpi_summary(_fact(spark, sf_dir))
+
+
+@register("monthly_trend", O.on_fact(
+    f"SELECT order_month AS month, {_REV} FROM fact WHERE order_month IS NOT NULL GROUP BY order_month"))
+def q_monthly_trend(spark, sf_dir):
+    return payload.monthly_trend(_fact(spark, sf_dir))
+
+
+@register("region_category_revenue", O.on_fact(
+    f"SELECT region, category, {_REV} FROM fact WHERE region IS NOT NULL AND category IS NOT NULL "
+    "GROUP BY region, category"))
+def q_region_category_revenue(spark, sf_dir):
+    return payload.region_category_revenue(_fact(spark, sf_dir))
+
+
+@register("region_drill_one", O.on_fact(
+    f"SELECT region, category, {_REV} FROM fact WHERE category IS NOT NULL "
+    "AND region = (SELECT min(region) FROM fact WHERE category IS NOT NULL) GROUP BY region, category"))
+def q_region_drill_one(spark, sf_dir):
+    return payload.region_drill_one(_fact(spark, sf_dir))
+
+
+@register("region_list", O.on_fact(
+    "SELECT region, region = min(region) OVER () AS is_default "
+    "FROM (SELECT DISTINCT region FROM fact WHERE region IS NOT NULL) r"))
+def q_region_list(spark, sf_dir):
+    return payload.region_list(_fact(spark, sf_dir))
+
+
+@register("top_skus_overall", O.on_fact(f"""
+SELECT lpad(CAST(row_number() OVER (ORDER BY revenue DESC, category, sku) AS VARCHAR), 2, '0') AS rank,
+       sku, category, revenue
+FROM (SELECT category, sku, {_REV} FROM fact
+      WHERE category IS NOT NULL AND sku IS NOT NULL GROUP BY category, sku) s
+ORDER BY revenue DESC, category, sku LIMIT 10"""))
+def q_top_skus_overall(spark, sf_dir):
+    return payload.top_skus_overall(_fact(spark, sf_dir))
+
+
+@register("channel_mix", O.on_fact(
+    f"SELECT channel, {_REV} FROM fact WHERE channel IS NOT NULL GROUP BY channel"))
+def q_channel_mix(spark, sf_dir):
+    return payload.channel_mix(_fact(spark, sf_dir))
+
+
+@register("region_totals", O.on_fact(
+    f"SELECT region, {_REV} FROM fact WHERE region IS NOT NULL GROUP BY region"))
+def q_region_totals(spark, sf_dir):
+    return payload.region_totals(_fact(spark, sf_dir))
+
+
+@register("day_of_week_revenue", O.on_fact(f"""
+SELECT w.day, w.day_index, coalesce(d.revenue, 0.0) AS revenue
+FROM ({_WEEKDAYS}) w
+LEFT JOIN (SELECT day_of_week AS day, {_REV} FROM fact WHERE day_of_week IS NOT NULL
+           GROUP BY day_of_week) d ON w.day = d.day"""))
+def q_day_of_week_revenue(spark, sf_dir):
+    return payload.day_of_week_revenue(_fact(spark, sf_dir))
+
+
+@register("dashboard_payload")
+def q_dashboard_payload(spark, sf_dir):
+    return payload.dashboard_payload(_fact(spark, sf_dir))
+
+
+@register("payload_series", O.on_fact(f"""
+SELECT 'kpi' AS series, CAST(pos AS BIGINT) AS pos, label, CAST(NULL AS VARCHAR) AS sub_label, value
+FROM (SELECT * FROM (SELECT 0 AS pos, 'total_revenue' AS label, total_revenue AS value FROM k
+       UNION ALL SELECT 1, 'total_orders', CAST(total_orders AS DOUBLE) FROM k
+       UNION ALL SELECT 2, 'total_records_analyzed', CAST(total_records_analyzed AS DOUBLE) FROM k
+       UNION ALL SELECT 3, 'avg_order_value', avg_order_value FROM k
+       UNION ALL SELECT 4, 'return_rate_pct', return_rate_pct FROM k
+       UNION ALL SELECT 5, 'unique_customers', CAST(unique_customers AS DOUBLE) FROM k) x) kk
+UNION ALL
+SELECT 'monthly_trend', row_number() OVER (ORDER BY order_month) - 1, order_month, NULL, revenue
+FROM (SELECT order_month, {_REV} FROM fact WHERE order_month IS NOT NULL GROUP BY order_month) m
+UNION ALL
+SELECT 'region_drill',
+       (dense_rank() OVER (ORDER BY region) - 1) * 1000
+         + row_number() OVER (PARTITION BY region ORDER BY revenue DESC, category) - 1,
+       region, category, revenue
+FROM (SELECT region, category, {_REV} FROM fact WHERE region IS NOT NULL AND category IS NOT NULL
+      GROUP BY region, category) rc
+UNION ALL
+SELECT 'top_skus', pos, sku, category, revenue FROM (
+  SELECT row_number() OVER (ORDER BY revenue DESC, category, sku) - 1 AS pos, sku, category, revenue
+  FROM (SELECT category, sku, {_REV} FROM fact WHERE category IS NOT NULL AND sku IS NOT NULL
+        GROUP BY category, sku) s) t WHERE pos < 10
+UNION ALL
+SELECT 'channel_mix', row_number() OVER (ORDER BY channel) - 1, channel, NULL, revenue
+FROM (SELECT channel, {_REV} FROM fact WHERE channel IS NOT NULL GROUP BY channel) c
+UNION ALL
+SELECT 'region_totals', row_number() OVER (ORDER BY revenue DESC, region) - 1, region, NULL, revenue
+FROM (SELECT region, {_REV} FROM fact WHERE region IS NOT NULL GROUP BY region) r
+UNION ALL
+SELECT 'day_of_week', w.day_index - 1, w.day, NULL, coalesce(d.revenue, 0.0)
+FROM ({_WEEKDAYS}) w
+LEFT JOIN (SELECT day_of_week AS day, {_REV} FROM fact WHERE day_of_week IS NOT NULL
+           GROUP BY day_of_week) d ON w.day = d.day
+UNION ALL
+SELECT 'manual_reporting_time_reduction_pct', 0, NULL, NULL, 60.0""",
+    extra_ctes=f"k AS ({_KPI_SELECT})"))
+def q_payload_series(spark, sf_dir):
+    return payload.payload_series(payload.dashboard_payload(_fact(spark, sf_dir)))
+
+
+@register("kpi_board", O.on_fact(f"""
+SELECT CAST(position AS BIGINT) AS position, label, value FROM (
+  SELECT 1 AS position, 'Total Net Revenue' AS label, {_money_label_sql("total_revenue")} AS value FROM k
+  UNION ALL SELECT 2, 'Transactions Analyzed', format('{{:,}}', total_records_analyzed) || '+' FROM k
+  UNION ALL SELECT 3, 'Avg Order Value', printf('$%.2f', avg_order_value) FROM k
+  UNION ALL SELECT 4, 'Unique Customers', format('{{:,}}', unique_customers) FROM k
+  UNION ALL SELECT 5, 'Manual Reporting Time Cut', '60%' FROM k) t""",
+    extra_ctes=f"k AS ({_KPI_SELECT})"))
+def q_kpi_board(spark, sf_dir):
+    return payload.kpi_board(_fact(spark, sf_dir))
+
+
+@register("money_label", O.on_fact(f"""
+SELECT category, sku, revenue AS amount, {_money_label_sql("revenue")} AS label
+FROM (SELECT category, sku, {_REV} FROM fact WHERE category IS NOT NULL AND sku IS NOT NULL
+      GROUP BY category, sku) s"""))
+def q_money_label(spark, sf_dir):
+    return payload.money_labels(_fact(spark, sf_dir))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw export -> clean fact -> monthly revenue with MoM growth, all in one plan."""
     return sales.monthly_revenue_mom(etl.clean_fact(raw_lines(spark, sf_dir)))
