@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .money import half_away_round
+from .money import half_away_round, rint_round
 
 
 def thousands(x: Column) -> Column:
@@ -27,10 +27,10 @@ def money_label(v: Column) -> Column:
 
 
 def percent_label(fraction: Column, digits: int = 2) -> Column:
-    """Python ``f"{x:.2%}"``: 0.0259 -> ``2.59%``."""
-    return F.format_string(f"%.{digits}f%%", half_away_round(fraction.cast("double") * F.lit(100.0), digits))
+    """Python ``f"{x:.2%}"``: 0.0259 -> ``2.59%`` (half-even, like Python's float formatting)."""
+    return F.format_string(f"%.{digits}f%%", rint_round(fraction.cast("double") * F.lit(100.0), digits))
 
 
 def dollars_label(v: Column) -> Column:
-    """Python ``f"${x:,.0f}"``: 1234567.8 -> ``$1,234,568``."""
-    return F.concat(F.lit("$"), F.format_number(half_away_round(v, 0), 0))
+    """Python ``f"${x:,.0f}"``: 1234567.8 -> ``$1,234,568`` (half-even on the exact value)."""
+    return F.concat(F.lit("$"), F.format_number(F.rint(v.cast("double")), 0))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.formatting import money_label, thousands
 from ..functions.money import MONEY, money_sum, rint_round
+from ..plans.physical import one_row
 from ..schema import DEFAULT_TIME_CUT_PCT, DEFAULT_TOP_OVERALL, PAYLOAD_SCHEMA, WEEKDAYS
 
 
@@ -141,13 +142,6 @@ def _series(fact: DataFrame) -> DataFrame:
     return g.withColumn("_set", set_name)
 
 
-def _one_row(frames: dict[str, DataFrame]) -> DataFrame:
-    """Stack one-row frames (one column each) and fold them into a single row."""
-    parts = [df.select(F.col(df.columns[0]).alias(name)) for name, df in frames.items()]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return stacked.agg(*[F.first(n, ignorenulls=True).alias(n) for n in frames])
-
-
 def _array_sorted(df: DataFrame, sort_key: list[Column], fields: list[str]) -> DataFrame:
     """One row: array<struct<fields>> ordered by ``sort_key`` (ascending, total order)."""
     keyed = F.struct(*[k.alias(f"_k{i}") for i, k in enumerate(sort_key)],
@@ -199,7 +193,7 @@ def payload_struct(fact: DataFrame, time_cut_pct: int = DEFAULT_TIME_CUT_PCT,
                        F.coalesce(F.col("revenue"), F.lit(0).cast(MONEY)).alias("revenue")))
     day_arr = _array_sorted(days, [F.col("day_index")], ["day", "revenue"])
 
-    row = _one_row({
+    row = one_row({
         "kpi": kpi,
         "monthly_trend": monthly,
         "region_drill": region_drill,

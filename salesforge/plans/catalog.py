@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import etl, payload, sales
+from ..functions.hashing import cumulative_thresholds
+from ..operators import etl, payload, quality, sales
+from ..schema import DEFAULT_DRAW_SEED, DEFECT_REASONS, HIGH_SEVERITY, MEDIUM_SEVERITY
 from ..schema import FACT_COLUMNS, RAW_COLUMNS
 from ..sources.tables import raw_lines
 from ..sources.warehouse import fact_table
@@ -322,6 +324,150 @@ def q_money_label(spark, sf_dir):
     return payload.money_labels(_fact(spark, sf_dir))
 
 
+# ====================================================================== quality report
+def _reason_case(u: str) -> str:
+    bounds = cumulative_thresholds([w for _, w in DEFECT_REASONS])
+    whens = " ".join(f"WHEN {u} < CAST({b!r} AS DOUBLE) THEN '{name}'"
+                     for (name, _), b in zip(DEFECT_REASONS[:-1], bounds[:-1]))
+    return f"CASE {whens} ELSE '{DEFECT_REASONS[-1][0]}' END"
+
+
+def _in(values):
+    return ", ".join(f"'{v}'" for v in values)
+
+
+_U = (f"CAST(('0x' || substr(md5('{DEFAULT_DRAW_SEED}:' || concat_ws('|', order_id, customer_id, "
+      "order_date, sku)), 1, 8))::UBIGINT AS DOUBLE) / 4294967296.0")
+_ENRICHED = f"""
+drawn AS (SELECT *, {_reason_case(_U)} AS defect_reason FROM fact WHERE is_returned = 1),
+enriched AS (
+  SELECT *, quantity AS adjustment_qty, net_revenue AS adjustment_value,
+         CASE WHEN defect_reason IN ({_in(HIGH_SEVERITY)}) THEN 'High'
+              WHEN defect_reason IN ({_in(MEDIUM_SEVERITY)}) THEN 'Medium' ELSE 'Low' END AS severity
+  FROM drawn)"""
+_PARETO = """
+pareto AS (
+  SELECT row_number() OVER (ORDER BY orders DESC, defect_reason) AS rank, defect_reason, orders,
+         adjustment_value, pct_of_total,
+         round_even(sum(pct_of_total) OVER (ORDER BY orders DESC, defect_reason
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 10, 0) / 10 AS cumulative_pct
+  FROM (SELECT *, round_even(CAST(orders AS DOUBLE) / sum(orders) OVER () * 100.0 * 10, 0) / 10 AS pct_of_total
+        FROM (SELECT defect_reason, count(order_id) AS orders,
+                     CAST(sum(CAST(adjustment_value AS DECIMAL(18,2))) AS DOUBLE) AS adjustment_value
+              FROM enriched GROUP BY defect_reason) g) p)"""
+
+
+def _rate_sql(key: str) -> str:
+    return (f"SELECT {key}, count(*) AS orders, CAST(sum(is_returned) AS BIGINT) AS returns, "
+            f"round_even(avg(is_returned) * 100.0 * 100, 0) / 100 AS defect_rate_pct "
+            f"FROM fact WHERE {key} IS NOT NULL GROUP BY {key}")
+
+
+def _top_reason_sql(key: str) -> str:
+    return (f"SELECT {key}, defect_reason AS top_defect_reason FROM ("
+            f"SELECT {key}, defect_reason, row_number() OVER (PARTITION BY {key} "
+            f"ORDER BY n DESC, defect_reason) AS rk FROM (SELECT {key}, defect_reason, count(*) AS n "
+            f"FROM enriched WHERE {key} IS NOT NULL GROUP BY {key}, defect_reason) c) t WHERE rk = 1")
+
+
+def _report_sql(key: str) -> str:
+    return O.on_fact(f"""
+SELECT r.{key}, orders, returns, defect_rate_pct, top_defect_reason,
+       (defect_rate_pct - min(defect_rate_pct) OVER ())
+         / nullif(max(defect_rate_pct) OVER () - min(defect_rate_pct) OVER (), 0) AS rate_scale
+FROM ({_rate_sql(key)}) r LEFT JOIN ({_top_reason_sql(key)}) t ON r.{key} = t.{key}""", _ENRICHED)
+
+
+@register("returned_lines", O.on_fact(f"SELECT {O.FACT_COLS} FROM fact WHERE is_returned = 1"))
+def q_returned_lines(spark, sf_dir):
+    return quality.returned_lines(_fact(spark, sf_dir))
+
+
+@register("weighted_choice", O.on_fact(
+    "SELECT order_id, customer_id, order_date, sku, defect_reason FROM enriched", _ENRICHED))
+def q_weighted_choice(spark, sf_dir):
+    return (quality.draw_defect_reason(quality.returned_lines(_fact(spark, sf_dir)))
+                   .select("order_id", "customer_id", "order_date", "sku", "defect_reason"))
+
+
+@register("defect_enriched", O.on_fact(
+    f"SELECT {O.FACT_COLS}, defect_reason, adjustment_qty, adjustment_value, severity FROM enriched",
+    _ENRICHED))
+def q_defect_enriched(spark, sf_dir):
+    return quality.defect_enriched(_fact(spark, sf_dir))
+
+
+@register("defect_severity", O.on_fact(
+    "SELECT order_id, customer_id, order_date, sku, defect_reason, severity FROM enriched", _ENRICHED))
+def q_defect_severity(spark, sf_dir):
+    return (quality.defect_enriched(_fact(spark, sf_dir))
+                   .select("order_id", "customer_id", "order_date", "sku", "defect_reason", "severity"))
+
+
+@register("defect_pareto", O.on_fact("SELECT * FROM pareto", _ENRICHED + "," + _PARETO))
+def q_defect_pareto(spark, sf_dir):
+    return quality.defect_pareto(quality.defect_enriched(_fact(spark, sf_dir)))
+
+
+@register("defect_rate_by_category", O.on_fact(_rate_sql("category")))
+def q_defect_rate_by_category(spark, sf_dir):
+    return quality.defect_rate_by(_fact(spark, sf_dir), "category")
+
+
+@register("defect_rate_by_region", O.on_fact(_rate_sql("region")))
+def q_defect_rate_by_region(spark, sf_dir):
+    return quality.defect_rate_by(_fact(spark, sf_dir), "region")
+
+
+@register("top_defect_reason_by_category", O.on_fact(_top_reason_sql("category"), _ENRICHED))
+def q_top_defect_reason_by_category(spark, sf_dir):
+    return quality.top_defect_reason_by(quality.defect_enriched(_fact(spark, sf_dir)), "category")
+
+
+@register("top_defect_reason_by_region", O.on_fact(_top_reason_sql("region"), _ENRICHED))
+def q_top_defect_reason_by_region(spark, sf_dir):
+    return quality.top_defect_reason_by(quality.defect_enriched(_fact(spark, sf_dir)), "region")
+
+
+@register("report_by_category", _report_sql("category"))
+def q_report_by_category(spark, sf_dir):
+    f = _fact(spark, sf_dir)
+    return quality.report_by(f, quality.defect_enriched(f), "category")
+
+
+@register("report_by_region", _report_sql("region"))
+def q_report_by_region(spark, sf_dir):
+    f = _fact(spark, sf_dir)
+    return quality.report_by(f, quality.defect_enriched(f), "region")
+
+
+@register("report_adjustment_log", O.on_fact("""
+SELECT order_id, order_date, region, category, sku, defect_reason, severity, adjustment_qty,
+       adjustment_value, severity = 'High' AS is_high
+FROM enriched ORDER BY order_date DESC, order_id, sku LIMIT 500""", _ENRICHED))
+def q_report_adjustment_log(spark, sf_dir):
+    return quality.adjustment_log(quality.defect_enriched(_fact(spark, sf_dir)))
+
+
+@register("report_summary", O.on_fact("""
+SELECT CAST(position AS BIGINT) AS position, label, value FROM (
+  SELECT 1 AS position, 'Total Orders' AS label, format('{:,}', (SELECT count(*) FROM fact)) AS value
+  UNION ALL SELECT 2, 'Total Returns / Adjustments', format('{:,}', (SELECT count(*) FROM enriched))
+  UNION ALL SELECT 3, 'Overall Return Rate',
+    printf('%.2f%%', round_even(CAST((SELECT count(*) FROM enriched) AS DOUBLE)
+                                / (SELECT count(*) FROM fact) * 100.0 * 100, 0) / 100)
+  UNION ALL SELECT 4, 'Total Adjustment Value ($)',
+    '$' || format('{:,}', CAST(round_even((SELECT coalesce(CAST(sum(CAST(adjustment_value AS DECIMAL(18,2)))
+                                          AS DOUBLE), 0.0) FROM enriched), 0) AS BIGINT))
+  UNION ALL SELECT 5, '#1 Root Cause', (SELECT defect_reason FROM pareto WHERE rank = 1)
+  UNION ALL SELECT 6, '#1 Root Cause Share of Returns',
+    (SELECT CAST(pct_of_total AS VARCHAR) || '%' FROM pareto WHERE rank = 1)) t""",
+    _ENRICHED + "," + _PARETO))
+def q_report_summary(spark, sf_dir):
+    f = _fact(spark, sf_dir)
+    return quality.report_summary(f, quality.defect_enriched(f))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw export -> clean fact -> monthly revenue with MoM growth, all in one plan."""
     return sales.monthly_revenue_mom(etl.clean_fact(raw_lines(spark, sf_dir)))

@@ -6,6 +6,8 @@ built, and each one touches a small aggregate only.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,3 +40,15 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
     n = small.count()
     return F.broadcast(small) if n <= max_rows else small
+
+
+def one_row(frames: dict[str, DataFrame]) -> DataFrame:
+    """Fold several one-row, one-column frames into a single row without a join.
+
+    The frames are stacked with ``unionByName`` (each fills only its own column)
+    and collapsed by a global aggregate that keeps the one non-null value per
+    column.  Works for any column type, nested ones included.
+    """
+    parts = [df.select(F.col(df.columns[0]).alias(name)) for name, df in frames.items()]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.agg(*[F.first(n, ignorenulls=True).alias(n) for n in frames])
