@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import add_time_dimensions
 from ..functions.money import rint_round
-from ..plans.physical import bounded_broadcast
+from ..plans.physical import bounded_broadcast, one_row
+from ..plans.quantiles import cumulative_counts, value_histogram
 from ..schema import FACT_COLUMNS, INGEST_ORDER, LINE_KEY, RAW_COLUMNS
 
 
@@ -53,20 +54,14 @@ def category_median_price(df: DataFrame, group: str = "category",
                           value: str = "unit_price") -> DataFrame:
     """Exact median of valid prices per group (pandas ``groupby().median()``).
 
-    Distributed and skew-safe: rows are first reduced to a (group, value) ->
-    count histogram (partial aggregation before the shuffle), so the window
-    that finds the middle positions runs over distinct values, not rows.
-    Even counts average the two middle values as (a + b) / 2.
+    Distributed and skew-safe: rows are reduced to a (group, value) -> count
+    histogram (partial aggregation before the shuffle) and the middle
+    positions are found from distributed cumulative counts, so no task ever
+    holds a whole group.  Even counts average the two middle values (a + b) / 2.
     """
     valid = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()
                      & ~invalid_price(value))
-    hist = valid.groupBy(group, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    w_run = (Window.partitionBy(group).orderBy(value)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_all = Window.partitionBy(group)
-    pos = (hist.withColumn("_end", F.sum("_cnt").over(w_run))
-               .withColumn("_n", F.sum("_cnt").over(w_all))
-               .withColumn("_start", F.col("_end") - F.col("_cnt")))
+    pos = cumulative_counts(value_histogram(valid, value, [group]), value, [group])
     lo = F.floor((F.col("_n") - 1) / 2)
     hi = F.floor(F.col("_n") / 2)
 
@@ -142,7 +137,8 @@ def quality_metrics(raw: DataFrame, deduped: DataFrame) -> DataFrame:
         F.count_if(F.col("quantity").isNull()).alias("null_quantity_rows"),
         F.count_if(F.col("is_returned").isNull()).alias("null_is_returned_rows"),
     )
-    return (r.crossJoin(d)
+    both = one_row({"r": r.select(F.struct("*")), "d": d.select(F.struct("*"))}).select("r.*", "d.*")
+    return (both
              .withColumn("duplicates_removed", F.col("raw_rows") - F.col("clean_rows"))
              .select("raw_rows", "duplicates_removed", "invalid_price_rows",
                      "invalid_quantity_rows", "missing_region_rows", "clean_rows",

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.hashing import cumulative_thresholds
-from ..operators import etl, payload, quality, sales
+from ..operators import etl, payload, quality, sales, smoothing, stats
 from ..schema import DEFAULT_DRAW_SEED, DEFECT_REASONS, HIGH_SEVERITY, MEDIUM_SEVERITY
 from ..schema import FACT_COLUMNS, RAW_COLUMNS
 from ..sources.tables import raw_lines
@@ -468,6 +468,120 @@ def q_report_summary(spark, sf_dir):
     return quality.report_summary(f, quality.defect_enriched(f))
 
 
+# ====================================================================== statistics
+def _r6(expr: str) -> str:
+    return O.half_away(expr, 6)
+
+
+def _q7_sql(src: str, value: str, probs: dict[str, float], group: str | None = None) -> str:
+    """Type-7 quantiles by row positions (oracle only; the Spark side is distributed)."""
+    part = f"PARTITION BY {group}" if group else ""
+    gsel = f"{group}, " if group else ""
+    gby = f"GROUP BY {group}" if group else ""
+    cols = []
+    for name, p in probs.items():
+        idx = f"((n - 1) * CAST({p!r} AS DOUBLE))"
+        lo = f"max(CASE WHEN pos = floor({idx}) THEN v END)"
+        hi = f"max(CASE WHEN pos = ceil({idx}) THEN v END)"
+        h = f"max({idx} - floor({idx}))"
+        cols.append(f"CASE WHEN {h} = 0 OR {lo} = {hi} THEN {lo} "
+                    f"ELSE (1.0 - {h}) * {lo} + {h} * {hi} END AS {name}")
+    return (f"SELECT {gsel}max(n) AS n, {', '.join(cols)} FROM ("
+            f"SELECT {gsel}{value} AS v, row_number() OVER ({part} ORDER BY {value}) - 1 AS pos, "
+            f"count(*) OVER ({part}) AS n FROM {src}) r {gby}")
+
+
+_FENCES = f"""
+logv AS (SELECT *, log10(net_revenue) AS y FROM fact WHERE net_revenue > 0),
+qs AS ({_q7_sql("logv", "y", {"q1": 0.25, "med": 0.5, "q3": 0.75}, "category")}),
+fences AS (SELECT category, n, q1, med, q3, q1 - 1.5 * (q3 - q1) AS lo_fence,
+                  q3 + 1.5 * (q3 - q1) AS hi_fence FROM qs)"""
+
+
+@register("order_value_stats", O.on_fact(f"""
+SELECT m.n AS n, {_r6("m.s / m.n")} AS mean_order_value, {_r6("q.median")} AS median_order_value,
+       {_r6("m.sd")} AS sd_order_value, {_r6("q.p90")} AS p90, {_r6("q.p99")} AS p99
+FROM (SELECT count(*) AS n, CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DOUBLE) AS s,
+             stddev_samp(net_revenue) AS sd FROM fact) m,
+     ({_q7_sql("fact", "net_revenue", {"median": 0.5, "p90": 0.9, "p99": 0.99})}) q"""))
+def q_order_value_stats(spark, sf_dir):
+    return stats.order_value_stats(_fact(spark, sf_dir))
+
+
+@register("boxplot_by_category", O.on_fact(f"""
+SELECT f.category, f.n, a.lower_whisker, {_r6("pow(10.0, f.q1)")} AS q1,
+       {_r6("pow(10.0, f.med)")} AS median, {_r6("pow(10.0, f.q3)")} AS q3, a.upper_whisker,
+       a.n_outliers, coalesce(d.n_dropped, 0) AS n_dropped
+FROM fences f
+LEFT JOIN (SELECT l.category,
+                  min(CASE WHEN y >= lo_fence AND y <= hi_fence THEN net_revenue END) AS lower_whisker,
+                  max(CASE WHEN y >= lo_fence AND y <= hi_fence THEN net_revenue END) AS upper_whisker,
+                  count_if(NOT (y >= lo_fence AND y <= hi_fence)) AS n_outliers
+           FROM logv l LEFT JOIN fences f2 ON l.category = f2.category GROUP BY l.category) a
+  ON f.category = a.category
+LEFT JOIN (SELECT category, count(*) AS n_dropped FROM fact
+           WHERE NOT coalesce(net_revenue > 0, false) GROUP BY category) d ON f.category = d.category""",
+    _FENCES))
+def q_boxplot_by_category(spark, sf_dir):
+    return stats.boxplot_by_category(_fact(spark, sf_dir))
+
+
+@register("boxplot_outliers", O.on_fact("""
+SELECT order_id, customer_id, order_date, sku, l.category, net_revenue,
+       CASE WHEN y < lo_fence THEN 'low' ELSE 'high' END AS side
+FROM logv l JOIN fences f ON l.category = f.category
+WHERE y < lo_fence OR y > hi_fence""", _FENCES))
+def q_boxplot_outliers(spark, sf_dir):
+    return stats.boxplot_outliers(_fact(spark, sf_dir))
+
+
+_WEEKLY = """
+SELECT order_date - CAST(dayofweek(order_date) AS INTEGER) AS week,
+       CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM fact GROUP BY order_date - CAST(dayofweek(order_date) AS INTEGER)"""
+
+
+@register("weekly_revenue", O.on_fact(_WEEKLY))
+def q_weekly_revenue(spark, sf_dir):
+    return stats.weekly_revenue(_fact(spark, sf_dir))
+
+
+@register("loess_trend", O.on_fact("""
+SELECT point, x0 AS x, DATE '1970-01-01' + CAST(floor(x0) AS INTEGER) AS week,
+       round(CAST((t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2))
+             / nullif(s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2), 0)
+             AS DOUBLE) * 100, 0) / 100 AS fitted_revenue
+FROM (SELECT point, x0, sum(wt) AS s0, sum(wt * dx) AS s1, sum(wt * (dx * dx)) AS s2,
+             sum(wt * ((dx * dx) * dx)) AS s3, sum(wt * ((dx * dx) * (dx * dx))) AS s4,
+             sum(wt * y) AS t0, sum(wt * y * dx) AS t1, sum(wt * y * (dx * dx)) AS t2
+      FROM (SELECT point, x0, y, (x - x0) / h AS dx,
+                   CASE WHEN abs((x - x0) / h) < 1
+                        THEN (1.0 - abs((x - x0) / h) * abs((x - x0) / h) * abs((x - x0) / h))
+                           * (1.0 - abs((x - x0) / h) * abs((x - x0) / h) * abs((x - x0) / h))
+                           * (1.0 - abs((x - x0) / h) * abs((x - x0) / h) * abs((x - x0) / h))
+                        ELSE 0.0 END AS wt
+            FROM (SELECT d.*, max(CASE WHEN r = q THEN dd END) OVER (PARTITION BY point) AS h
+                  FROM (SELECT g.point, g.x0, g.q, p.x, p.y, abs(p.x - g.x0) AS dd,
+                               row_number() OVER (PARTITION BY g.point ORDER BY abs(p.x - g.x0), p.x) AS r
+                        FROM grid g, pts p) d) e) w
+      GROUP BY point, x0) m""", f"""
+wk AS ({_WEEKLY}),
+pts AS (SELECT CAST(week - DATE '1970-01-01' AS DOUBLE) AS x, revenue AS y FROM wk),
+info AS (SELECT min(x) AS xmin, max(x) AS xmax, count(*) AS n FROM pts),
+grid AS (SELECT CAST(i AS BIGINT) AS point,
+                xmin + CAST(i AS DOUBLE) * ((xmax - xmin) / CAST(79 AS DOUBLE)) AS x0,
+                least(CAST(floor(n * CAST(0.15 AS DOUBLE) + CAST(0.00001 AS DOUBLE)) AS BIGINT), n) AS q
+         FROM info, range(80) t(i))"""))
+def q_loess_trend(spark, sf_dir):
+    return smoothing.loess_trend(stats.weekly_revenue(_fact(spark, sf_dir)))
+
+
+@register("return_rate_by_discount", O.on_fact(
+    "SELECT discount_pct, avg(is_returned) AS return_rate, count(*) AS n FROM fact GROUP BY discount_pct"))
+def q_return_rate_by_discount(spark, sf_dir):
+    return stats.return_rate_by_discount(_fact(spark, sf_dir))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw export -> clean fact -> monthly revenue with MoM growth, all in one plan."""
     return sales.monthly_revenue_mom(etl.clean_fact(raw_lines(spark, sf_dir)))
