@@ -15,7 +15,7 @@ from ..functions.dates import add_time_dimensions
 from ..functions.money import rint_round
 from ..plans.physical import bounded_broadcast, one_row
 from ..plans.quantiles import cumulative_counts, value_histogram
-from ..schema import FACT_COLUMNS, INGEST_ORDER, LINE_KEY, RAW_COLUMNS
+from ..schema import ALL_INGEST_ORDER, FACT_COLUMNS, LINE_KEY, RAW_COLUMNS
 
 
 # ------------------------------------------------------------------ predicates
@@ -39,14 +39,14 @@ def dedup_lines(df: DataFrame, key: list[str] | None = None,
     other.  The ingest-order columns make the choice deterministic.
     """
     key = key or LINE_KEY
-    order = order or [c for c in INGEST_ORDER if c in df.columns]
+    order = order or [c for c in ALL_INGEST_ORDER if c in df.columns]
     if not order:
         raise ValueError("dedup needs ingest-order columns to keep the first line")
     w = Window.partitionBy(*key).orderBy(*[F.col(c).asc() for c in order])
     out = (df.withColumn("_rn", F.row_number().over(w))
              .where(F.col("_rn") == 1)
              .drop("_rn"))
-    return out.drop(*[c for c in INGEST_ORDER if c in out.columns])
+    return out.drop(*[c for c in ALL_INGEST_ORDER if c in out.columns])
 
 
 # ------------------------------------------------------------------ B3 impute

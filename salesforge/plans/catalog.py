@@ -9,9 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.hashing import cumulative_thresholds
-from ..operators import etl, payload, quality, sales, smoothing, stats
+import os
+
+from ..operators import etl, payload, quality, sales, sampling, smoothing, stats
+from ..session import scratch_dir
+from ..sources import csv_export, sinks, warehouse
+from ..streaming import daily_ingest
 from ..schema import DEFAULT_DRAW_SEED, DEFECT_REASONS, HIGH_SEVERITY, MEDIUM_SEVERITY
 from ..schema import FACT_COLUMNS, RAW_COLUMNS
 from ..sources.tables import raw_lines
@@ -582,6 +588,77 @@ def q_return_rate_by_discount(spark, sf_dir):
     return stats.return_rate_by_discount(_fact(spark, sf_dir))
 
 
+# ====================================================================== sampling, I/O
+_SAMPLE = f"""
+SELECT {O.FACT_COLS} FROM fact
+ORDER BY md5('1:' || concat_ws('|', order_id, customer_id, order_date, sku)),
+         order_id, customer_id, order_date, sku
+LIMIT 300"""
+
+
+@register("sample_rows", O.on_fact(_SAMPLE))
+def q_sample_rows(spark, sf_dir):
+    return sampling.sample_rows(_fact(spark, sf_dir))
+
+
+@register("union_all_lines", O.on_fact(
+    f"SELECT {O.FACT_COLS} FROM fact UNION ALL SELECT * FROM ({_SAMPLE}) s"))
+def q_union_all_lines(spark, sf_dir):
+    return sampling.with_duplicates(_fact(spark, sf_dir))
+
+
+@register("seasonal_multiplier", O.on_fact("""
+SELECT order_date, CAST(dayofyear(order_date) AS INTEGER) AS day_of_year,
+       CASE WHEN dayofyear(order_date) >= 320 OR dayofyear(order_date) <= 5 THEN 1.55
+            WHEN dayofyear(order_date) BETWEEN 150 AND 175 THEN 1.25 ELSE 1.0 END::DOUBLE AS multiplier
+FROM (SELECT DISTINCT order_date FROM fact WHERE order_date IS NOT NULL) d"""))
+def q_seasonal_multiplier(spark, sf_dir):
+    return sampling.seasonal_multipliers(_fact(spark, sf_dir))
+
+
+@register("csv_ingest", O.with_stage("raw", f"SELECT {O.RAW_COLS} FROM raw"))
+def q_csv_ingest(spark, sf_dir):
+    path = scratch_dir(spark, "raw_export_csv")
+    return csv_export.csv_round_trip(raw_lines(spark, sf_dir), path)
+
+
+@register("warehouse_load", O.on_fact(f"SELECT {O.FACT_COLS} FROM fact"))
+def q_warehouse_load(spark, sf_dir):
+    path = scratch_dir(spark, "warehouse_load")
+    warehouse.write_fact(etl.clean_fact(raw_lines(spark, sf_dir)), path)
+    return warehouse.read_fact(spark, path)
+
+
+@register("report_tables", O.on_fact("""
+SELECT 'summary' AS "table", CAST(6 AS BIGINT) AS rows
+UNION ALL SELECT 'root_cause_pareto', count(DISTINCT defect_reason) FROM enriched
+UNION ALL SELECT 'by_category', count(DISTINCT category) FROM fact WHERE category IS NOT NULL
+UNION ALL SELECT 'by_region', count(DISTINCT region) FROM fact WHERE region IS NOT NULL
+UNION ALL SELECT 'adjustment_log', least(count(*), 500) FROM enriched""", _ENRICHED))
+def q_report_tables(spark, sf_dir):
+    tables = quality.quality_report(_fact(spark, sf_dir))
+    paths = sinks.write_report(tables, scratch_dir(spark, "quality_report"))
+    return sinks.read_report_counts(spark, paths)
+
+
+@register("payload_file_series", ORACLE["payload_series"])
+def q_payload_file_series(spark, sf_dir):
+    path = sinks.write_payload_json(payload.dashboard_payload(_fact(spark, sf_dir)),
+                                    scratch_dir(spark, "dashboard_payload"))
+    text = spark.read.text(path).select(F.col("value").alias("payload"))
+    return payload.payload_series(text)
+
+
+@register("stream_daily_ingest", O.on_fact(f"SELECT {O.FACT_COLS} FROM fact"))
+def q_stream_daily_ingest(spark, sf_dir):
+    base = scratch_dir(spark, "daily_ingest")
+    landing = daily_ingest.drop_exports(raw_lines(spark, sf_dir), os.path.join(base, "landing"))
+    lines = os.path.join(base, "lines")
+    daily_ingest.run_daily_ingest(spark, landing, lines, os.path.join(base, "checkpoint"),
+                                  max_files_per_trigger=16)
+    return daily_ingest.fact_from_lines(spark, lines)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw export -> clean fact -> monthly revenue with MoM growth, all in one plan."""
     return sales.monthly_revenue_mom(etl.clean_fact(raw_lines(spark, sf_dir)))

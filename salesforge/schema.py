@@ -35,6 +35,9 @@ RAW_SCHEMA = T.StructType([
 
 # Columns that fix "file order" of the export; dedup keeps the first line by them.
 INGEST_ORDER = ["ingest_line", "ingest_part", "ingest_supp", "ingest_price", "ingest_copy"]
+# File order of a CSV export read back: path, split start, position in the split.
+CSV_INGEST_ORDER = ["ingest_file", "ingest_block", "ingest_row"]
+ALL_INGEST_ORDER = CSV_INGEST_ORDER + INGEST_ORDER
 
 # Line key: one product line of one order (dedup key, draw key).
 LINE_KEY = ["order_id", "customer_id", "order_date", "sku"]
