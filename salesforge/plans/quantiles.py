@@ -25,7 +25,30 @@ def value_histogram(df: DataFrame, value: str, groups: list[str] | None = None)
 
 def cumulative_counts(hist: DataFrame, value: str, groups: list[str] | None = None,
                       num_partitions: int | None = None) -> DataFrame:
-    """Add ``_start`` / ``_end`` (0-based, end exclusive) positions and group size ``_n``."""
+    """Add ``_start`` / ``_end`` (0-based, end exclusive) positions and group size ``_n``.
+
+    Per group, the running count is a window over that group's histogram:
+    its rows are the group's *distinct values*, a number bounded by the value
+    domain (cents of a price range), not by the row count, so even a group
+    holding a third of all rows is a small, spillable sort.  Without groups
+    the whole histogram would meet in one task, so the prefix sums are built
+    distributively instead (``distributed_cumulative_counts``).
+    """
+    groups = groups or []
+    if not groups:
+        return distributed_cumulative_counts(hist, value, num_partitions)
+    run = (Window.partitionBy(*groups).orderBy(value)
+           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return hist.withColumns({
+        "_end": F.sum("_cnt").over(run),
+        "_n": F.sum("_cnt").over(Window.partitionBy(*groups)),
+    }).withColumn("_start", F.col("_end") - F.col("_cnt"))
+
+
+def distributed_cumulative_counts(hist: DataFrame, value: str,
+                                  num_partitions: int | None = None, groups: list[str] | None = None
+                                  ) -> DataFrame:
+    """Prefix sums over a range-partitioned, checkpointed histogram (no single task)."""
     groups = groups or []
     spark = hist.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

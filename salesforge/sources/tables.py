@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.money import rint_round
 from ..schema import INGEST_ORDER, RAW_COLUMNS
@@ -22,8 +23,34 @@ DIRT_NO_REGION = 3      # region -> null
 DIRT_COPIED = (1, 4)    # these lines are appended a second time
 
 
+def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(n, t, True) for n, t in fields])
+
+
+# Columns of the star tables this engine reads.  Declaring them skips the
+# footer-inference job per table and prunes the scan to these columns.
+STAR_SCHEMAS = {
+    "region": _schema(("r_regionkey", T.IntegerType()), ("r_name", T.StringType())),
+    "nation": _schema(("n_nationkey", T.IntegerType()), ("n_name", T.StringType()),
+                      ("n_regionkey", T.IntegerType())),
+    "customer": _schema(("c_custkey", T.LongType()), ("c_nationkey", T.IntegerType()),
+                        ("c_mktsegment", T.StringType())),
+    "part": _schema(("p_partkey", T.LongType()), ("p_name", T.StringType()),
+                    ("p_brand", T.StringType()), ("p_type", T.StringType())),
+    "orders": _schema(("o_orderkey", T.LongType()), ("o_custkey", T.LongType()),
+                      ("o_orderdate", T.TimestampNTZType()), ("o_orderpriority", T.StringType())),
+    "lineitem": _schema(("l_orderkey", T.LongType()), ("l_partkey", T.LongType()),
+                        ("l_suppkey", T.LongType()), ("l_linenumber", T.IntegerType()),
+                        ("l_quantity", T.DoubleType()), ("l_extendedprice", T.DoubleType()),
+                        ("l_discount", T.DoubleType()), ("l_returnflag", T.StringType())),
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    reader = spark.read
+    if name in STAR_SCHEMAS:
+        reader = reader.schema(STAR_SCHEMAS[name])
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def star_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
