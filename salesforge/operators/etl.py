@@ -37,12 +37,20 @@ def dedup_lines(df: DataFrame, key: list[str] | None = None,
     before the shuffle, so a hot key is cut to one row per map task before it
     is moved: a key holding a third of the rows costs no more shuffle than any
     other.  The ingest-order columns make the choice deterministic.
+
+    The window is partitioned by the whole key as ONE struct value.  With the
+    four separate columns, an input already hash-partitioned on one of them
+    (e.g. ``customer_id`` after a join) would satisfy the clustering, so no
+    exchange -- and no partial limit -- would be planned and a hot customer
+    would be deduplicated in a single task.  The struct forces the exchange on
+    the full key, keeps the map-side partial limit and leaves AQE free to
+    split a skewed upstream join.
     """
     key = key or LINE_KEY
     order = order or [c for c in ALL_INGEST_ORDER if c in df.columns]
     if not order:
         raise ValueError("dedup needs ingest-order columns to keep the first line")
-    w = Window.partitionBy(*key).orderBy(*[F.col(c).asc() for c in order])
+    w = Window.partitionBy(F.struct(*key)).orderBy(*[F.col(c).asc() for c in order])
     out = (df.withColumn("_rn", F.row_number().over(w))
              .where(F.col("_rn") == 1)
              .drop("_rn"))
