@@ -38,22 +38,23 @@ def dedup_lines(df: DataFrame, key: list[str] | None = None,
     is moved: a key holding a third of the rows costs no more shuffle than any
     other.  The ingest-order columns make the choice deterministic.
 
-    The window is partitioned by the whole key as ONE struct value.  With the
-    four separate columns, an input already hash-partitioned on one of them
-    (e.g. ``customer_id`` after a join) would satisfy the clustering, so no
-    exchange -- and no partial limit -- would be planned and a hot customer
-    would be deduplicated in a single task.  The struct forces the exchange on
-    the full key, keeps the map-side partial limit and leaves AQE free to
-    split a skewed upstream join.
+    The window is partitioned by a 64-bit hash of the key followed by the key
+    columns: the hash gives the sort a cheap binary prefix, the columns keep
+    the grouping exact.  With ``spark.sql.requireAllClusterKeysForDistribution``
+    (set by ``session.configure``) an input already hash-partitioned on one
+    key column (``customer_id`` after a join) does not satisfy the window, so
+    the exchange on the full key -- with the partial limit before it -- is
+    always planned, and AQE stays free to split a skewed upstream join.
     """
     key = key or LINE_KEY
     order = order or [c for c in ALL_INGEST_ORDER if c in df.columns]
     if not order:
         raise ValueError("dedup needs ingest-order columns to keep the first line")
-    w = Window.partitionBy(F.struct(*key)).orderBy(*[F.col(c).asc() for c in order])
-    out = (df.withColumn("_rn", F.row_number().over(w))
+    w = Window.partitionBy("_kh", *key).orderBy(*[F.col(c).asc() for c in order])
+    out = (df.withColumn("_kh", F.xxhash64(*key))
+             .withColumn("_rn", F.row_number().over(w))
              .where(F.col("_rn") == 1)
-             .drop("_rn"))
+             .drop("_rn", "_kh"))
     return out.drop(*[c for c in ALL_INGEST_ORDER if c in out.columns])
 
 
@@ -88,7 +89,12 @@ def impute_price_median(df: DataFrame) -> DataFrame:
     The median table has one row per category; it is broadcast after its row
     count is checked (``bounded_broadcast``), else joined with a shuffle.  A
     category with no valid price, or a null category, yields a null price.
+
+    The input is read twice (medians, then the repair), so it is persisted
+    (memory, spilling to disk): the size check materialises it once and the
+    repair reads it back instead of recomputing the upstream shuffles.
     """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     med = bounded_broadcast(category_median_price(df))
     joined = df.join(med, on="category", how="left")
     return (joined.withColumn("unit_price",
@@ -166,17 +172,9 @@ def check_strict(metrics: DataFrame) -> None:
 
 
 # ------------------------------------------------------------------ B10 transform
-def clean_fact(raw: DataFrame, persist_dedup: bool = True) -> DataFrame:
-    """dedup -> impute price -> fix quantity -> recompute -> backfill -> types -> time dims.
-
-    The deduplicated lines are read twice (category medians, then the repair);
-    they are persisted once (memory, spilling to disk) instead of repeating the
-    dedup shuffle.
-    """
-    d = dedup_lines(raw)
-    if persist_dedup:
-        d = d.persist(StorageLevel.MEMORY_AND_DISK)
-    out = (d.transform(impute_price_median)
+def clean_fact(raw: DataFrame) -> DataFrame:
+    """dedup -> impute price -> fix quantity -> recompute -> backfill -> types -> time dims."""
+    out = (dedup_lines(raw).transform(impute_price_median)
             .transform(fix_quantity)
             .transform(recompute_revenue)
             .transform(backfill_region)

@@ -12,8 +12,6 @@ sku; channel; region; weekday), and each series is then folded into an array
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,50 +118,79 @@ def day_of_week_revenue(fact: DataFrame) -> DataFrame:
 _SETS = {
     "month": ["order_month"],
     "drill": ["region", "category"],
-    "sku": ["category", "sku"],
     "channel": ["channel"],
     "region": ["region"],
     "day": ["day_of_week"],
 }
-_KEYS = ["order_month", "region", "category", "sku", "channel", "day_of_week"]
+_KEYS = ["order_month", "region", "category", "channel", "day_of_week"]
 
 
-def _series(fact: DataFrame) -> DataFrame:
-    """All revenue series from one scan: GROUPING SETS, tagged by grouping id."""
-    g = (fact.groupingSets([[F.col(c) for c in cols] for cols in _SETS.values()], *_KEYS)
-             .agg(money_sum("net_revenue").cast(MONEY).alias("revenue"),
-                  F.grouping_id().alias("_gid")))
-    # grouping_id bit i is 1 when key i is NOT grouped; map each set to its id
-    def gid(cols):
-        return sum(1 << (len(_KEYS) - 1 - i) for i, k in enumerate(_KEYS) if k not in cols)
-    set_name = reduce(lambda acc, kv: acc.when(F.col("_gid") == gid(kv[1]), F.lit(kv[0])),
-                      list(_SETS.items())[1:],
-                      F.when(F.col("_gid") == gid(_SETS["month"]), F.lit("month")))
-    return g.withColumn("_set", set_name)
+def _gid(cols: list[str]) -> int:
+    """grouping_id() of a set: bit i is 1 when key i is NOT grouped."""
+    return sum(1 << (len(_KEYS) - 1 - i) for i, k in enumerate(_KEYS) if k not in cols)
 
 
-def _array_sorted(df: DataFrame, sort_key: list[Column], fields: list[str]) -> DataFrame:
-    """One row: array<struct<fields>> ordered by ``sort_key`` (ascending, total order)."""
-    keyed = F.struct(*[k.alias(f"_k{i}") for i, k in enumerate(sort_key)],
-                     F.struct(*fields).alias("v"))
-    return df.agg(F.transform(F.sort_array(F.collect_list(keyed)), lambda x: x["v"]).alias("arr"))
+def _sorted_values(cond: Column, sort_key: list[Column], value: Column) -> Column:
+    """Aggregate: array of ``value`` for rows matching ``cond``, ordered by ``sort_key``.
+
+    ``collect_list`` skips nulls, so non-matching rows contribute nothing.
+    """
+    keyed = F.struct(*[k.alias(f"_k{i}") for i, k in enumerate(sort_key)], value.alias("v"))
+    return F.transform(F.sort_array(F.collect_list(F.when(cond, keyed))), lambda x: x["v"])
 
 
 def payload_struct(fact: DataFrame, time_cut_pct: int = DEFAULT_TIME_CUT_PCT,
                    top_n: int = DEFAULT_TOP_OVERALL) -> DataFrame:
+    """The payload as one row of nested columns.
+
+    Three passes over the (column-pruned) fact, whatever its size:
+    1. GROUPING SETS (month; region x category; channel; region; weekday),
+       folded into ordered arrays by ONE aggregate over the small result --
+       no per-series filter, so Catalyst cannot split it into one scan per
+       series;
+    2. the KPI block (exact distinct counts);
+    3. the ten best (category, sku) by revenue via ``TakeOrderedAndProject``
+       (SKUs are never collected as a whole).
+    """
     spark = fact.sparkSession
-    s = _series(fact)
-
-    def notnull(name, keys):
-        cond = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        return s.where((F.col("_set") == name) & cond)
+    g = (fact.groupingSets([[F.col(c) for c in cols] for cols in _SETS.values()], *_KEYS)
+             .agg(money_sum("net_revenue").cast(MONEY).alias("revenue"),
+                  F.grouping_id().alias("_gid")))
 
-    month = notnull("month", ["order_month"])
-    drill = notnull("drill", ["region", "category"])
-    skus = notnull("sku", ["category", "sku"])
-    chan = notnull("channel", ["channel"])
-    reg = notnull("region", ["region"])
-    day = notnull("day", ["day_of_week"])
+    def in_set(name):
+        cond = F.col("_gid") == F.lit(_gid(_SETS[name]))
+        for k in _SETS[name]:
+            cond = cond & F.col(k).isNotNull()   # pandas groupby drops null keys
+        return cond
+
+    rev = F.col("revenue")
+    drill_entries = _sorted_values(in_set("drill"), [F.col("region"), -rev, F.col("category")],
+                                   F.struct("region", "category", "revenue"))
+    folded = g.agg(
+        _sorted_values(in_set("month"), [F.col("order_month")],
+                       F.struct(F.col("order_month").alias("month"), rev.alias("revenue")))
+        .alias("monthly_trend"),
+        drill_entries.alias("_drill"),
+        _sorted_values(in_set("channel"), [F.col("channel")], F.struct("channel", "revenue"))
+        .alias("channel_mix"),
+        _sorted_values(in_set("region"), [-rev, F.col("region")], F.struct("region", "revenue"))
+        .alias("region_totals"),
+        F.map_from_entries(F.collect_list(F.when(in_set("day"), F.struct("day_of_week", "revenue"))))
+        .alias("_days"),
+    )
+    # region -> its categories (already ordered by revenue desc, then name); keys sorted
+    regions = F.array_distinct(F.transform("_drill", lambda e: e["region"]))
+    region_drill = F.map_from_arrays(
+        regions,
+        F.transform(regions, lambda r: F.transform(F.filter("_drill", lambda e: e["region"] == r),
+                                                   lambda e: F.struct(e["category"], e["revenue"]))))
+    # Monday..Sunday, 0 for a day without sales
+    days = F.transform(
+        F.array(*[F.lit(d) for d in WEEKDAYS]),
+        lambda d: F.struct(d.alias("day"),
+                           F.coalesce(F.element_at(F.col("_days"), d), F.lit(0).cast(MONEY)).alias("revenue")))
+    series = folded.select("monthly_trend", region_drill.alias("region_drill"), "channel_mix",
+                           "region_totals", days.alias("day_of_week"))
 
     k = kpi_summary(fact)
     kpi = k.select(F.struct(
@@ -172,37 +199,27 @@ def payload_struct(fact: DataFrame, time_cut_pct: int = DEFAULT_TIME_CUT_PCT,
         F.col("avg_order_value").cast(MONEY).alias("avg_order_value"),
         "return_rate_pct", "unique_customers").alias("kpi"))
 
-    monthly = _array_sorted(month.select(F.col("order_month").alias("month"), "revenue"),
-                            [F.col("month")], ["month", "revenue"])
-    # region -> categories by revenue desc (ties by name); keys sorted
-    per_region = (drill.groupBy("region")
-                       .agg(F.transform(F.sort_array(F.collect_list(F.struct(
-                               (-F.col("revenue")).alias("_k0"), F.col("category").alias("_k1"),
-                               F.struct("category", "revenue").alias("v")))),
-                           lambda x: x["v"]).alias("cats")))
-    region_drill = per_region.agg(F.map_from_entries(F.sort_array(F.collect_list(
-        F.struct("region", "cats")))).alias("arr"))
-    top = (skus.orderBy(F.col("revenue").desc(), "category", "sku").limit(top_n))
-    top_arr = _array_sorted(top, [-F.col("revenue"), F.col("category"), F.col("sku")],
-                            ["sku", "category", "revenue"])
-    chan_arr = _array_sorted(chan, [F.col("channel")], ["channel", "revenue"])
-    reg_arr = _array_sorted(reg, [-F.col("revenue"), F.col("region")], ["region", "revenue"])
-    dim = weekday_dimension(spark)
-    days = (dim.join(day.select(F.col("day_of_week").alias("day"), "revenue"), "day", "left")
-               .select("day", "day_index",
-                       F.coalesce(F.col("revenue"), F.lit(0).cast(MONEY)).alias("revenue")))
-    day_arr = _array_sorted(days, [F.col("day_index")], ["day", "revenue"])
+    top = (fact.where(F.col("category").isNotNull() & F.col("sku").isNotNull())
+               .groupBy("category", "sku").agg(money_sum("net_revenue").cast(MONEY).alias("revenue"))
+               .orderBy(F.col("revenue").desc(), "category", "sku").limit(top_n))
+    top_arr = top.agg(_sorted_values(F.lit(True), [-F.col("revenue"), F.col("category"), F.col("sku")],
+                                     F.struct("sku", "category", "revenue")).alias("top_skus"))
 
     row = one_row({
         "kpi": kpi,
-        "monthly_trend": monthly,
-        "region_drill": region_drill,
+        "series": series.select(F.struct("*")),
         "top_skus": top_arr,
-        "channel_mix": chan_arr,
-        "region_totals": reg_arr,
-        "day_of_week": day_arr,
     })
-    return row.withColumn("manual_reporting_time_reduction_pct", F.lit(int(time_cut_pct)))
+    return row.select(
+        "kpi",
+        F.col("series.monthly_trend").alias("monthly_trend"),
+        F.col("series.region_drill").alias("region_drill"),
+        "top_skus",
+        F.col("series.channel_mix").alias("channel_mix"),
+        F.col("series.region_totals").alias("region_totals"),
+        F.col("series.day_of_week").alias("day_of_week"),
+        F.lit(int(time_cut_pct)).alias("manual_reporting_time_reduction_pct"),
+    )
 
 
 def dashboard_payload(fact: DataFrame, **kw) -> DataFrame:
@@ -215,39 +232,37 @@ def dashboard_payload(fact: DataFrame, **kw) -> DataFrame:
 def payload_series(payload: DataFrame) -> DataFrame:
     """Re-read the JSON and flatten every series: (series, pos, label, sub_label, value).
 
-    ``pos`` is the 0-based position inside its array, so ordering is checked too.
+    ``pos`` is the 0-based position inside its array (region drill: region
+    position * 1000 + category position), so ordering is checked too.  All
+    series are built as one array in a single projection and exploded once.
     """
     p = payload.select(F.from_json("payload", PAYLOAD_SCHEMA).alias("p")).select("p.*")
 
+    def entry(series, pos, label, sub, value):
+        return F.struct(F.lit(series).alias("series"), pos.cast("bigint").alias("pos"),
+                        label.cast("string").alias("label"), sub.cast("string").alias("sub_label"),
+                        value.cast("double").alias("value"))
+
+    none = F.lit(None).cast("string")
+
     def arr(name, label, sub=None):
-        e = p.select(F.posexplode(name).alias("pos", "e"))
-        return e.select(F.lit(name).alias("series"), F.col("pos").cast("bigint").alias("pos"),
-                        F.col(f"e.{label}").alias("label"),
-                        (F.col(f"e.{sub}") if sub else F.lit(None).cast("string")).alias("sub_label"),
-                        F.col("e.revenue").cast("double").alias("value"))
-
-    drill = (p.select(F.posexplode(F.map_entries("region_drill")).alias("rpos", "r"))
-              .select("rpos", F.col("r.key").alias("region"), F.posexplode("r.value").alias("pos", "e"))
-              .select(F.lit("region_drill").alias("series"),
-                      (F.col("rpos") * 1000 + F.col("pos")).cast("bigint").alias("pos"),
-                      F.col("region").alias("label"), F.col("e.category").alias("sub_label"),
-                      F.col("e.revenue").cast("double").alias("value")))
+        return F.transform(name, lambda e, i: entry(name, i, e[label], e[sub] if sub else none,
+                                                    e["revenue"]))
+
     kpi_fields = ["total_revenue", "total_orders", "total_records_analyzed", "avg_order_value",
                   "return_rate_pct", "unique_customers"]
-    kpi = p.select(F.posexplode(F.array(*[
-        F.struct(F.lit(f).alias("k"), F.col(f"kpi.{f}").cast("double").alias("v")) for f in kpi_fields]))
-        .alias("pos", "e")).select(
-            F.lit("kpi").alias("series"), F.col("pos").cast("bigint").alias("pos"),
-            F.col("e.k").alias("label"), F.lit(None).cast("string").alias("sub_label"),
-            F.col("e.v").alias("value"))
-    cut = p.select(F.lit("manual_reporting_time_reduction_pct").alias("series"),
-                   F.lit(0).cast("bigint").alias("pos"), F.lit(None).cast("string").alias("label"),
-                   F.lit(None).cast("string").alias("sub_label"),
-                   F.col("manual_reporting_time_reduction_pct").cast("double").alias("value"))
-    parts = [kpi, arr("monthly_trend", "month"), drill, arr("top_skus", "sku", "category"),
-             arr("channel_mix", "channel"), arr("region_totals", "region"),
-             arr("day_of_week", "day"), cut]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    kpi = F.array(*[entry("kpi", F.lit(i), F.lit(f), none, F.col(f"kpi.{f}"))
+                    for i, f in enumerate(kpi_fields)])
+    drill = F.flatten(F.transform(
+        F.map_entries("region_drill"),
+        lambda r, ri: F.transform(r["value"], lambda e, ci: entry(
+            "region_drill", ri * 1000 + ci, r["key"], e["category"], e["revenue"]))))
+    cut = F.array(entry("manual_reporting_time_reduction_pct", F.lit(0), none, none,
+                        F.col("manual_reporting_time_reduction_pct")))
+    everything = F.concat(kpi, arr("monthly_trend", "month"), drill,
+                          arr("top_skus", "sku", "category"), arr("channel_mix", "channel"),
+                          arr("region_totals", "region"), arr("day_of_week", "day"), cut)
+    return p.select(F.inline(everything))
 
 
 # ------------------------------------------------------------------ page formatting

@@ -15,7 +15,7 @@ from ..functions.hashing import cumulative_thresholds
 import os
 
 from ..operators import etl, payload, quality, sales, sampling, smoothing, stats
-from ..session import scratch_dir
+from ..session import configure, scratch_dir
 from ..sources import csv_export, sinks, warehouse
 from ..streaming import daily_ingest
 from ..schema import DEFAULT_DRAW_SEED, DEFECT_REASONS, HIGH_SEVERITY, MEDIUM_SEVERITY
@@ -32,7 +32,12 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -661,6 +666,7 @@ def q_stream_daily_ingest(spark, sf_dir):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw export -> clean fact -> monthly revenue with MoM growth, all in one plan."""
+    configure(spark)
     return sales.monthly_revenue_mom(etl.clean_fact(raw_lines(spark, sf_dir)))
 
 

@@ -13,6 +13,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Planner settings the operators rely on for skew safety.  With
+# requireAllClusterKeysForDistribution an aggregate or window keyed by
+# (a, b, c) is shuffled on all of (a, b, c) even when the input is already
+# hash-partitioned on a subset (say ``customer_id`` after a join): a hot
+# subset key can then not pin a whole group of keys to one task, and the
+# map-side partial aggregate / window-group limit stays in the plan.
+PLANNER_CONF = {
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
+}
+
 # Settings that matter at scale.  ``shuffle.partitions`` is only the upper bound
 # AQE coalesces from; advisory size keeps reducers near 128 MB each.
 DEFAULT_CONF = {
@@ -25,6 +35,7 @@ DEFAULT_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    **PLANNER_CONF,
 }
 
 
@@ -44,6 +55,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply ``PLANNER_CONF`` to a session the caller built, keeping any value it set itself."""
+    for k, v in PLANNER_CONF.items():
+        if spark.conf.get(k, None) in (None, "false") and not _user_set(spark, k):
+            spark.conf.set(k, v)
+    return spark
+
+
+def _user_set(spark: SparkSession, key: str) -> bool:
+    return spark.sparkContext.getConf().contains(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory, creating a local one only if unset."""
     sc = spark.sparkContext

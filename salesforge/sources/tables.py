@@ -53,6 +53,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread_if_underpartitioned(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when its scan yields fewer splits than the cluster has cores.
+
+    A large table arrives in thousands of splits and is left alone (its join
+    shuffles it on ``key`` anyway, and AQE may still split a skewed key).  A
+    file stored as one big row group is a single split; spreading it on the
+    join key it is about to meet costs one small shuffle and buys full
+    parallelism for the join, the repairs and the map-side dedup.
+    """
+    spark = df.sparkSession
+    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def star_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to its order, customer, nation, region and part.
 
@@ -61,9 +76,9 @@ def star_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides on ``orderkey`` (or broadcasts at small scale after AQE measures it).
     The four small dimensions are joined after the columns are pruned.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread_if_underpartitioned(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_returnflag")
+        "l_extendedprice", "l_discount", "l_returnflag"), "l_orderkey")
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")

@@ -16,7 +16,7 @@ from ..schema import FACT_COLUMNS, FACT_SCHEMA
 from ..session import scratch_dir
 from .tables import raw_lines
 
-_WRITTEN: dict[tuple[str, str], str] = {}
+_WRITTEN: dict[tuple[str, str], DataFrame] = {}
 
 
 def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -45,8 +45,9 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean fact for the tables in ``sf_dir``, built and written once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    path = _WRITTEN.get(key)
-    if path is None:
+    df = _WRITTEN.get(key)
+    if df is None:
         path = write_fact(clean_fact(raw_lines(spark, sf_dir)), scratch_dir(spark, "fact_transactions"))
-        _WRITTEN[key] = path
-    return read_fact(spark, path)
+        # keep the DataFrame: its file index (80 month folders) is listed once
+        df = _WRITTEN[key] = read_fact(spark, path)
+    return df
