@@ -269,7 +269,44 @@ def q_day_of_week_revenue(spark, sf_dir):
     return payload.day_of_week_revenue(_fact(spark, sf_dir))
 
 
-@register("dashboard_payload")
+_M = "CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2))"
+
+
+@register("dashboard_payload", O.on_fact(f"""
+SELECT to_json({{
+  'kpi': (SELECT {{'total_revenue': CAST(total_revenue AS DECIMAL(18,2)),
+                  'total_orders': total_orders,
+                  'total_records_analyzed': total_records_analyzed,
+                  'avg_order_value': CAST(avg_order_value AS DECIMAL(18,2)),
+                  'return_rate_pct': return_rate_pct,
+                  'unique_customers': unique_customers}} FROM k),
+  'monthly_trend': (SELECT list({{'month': order_month, 'revenue': rev}} ORDER BY order_month)
+                    FROM (SELECT order_month, {_M} AS rev FROM fact
+                          WHERE order_month IS NOT NULL GROUP BY order_month) m),
+  'region_drill': (SELECT map(list(region ORDER BY region), list(cats ORDER BY region))
+                   FROM (SELECT region, list({{'category': category, 'revenue': rev}}
+                                             ORDER BY rev DESC, category) AS cats
+                         FROM (SELECT region, category, {_M} AS rev FROM fact
+                               WHERE region IS NOT NULL AND category IS NOT NULL
+                               GROUP BY region, category) rc GROUP BY region) r),
+  'top_skus': (SELECT list({{'sku': sku, 'category': category, 'revenue': rev}}
+                           ORDER BY rev DESC, category, sku)
+               FROM (SELECT category, sku, {_M} AS rev FROM fact
+                     WHERE category IS NOT NULL AND sku IS NOT NULL GROUP BY category, sku
+                     ORDER BY rev DESC, category, sku LIMIT 10) t),
+  'channel_mix': (SELECT list({{'channel': channel, 'revenue': rev}} ORDER BY channel)
+                  FROM (SELECT channel, {_M} AS rev FROM fact WHERE channel IS NOT NULL
+                        GROUP BY channel) c),
+  'region_totals': (SELECT list({{'region': region, 'revenue': rev}} ORDER BY rev DESC, region)
+                    FROM (SELECT region, {_M} AS rev FROM fact WHERE region IS NOT NULL
+                          GROUP BY region) g),
+  'day_of_week': (SELECT list({{'day': w.day, 'revenue': coalesce(d.rev, CAST(0 AS DECIMAL(18,2)))}}
+                              ORDER BY w.day_index)
+                  FROM ({_WEEKDAYS}) w
+                  LEFT JOIN (SELECT day_of_week AS day, {_M} AS rev FROM fact
+                             WHERE day_of_week IS NOT NULL GROUP BY day_of_week) d ON w.day = d.day),
+  'manual_reporting_time_reduction_pct': 60
+}}) AS payload""", extra_ctes=f"k AS ({_KPI_SELECT})"))
 def q_dashboard_payload(spark, sf_dir):
     return payload.dashboard_payload(_fact(spark, sf_dir))
 
