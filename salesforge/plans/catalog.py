@@ -697,7 +697,7 @@ def q_stream_daily_ingest(spark, sf_dir):
     landing = daily_ingest.drop_exports(raw_lines(spark, sf_dir), os.path.join(base, "landing"))
     lines = os.path.join(base, "lines")
     daily_ingest.run_daily_ingest(spark, landing, lines, os.path.join(base, "checkpoint"),
-                                  max_files_per_trigger=16)
+                                  max_files_per_trigger=40)
     return daily_ingest.fact_from_lines(spark, lines)
 
 
