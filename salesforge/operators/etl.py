@@ -172,8 +172,15 @@ def check_strict(metrics: DataFrame) -> None:
 
 
 # ------------------------------------------------------------------ B10 transform
-def clean_fact(raw: DataFrame) -> DataFrame:
-    """dedup -> impute price -> fix quantity -> recompute -> backfill -> types -> time dims."""
+def clean_fact(raw: DataFrame, strict: bool = False) -> DataFrame:
+    """dedup -> impute price -> fix quantity -> recompute -> backfill -> types -> time dims.
+
+    ``strict=True`` first counts null quantities / return flags (one extra
+    aggregate job) and raises ``DataQualityError`` when there are any, as the
+    reference's integer casts do.
+    """
+    if strict:
+        check_strict(quality_metrics(raw, dedup_lines(raw)))
     out = (dedup_lines(raw).transform(impute_price_median)
             .transform(fix_quantity)
             .transform(recompute_revenue)

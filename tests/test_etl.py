@@ -97,3 +97,27 @@ def test_same_result_under_different_partitioning(spark):
         res.append(sorted(sales.monthly_revenue_mom(f).collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert res[0] == res[1] == res[2]
+
+
+def test_strict_clean_fact_raises_and_default_repairs(spark):
+    df = _raw(spark, [(1, "a", "X", "N", None, 1.0, 0, 1)])
+    with pytest.raises(etl.DataQualityError):
+        etl.clean_fact(df, strict=True)
+    assert etl.clean_fact(df).count() == 1
+
+
+def test_csv_na_tokens_become_null(spark, tmp_path):
+    from salesforge.sources.csv_export import read_csv_export
+    header = ("order_id,customer_id,order_date,region,category,sku,channel,payment_method,quantity,"
+              "unit_price,discount_pct,gross_revenue,discount_amount,net_revenue,is_returned")
+    lines = [header] + [f"{i},7,2023-01-0{i},{tok},Cat,sku{i},Web,Card,1,9.5,0,9.5,0,9.5,0"
+                        for i, tok in enumerate(["", "NA", "N/A", "null", "None", "North"], start=1)]
+    path = tmp_path / "export.csv"
+    path.write_text("\n".join(lines) + "\n")
+    rows = read_csv_export(spark, str(path), with_file_order=True).orderBy("order_id").collect()
+    assert [r.region for r in rows] == [None, None, None, None, None, "North"]
+    assert rows[0].order_date == D.replace(day=1) and rows[0].unit_price == 9.5
+    assert [r.ingest_row for r in rows] == sorted(r.ingest_row for r in rows)
+    # dedup of a file keeps the first line in file order
+    dup = read_csv_export(spark, str(path), with_file_order=True)
+    assert etl.dedup_lines(dup.unionByName(dup)).count() == 6
