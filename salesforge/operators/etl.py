@@ -7,13 +7,12 @@ supplied revenue figures are always recomputed; missing regions are labelled.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_time_dimensions
 from ..functions.money import rint_round
-from ..plans.physical import bounded_broadcast, one_row
+from ..plans.physical import bounded_broadcast, one_row, persist
 from ..plans.quantiles import cumulative_counts, value_histogram
 from ..schema import ALL_INGEST_ORDER, FACT_COLUMNS, LINE_KEY, RAW_COLUMNS
 
@@ -94,7 +93,7 @@ def impute_price_median(df: DataFrame) -> DataFrame:
     (memory, spilling to disk): the size check materialises it once and the
     repair reads it back instead of recomputing the upstream shuffles.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = persist(df)
     med = bounded_broadcast(category_median_price(df))
     joined = df.join(med, on="category", how="left")
     return (joined.withColumn("unit_price",

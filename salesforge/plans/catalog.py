@@ -15,6 +15,7 @@ from ..functions.hashing import cumulative_thresholds
 import os
 
 from ..operators import etl, payload, quality, sales, sampling, smoothing, stats
+from ..plans.physical import persist_scope
 from ..session import configure, scratch_dir
 from ..sources import csv_export, sinks, warehouse
 from ..streaming import daily_ingest
@@ -667,7 +668,8 @@ def q_csv_ingest(spark, sf_dir):
 @register("warehouse_load", O.on_fact(f"SELECT {O.FACT_COLS} FROM fact"))
 def q_warehouse_load(spark, sf_dir):
     path = scratch_dir(spark, "warehouse_load")
-    warehouse.write_fact(etl.clean_fact(raw_lines(spark, sf_dir)), path)
+    with persist_scope():
+        warehouse.write_fact(etl.clean_fact(raw_lines(spark, sf_dir)), path)
     return warehouse.read_fact(spark, path)
 
 

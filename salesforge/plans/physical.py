@@ -6,6 +6,8 @@ built, and each one touches a small aggregate only.
 
 from __future__ import annotations
 
+import threading
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -20,6 +22,39 @@ from ..session import ensure_checkpoint_dir
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+_scopes = threading.local()
+
+
+def persist(df: DataFrame) -> DataFrame:
+    """``persist(MEMORY_AND_DISK)`` that is released at the end of an enclosing ``persist_scope``.
+
+    Lost blocks are recomputed from lineage, so a cached frame survives
+    executor loss; spilling to disk keeps large frames out of memory.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    for scope in getattr(_scopes, "stack", []):
+        scope.append(df)
+    return df
+
+
+@contextmanager
+def persist_scope():
+    """Unpersist every frame cached through ``persist`` inside the block when it ends.
+
+    Use around an action that materialises a whole pipeline (a table write),
+    so a long-lived cluster session does not keep its intermediates cached.
+    """
+    stack = _scopes.__dict__.setdefault("stack", [])
+    frames: list[DataFrame] = []
+    stack.append(frames)
+    try:
+        yield frames
+    finally:
+        stack.remove(frames)
+        for df in frames:
+            df.unpersist()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the session's checkpoint dir.
 
@@ -37,7 +72,7 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     ``small`` must be an aggregate.  It is persisted so the count and the later
     join read the same rows once.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    small = persist(small)
     n = small.count()
     return F.broadcast(small) if n <= max_rows else small
 

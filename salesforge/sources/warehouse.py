@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.etl import clean_fact
+from ..plans.physical import persist_scope
 from ..schema import FACT_COLUMNS, FACT_SCHEMA
 from ..session import scratch_dir
 from .tables import raw_lines
@@ -53,7 +54,8 @@ def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     df = _WRITTEN.get(key)
     if df is None:
-        path = write_fact(clean_fact(raw_lines(spark, sf_dir)), scratch_dir(spark, "fact_transactions"))
+        with persist_scope():  # the ETL's cached intermediates are released after the write
+            path = write_fact(clean_fact(raw_lines(spark, sf_dir)), scratch_dir(spark, "fact_transactions"))
         # keep the DataFrame: its file index (80 month folders) is listed once
         df = _WRITTEN[key] = read_fact(spark, path)
     return df
