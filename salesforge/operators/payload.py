@@ -265,6 +265,20 @@ def payload_series(payload: DataFrame) -> DataFrame:
     return p.select(F.inline(everything))
 
 
+def payload_region_drill(payload: DataFrame, region: str | None = None) -> DataFrame:
+    """Drill-through as the page does it: look one region up in the payload's map.
+
+    The default region is the first map key (keys are sorted), as the page
+    preselects the first pill.  Returns (region, position, category, revenue).
+    """
+    p = payload.select(F.from_json("payload", PAYLOAD_SCHEMA).alias("p"))
+    key = F.lit(region) if region is not None else F.array_min(F.map_keys("p.region_drill"))
+    picked = p.select(key.alias("region"), F.element_at("p.region_drill", key).alias("cats"))
+    return picked.select("region", F.posexplode("cats").alias("position", "c")).select(
+        "region", F.col("position").cast("bigint").alias("position"),
+        F.col("c.category").alias("category"), F.col("c.revenue").cast("double").alias("revenue"))
+
+
 # ------------------------------------------------------------------ page formatting
 def kpi_board(fact: DataFrame, time_cut_pct: int = DEFAULT_TIME_CUT_PCT) -> DataFrame:
     """The five KPI tiles of the page as (position, label, value) text."""

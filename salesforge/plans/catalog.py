@@ -312,6 +312,15 @@ def q_dashboard_payload(spark, sf_dir):
     return payload.dashboard_payload(_fact(spark, sf_dir))
 
 
+@register("payload_region_drill", O.on_fact(f"""
+SELECT region, row_number() OVER (ORDER BY revenue DESC, category) - 1 AS position, category, revenue
+FROM (SELECT region, category, {_REV} FROM fact WHERE category IS NOT NULL
+      AND region = (SELECT min(region) FROM fact WHERE region IS NOT NULL AND category IS NOT NULL)
+      GROUP BY region, category) r"""))
+def q_payload_region_drill(spark, sf_dir):
+    return payload.payload_region_drill(payload.dashboard_payload(_fact(spark, sf_dir)))
+
+
 @register("payload_series", O.on_fact(f"""
 SELECT 'kpi' AS series, CAST(pos AS BIGINT) AS pos, label, CAST(NULL AS VARCHAR) AS sub_label, value
 FROM (SELECT * FROM (SELECT 0 AS pos, 'total_revenue' AS label, total_revenue AS value FROM k
