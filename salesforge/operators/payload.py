@@ -307,4 +307,3 @@ def money_labels(fact: DataFrame) -> DataFrame:
                         money_label(F.col("revenue")).alias("label")))
 
 
-__all__ = [n for n in dir() if not n.startswith("_")] + ["WEEKDAYS"]

@@ -20,7 +20,7 @@ from ..session import configure, scratch_dir
 from ..sources import csv_export, sinks, warehouse
 from ..streaming import daily_ingest
 from ..schema import DEFAULT_DRAW_SEED, DEFECT_REASONS, HIGH_SEVERITY, MEDIUM_SEVERITY
-from ..schema import FACT_COLUMNS, RAW_COLUMNS
+from ..schema import RAW_COLUMNS
 from ..sources.tables import raw_lines
 from ..sources.warehouse import fact_table
 from . import oracle as O
@@ -718,4 +718,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales.monthly_revenue_mom(etl.clean_fact(raw_lines(spark, sf_dir)))
 
 
-__all__ = ["QUERIES", "ORACLE", "flagship", "FACT_COLUMNS"]
+__all__ = ["QUERIES", "ORACLE", "flagship"]
