@@ -121,3 +121,19 @@ def test_csv_na_tokens_become_null(spark, tmp_path):
     # dedup of a file keeps the first line in file order
     dup = read_csv_export(spark, str(path), with_file_order=True)
     assert etl.dedup_lines(dup.unionByName(dup)).count() == 6
+
+
+def test_csv_export_to_fact_equals_table_path(spark, tmp_path):
+    """Export in ingest order -> CSV file -> read with file order -> clean: same fact as the table path."""
+    from salesforge.schema import FACT_COLUMNS, INGEST_ORDER, RAW_COLUMNS
+    from salesforge.sources.csv_export import read_csv_export, write_csv
+    raw = raw_lines(spark, SMALL)
+    ordered = raw.orderBy("ingest_copy", "order_id", *INGEST_ORDER[:-1]).select(*RAW_COLUMNS)
+    path = str(tmp_path / "export")
+    write_csv(ordered.coalesce(1), path)
+    from_csv = etl.clean_fact(read_csv_export(spark, path, with_file_order=True))
+    from_tables = etl.clean_fact(raw)
+    a = from_csv.select(*FACT_COLUMNS)
+    b = from_tables.select(*FACT_COLUMNS)
+    assert a.count() == b.count() == 5937
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
