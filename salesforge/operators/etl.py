@@ -7,7 +7,7 @@ supplied revenue figures are always recomputed; missing regions are labelled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_time_dimensions
@@ -142,14 +142,7 @@ def time_dimensions(df: DataFrame) -> DataFrame:
 def quality_metrics(raw: DataFrame, deduped: DataFrame) -> DataFrame:
     """One row of data-quality counts; invalid counts are taken after dedup."""
     r = raw.agg(F.count(F.lit(1)).alias("raw_rows"))
-    d = deduped.agg(
-        F.count(F.lit(1)).alias("clean_rows"),
-        F.count_if(invalid_price()).alias("invalid_price_rows"),
-        F.count_if(invalid_quantity()).alias("invalid_quantity_rows"),
-        F.count_if(F.col("region").isNull()).alias("missing_region_rows"),
-        F.count_if(F.col("quantity").isNull()).alias("null_quantity_rows"),
-        F.count_if(F.col("is_returned").isNull()).alias("null_is_returned_rows"),
-    )
+    d = deduped.agg(*_dedup_metric_exprs())
     both = one_row({"r": r.select(F.struct("*")), "d": d.select(F.struct("*"))}).select("r.*", "d.*")
     return (both
              .withColumn("duplicates_removed", F.col("raw_rows") - F.col("clean_rows"))
@@ -158,6 +151,43 @@ def quality_metrics(raw: DataFrame, deduped: DataFrame) -> DataFrame:
                      "null_quantity_rows", "null_is_returned_rows"))
 
 
+def _dedup_metric_exprs() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("clean_rows"),
+        F.count_if(invalid_price()).alias("invalid_price_rows"),
+        F.count_if(invalid_quantity()).alias("invalid_quantity_rows"),
+        F.count_if(F.col("region").isNull()).alias("missing_region_rows"),
+        F.count_if(F.col("quantity").isNull()).alias("null_quantity_rows"),
+        F.count_if(F.col("is_returned").isNull()).alias("null_is_returned_rows"),
+    ]
+
+
+def clean_fact_observed(raw: DataFrame) -> tuple[DataFrame, dict[str, Observation]]:
+    """``clean_fact`` with the data-quality counts collected as side metrics.
+
+    ``df.observe`` computes the counts inside the job that materialises the
+    data (e.g. the warehouse write) -- no extra pass over the input.  Read
+    them with ``observed_metrics`` after the first action.
+    """
+    obs = {"raw": Observation("etl_raw"), "dedup": Observation("etl_dedup")}
+    raw = raw.observe(obs["raw"], F.count(F.lit(1)).alias("raw_rows"))
+    d = dedup_lines(raw).observe(obs["dedup"], *_dedup_metric_exprs())
+    out = (d.transform(impute_price_median)
+            .transform(fix_quantity)
+            .transform(recompute_revenue)
+            .transform(backfill_region)
+            .transform(enforce_types)
+            .transform(time_dimensions))
+    return out.select(*FACT_COLUMNS), obs
+
+
+def observed_metrics(obs: dict[str, Observation]) -> dict[str, int]:
+    """The same figures as ``quality_metrics``, from the observations of a finished run."""
+    m = {**obs["raw"].get, **obs["dedup"].get}
+    m["duplicates_removed"] = m["raw_rows"] - m["clean_rows"]
+    return m
+
+
 class DataQualityError(ValueError):
     pass
 

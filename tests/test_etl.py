@@ -137,3 +137,14 @@ def test_csv_export_to_fact_equals_table_path(spark, tmp_path):
     b = from_tables.select(*FACT_COLUMNS)
     assert a.count() == b.count() == 5937
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_observed_metrics_equal_quality_table(spark, tmp_path):
+    from salesforge.sources.warehouse import write_fact
+    raw = raw_lines(spark, SMALL)
+    fact, obs = etl.clean_fact_observed(raw)
+    write_fact(fact, str(tmp_path / "wh"))
+    got = etl.observed_metrics(obs)
+    want = etl.quality_metrics(raw, etl.dedup_lines(raw)).first().asDict()
+    assert {k: got[k] for k in want} == want
+    assert want["raw_rows"] == 6063 and want["clean_rows"] == 5937
