@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..schema import MONEY_LABEL_FORMATS
 from .money import half_away_round, rint_round
 
 
@@ -21,9 +22,10 @@ def thousands(x: Column) -> Column:
 def money_label(v: Column) -> Column:
     """Compact dollars: >= 1e6 -> ``$1.23M``; >= 1e3 -> ``$4.5K``; else ``$67``."""
     v = v.cast("double")
-    return (F.when(v >= 1e6, F.format_string("$%.2fM", half_away_round(v / F.lit(1e6), 2)))
-             .when(v >= 1e3, F.format_string("$%.1fK", half_away_round(v / F.lit(1e3), 1)))
-             .otherwise(F.format_string("$%.0f", half_away_round(v, 0))))
+    (t_m, f_m, d_m), (t_k, f_k, d_k), (_, f_u, d_u) = MONEY_LABEL_FORMATS
+    return (F.when(v >= t_m, F.format_string(f_m, half_away_round(v / F.lit(t_m), d_m)))
+             .when(v >= t_k, F.format_string(f_k, half_away_round(v / F.lit(t_k), d_k)))
+             .otherwise(F.format_string(f_u, half_away_round(v, d_u))))
 
 
 def percent_label(fraction: Column, digits: int = 2) -> Column:

@@ -14,7 +14,7 @@ from ..functions.dates import add_time_dimensions
 from ..functions.money import rint_round
 from ..plans.physical import bounded_broadcast, one_row, persist
 from ..plans.quantiles import cumulative_counts, value_histogram
-from ..schema import ALL_INGEST_ORDER, FACT_COLUMNS, LINE_KEY, RAW_COLUMNS
+from ..schema import ALL_INGEST_ORDER, FACT_COLUMNS, LINE_KEY, RAW_COLUMNS, UNKNOWN_REGION
 
 
 # ------------------------------------------------------------------ predicates
@@ -123,7 +123,7 @@ def recompute_revenue(df: DataFrame) -> DataFrame:
                           rint_round(F.col("gross_revenue") - F.col("discount_amount"), 2)))
 
 
-def backfill_region(df: DataFrame, label: str = "Unknown") -> DataFrame:
+def backfill_region(df: DataFrame, label: str = UNKNOWN_REGION) -> DataFrame:
     return df.withColumn("region", F.coalesce(F.col("region"), F.lit(label)))
 
 

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.formatting import money_label, thousands
 from ..functions.money import MONEY, money_sum, rint_round
 from ..plans.physical import one_row
-from ..schema import DEFAULT_TIME_CUT_PCT, DEFAULT_TOP_OVERALL, PAYLOAD_SCHEMA, WEEKDAYS
+from ..schema import (DEFAULT_TIME_CUT_PCT, DEFAULT_TOP_OVERALL, KPI_BOARD_LABELS, PAYLOAD_SCHEMA,
+                      WEEKDAYS)
 
 
 def _rev(col: str = "net_revenue") -> Column:
@@ -287,13 +288,13 @@ def kpi_board(fact: DataFrame, time_cut_pct: int = DEFAULT_TIME_CUT_PCT) -> Data
         return F.struct(F.lit(pos).alias("position"), F.lit(label).alias("label"),
                         value.alias("value"))
 
+    revenue, records, aov, customers, time_cut = KPI_BOARD_LABELS
     tiles = F.array(
-        tile(1, "Total Net Revenue", money_label(F.col("total_revenue"))),
-        tile(2, "Transactions Analyzed",
-             F.concat(thousands(F.col("total_records_analyzed")), F.lit("+"))),
-        tile(3, "Avg Order Value", F.format_string("$%.2f", F.col("avg_order_value"))),
-        tile(4, "Unique Customers", thousands(F.col("unique_customers"))),
-        tile(5, "Manual Reporting Time Cut", F.lit(f"{int(time_cut_pct)}%")),
+        tile(1, revenue, money_label(F.col("total_revenue"))),
+        tile(2, records, F.concat(thousands(F.col("total_records_analyzed")), F.lit("+"))),
+        tile(3, aov, F.format_string("$%.2f", F.col("avg_order_value"))),
+        tile(4, customers, thousands(F.col("unique_customers"))),
+        tile(5, time_cut, F.lit(f"{int(time_cut_pct)}%")),
     )
     return (k.select(F.inline(tiles))
              .select(F.col("position").cast("bigint").alias("position"), "label", "value"))

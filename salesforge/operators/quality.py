@@ -18,7 +18,8 @@ from ..functions.hashing import hash_uniform, weighted_choice
 from ..functions.money import money_sum, rint_round
 from ..plans.physical import one_row
 from ..schema import (DEFAULT_DRAW_SEED, DEFAULT_LOG_ROWS, DEFECT_REASONS, HIGH_SEVERITY,
-                      LINE_KEY, MEDIUM_SEVERITY)
+                      LINE_KEY, MEDIUM_SEVERITY, REPORT_SUMMARY_LABELS, SEVERITY_HIGH, SEVERITY_LOW,
+                      SEVERITY_MEDIUM)
 
 ADJUSTMENT_LOG_COLUMNS = ["order_id", "order_date", "region", "category", "sku",
                           "defect_reason", "severity", "adjustment_qty", "adjustment_value"]
@@ -36,9 +37,9 @@ def draw_defect_reason(df: DataFrame, seed: int = DEFAULT_DRAW_SEED,
 
 
 def severity(reason: Column) -> Column:
-    return (F.when(reason.isin(*HIGH_SEVERITY), F.lit("High"))
-             .when(reason.isin(*MEDIUM_SEVERITY), F.lit("Medium"))
-             .otherwise(F.lit("Low")))
+    return (F.when(reason.isin(*HIGH_SEVERITY), F.lit(SEVERITY_HIGH))
+             .when(reason.isin(*MEDIUM_SEVERITY), F.lit(SEVERITY_MEDIUM))
+             .otherwise(F.lit(SEVERITY_LOW)))
 
 
 def defect_enriched(fact: DataFrame, seed: int = DEFAULT_DRAW_SEED) -> DataFrame:
@@ -116,7 +117,7 @@ def adjustment_log(enriched: DataFrame, rows: int = DEFAULT_LOG_ROWS) -> DataFra
     return (enriched.select(*ADJUSTMENT_LOG_COLUMNS)
                     .orderBy(F.col("order_date").desc(), F.col("order_id").asc(), F.col("sku").asc())
                     .limit(rows)
-                    .withColumn("is_high", F.col("severity") == F.lit("High")))
+                    .withColumn("is_high", F.col("severity") == F.lit(SEVERITY_HIGH)))
 
 
 def report_summary(fact: DataFrame, enriched: DataFrame) -> DataFrame:
@@ -136,14 +137,14 @@ def report_summary(fact: DataFrame, enriched: DataFrame) -> DataFrame:
         return F.struct(F.lit(pos).cast("bigint").alias("position"), F.lit(label).alias("label"),
                         value.alias("value"))
 
+    orders, returns, rate_l, value_l, top_l, share_l = REPORT_SUMMARY_LABELS
     return row.select(F.inline(F.array(
-        line(1, "Total Orders", thousands(F.col("total_orders"))),
-        line(2, "Total Returns / Adjustments", thousands(F.col("total_returns"))),
-        line(3, "Overall Return Rate", percent_label(rate, 2)),
-        line(4, "Total Adjustment Value ($)", dollars_label(F.coalesce(F.col("adj_value"), F.lit(0.0)))),
-        line(5, "#1 Root Cause", F.col("top_reason")),
-        line(6, "#1 Root Cause Share of Returns",
-             F.concat(F.col("top_share").cast("string"), F.lit("%"))),
+        line(1, orders, thousands(F.col("total_orders"))),
+        line(2, returns, thousands(F.col("total_returns"))),
+        line(3, rate_l, percent_label(rate, 2)),
+        line(4, value_l, dollars_label(F.coalesce(F.col("adj_value"), F.lit(0.0)))),
+        line(5, top_l, F.col("top_reason")),
+        line(6, share_l, F.concat(F.col("top_share").cast("string"), F.lit("%"))),
     )))
 
 

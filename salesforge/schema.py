@@ -77,6 +77,23 @@ DEFECT_REASONS = [
 HIGH_SEVERITY = ["Quality Defect - Item Damaged", "Damaged in Transit"]
 MEDIUM_SEVERITY = ["Wrong Item Shipped", "Packaging Failure"]
 
+# Label of a missing region.
+UNKNOWN_REGION = "Unknown"
+
+# Severity names, most severe first.
+SEVERITY_HIGH, SEVERITY_MEDIUM, SEVERITY_LOW = "High", "Medium", "Low"
+
+# KPI tiles of the dashboard page, in page order.
+KPI_BOARD_LABELS = ["Total Net Revenue", "Transactions Analyzed", "Avg Order Value",
+                    "Unique Customers", "Manual Reporting Time Cut"]
+
+# Headline rows of the quality report summary, in sheet order.
+REPORT_SUMMARY_LABELS = ["Total Orders", "Total Returns / Adjustments", "Overall Return Rate",
+                         "Total Adjustment Value ($)", "#1 Root Cause", "#1 Root Cause Share of Returns"]
+
+# Compact money label formats (millions, thousands, units) and their thresholds.
+MONEY_LABEL_FORMATS = [(1e6, "$%.2fM", 2), (1e3, "$%.1fK", 1), (0.0, "$%.0f", 0)]
+
 # Seasonal multiplier rule on day of year.
 SEASON_PEAK_FROM_DOY = 320
 SEASON_PEAK_TO_DOY = 5
