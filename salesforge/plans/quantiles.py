@@ -24,7 +24,7 @@ def value_histogram(df: DataFrame, value: str, groups: list[str] | None = None)
 
 
 def cumulative_counts(hist: DataFrame, value: str, groups: list[str] | None = None,
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, distributed: bool = False) -> DataFrame:
     """Add ``_start`` / ``_end`` (0-based, end exclusive) positions and group size ``_n``.
 
     Per group, the running count is a window over that group's histogram:
@@ -32,11 +32,12 @@ def cumulative_counts(hist: DataFrame, value: str, groups: list[str] | None = No
     domain (cents of a price range), not by the row count, so even a group
     holding a third of all rows is a small, spillable sort.  Without groups
     the whole histogram would meet in one task, so the prefix sums are built
-    distributively instead (``distributed_cumulative_counts``).
+    distributively instead (``distributed_cumulative_counts``); ``distributed=True``
+    does the same for groups whose value domain is not bounded.
     """
     groups = groups or []
-    if not groups:
-        return distributed_cumulative_counts(hist, value, num_partitions)
+    if distributed or not groups:
+        return distributed_cumulative_counts(hist, value, num_partitions, groups)
     run = (Window.partitionBy(*groups).orderBy(value)
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return hist.withColumns({
@@ -75,14 +76,15 @@ def _at(pos: Column, value: str) -> Column:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
-                    groups: list[str] | None = None) -> DataFrame:
+                    groups: list[str] | None = None, distributed: bool = False) -> DataFrame:
     """One row per group with a column per named probability (type 7 interpolation).
 
     q = x[lo] when h == 0 or x[lo] == x[hi], else (1 - h) * x[lo] + h * x[hi],
     with index (n - 1) * p, lo = floor, hi = ceil, h = index - lo.
     """
     groups = groups or []
-    cum = cumulative_counts(value_histogram(df, value, groups), value, groups)
+    cum = cumulative_counts(value_histogram(df, value, groups), value, groups,
+                            distributed=distributed)
     aggs, finals = [], []
     for name, p in probs.items():
         idx = (F.col("_n") - 1) * F.lit(float(p))

@@ -72,3 +72,11 @@ def test_exact_median_with_a_hot_category(spark):
     pdf = df.select("category", "unit_price").toPandas()
     for cat, vals in pdf.groupby("category")["unit_price"]:
         assert abs(q[cat] - float(np.quantile(vals.to_numpy(), 0.5))) < 1e-12
+
+
+def test_grouped_quantiles_distributed_path_agrees(spark):
+    df = _hot_frame(spark)
+    probs = {"q1": 0.25, "med": 0.5, "p90": 0.9}
+    a = exact_quantiles(df, "unit_price", probs, ["category"])
+    b = exact_quantiles(df, "unit_price", probs, ["category"], distributed=True)
+    assert sorted(a.collect()) == sorted(b.collect())
