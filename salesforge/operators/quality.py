@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.formatting import dollars_label, percent_label, thousands
 from ..functions.hashing import hash_uniform, weighted_choice
 from ..functions.money import money_sum, rint_round
-from ..plans.physical import one_row
+from ..plans.physical import one_row, persist
 from ..schema import (DEFAULT_DRAW_SEED, DEFAULT_LOG_ROWS, DEFECT_REASONS, HIGH_SEVERITY,
                       LINE_KEY, MEDIUM_SEVERITY, REPORT_SUMMARY_LABELS, SEVERITY_HIGH, SEVERITY_LOW,
                       SEVERITY_MEDIUM)
@@ -149,9 +149,16 @@ def report_summary(fact: DataFrame, enriched: DataFrame) -> DataFrame:
 
 
 def quality_report(fact: DataFrame, seed: int = DEFAULT_DRAW_SEED,
-                   log_rows: int = DEFAULT_LOG_ROWS) -> dict[str, DataFrame]:
-    """The five report tables, keyed by sheet name."""
+                   log_rows: int = DEFAULT_LOG_ROWS, cache: bool = False) -> dict[str, DataFrame]:
+    """The five report tables, keyed by sheet name.
+
+    Four of them read the enriched returned lines; with ``cache=True`` those
+    are persisted once (released by an enclosing ``persist_scope``) instead of
+    being re-derived from the fact for every table written.
+    """
     enriched = defect_enriched(fact, seed)
+    if cache:
+        enriched = persist(enriched)
     return {
         "summary": report_summary(fact, enriched),
         "root_cause_pareto": defect_pareto(enriched),

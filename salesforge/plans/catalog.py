@@ -689,8 +689,9 @@ UNION ALL SELECT 'by_category', count(DISTINCT category) FROM fact WHERE categor
 UNION ALL SELECT 'by_region', count(DISTINCT region) FROM fact WHERE region IS NOT NULL
 UNION ALL SELECT 'adjustment_log', least(count(*), 500) FROM enriched""", _ENRICHED))
 def q_report_tables(spark, sf_dir):
-    tables = quality.quality_report(_fact(spark, sf_dir))
-    paths = sinks.write_report(tables, scratch_dir(spark, "quality_report"))
+    with persist_scope():  # enriched returns cached for the five writes, then released
+        tables = quality.quality_report(_fact(spark, sf_dir), cache=True)
+        paths = sinks.write_report(tables, scratch_dir(spark, "quality_report"))
     return sinks.read_report_counts(spark, paths)
 
 

@@ -50,7 +50,10 @@ def persist_scope():
     try:
         yield frames
     finally:
-        stack.remove(frames)
+        # scopes nest strictly: ours is on top (compare by identity, lists of
+        # the same frames are equal)
+        assert stack and stack[-1] is frames
+        stack.pop()
         for df in frames:
             df.unpersist()
 

@@ -80,3 +80,16 @@ def test_grouped_quantiles_distributed_path_agrees(spark):
     a = exact_quantiles(df, "unit_price", probs, ["category"])
     b = exact_quantiles(df, "unit_price", probs, ["category"], distributed=True)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_nested_persist_scopes_release_in_order(spark):
+    from salesforge.plans.physical import persist, persist_scope
+    df = spark.range(10)
+    with persist_scope() as outer:
+        a = persist(df.withColumn("x", F.lit(1)))
+        with persist_scope() as inner:
+            b = persist(df.withColumn("y", F.lit(2)))
+            assert a.count() == b.count() == 10
+        assert b.storageLevel.useMemory is False and a.storageLevel.useMemory is True
+    assert a.storageLevel.useMemory is False
+    assert len(outer) == 2 and len(inner) == 1
