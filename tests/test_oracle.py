@@ -45,3 +45,15 @@ def test_query_matches_oracle(spark, duck, name):
 def test_every_query_has_oracle_or_is_listed():
     rows_only = set(E.queries()) - set(E.oracle_sql())
     assert rows_only == set()
+
+
+def test_output_columns_unique_and_stable_across_scales(spark):
+    from tests.conftest import MEDIUM
+    for name, q in E.queries().items():
+        if name in {"stream_daily_ingest", "csv_ingest", "warehouse_load", "report_tables",
+                    "payload_file_series"}:
+            continue  # write files; their schemas are covered by the oracle test
+        small, medium = q(spark, SMALL).schema, q(spark, MEDIUM).schema
+        cols = [f.name for f in small.fields]
+        assert len(cols) == len(set(cols)), name
+        assert small.simpleString() == medium.simpleString(), name
