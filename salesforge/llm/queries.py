@@ -6,18 +6,65 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import line_dedup, near_dedup, quality_rules
 from .common import read_table
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and the learned decision list over every document."""
     docs = read_table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated line runs over all documents: what is deleted and a digest of the text that is left."""
+    return line_dedup.deletions(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+# Windows of 1, 2, 4 ... lines whose text occurs earlier, at least MIN_CHARS code points long, cover the lines that go.
+OP10_SQL = """
+WITH docs AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), windows AS (
+  SELECT doc_id, p, p + w - 1 AS last, md5(CAST(list_slice(lines, p, p + w - 1) AS VARCHAR)) AS h, w,
+         list_sum(list_transform(list_slice(lines, p, p + w - 1), lambda x: length(x))) AS chars
+  FROM (SELECT doc_id, lines, w, unnest(range(1, len(lines) - w + 2)) AS p
+        FROM docs, (SELECT CAST(pow(2, k) AS BIGINT) AS w FROM range(0, 20) t(k)) WHERE len(lines) >= w)
+), later AS (
+  SELECT doc_id, p, last FROM (
+    SELECT *, row_number() OVER (PARTITION BY w, h ORDER BY doc_id, p) AS nth FROM windows)
+  WHERE nth > 1 AND chars >= 20
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, last + 1)) AS i FROM later
+), runs AS (
+  SELECT doc_id, min(i) - 1 AS a, max(i) - 1 AS b FROM (
+    SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM gone)
+  GROUP BY doc_id, island
+), joined AS (
+  SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS runs, sum(b - a + 1) AS n FROM runs GROUP BY doc_id
+), left_over AS (
+  SELECT d.doc_id, len(d.lines) AS n_lines, coalesce(j.n, 0) AS n_removed, coalesce(j.runs, '') AS runs,
+         coalesce(array_to_string(list_filter(d.lines, lambda x, i: NOT list_contains(coalesce(g.all_i, []), i)), chr(10)),
+                  '') AS left_text
+  FROM docs d LEFT JOIN joined j USING (doc_id)
+  LEFT JOIN (SELECT doc_id, list(i) AS all_i FROM gone GROUP BY doc_id) g USING (doc_id)
+)
+SELECT doc_id, n_lines, CAST(n_removed AS BIGINT) AS n_removed, runs, length(left_text) AS n_chars,
+       sha256(left_text) AS text_sha256
+FROM left_over
+"""
+
+ORACLE: dict[str, str] = {
+    "op10_line_dedup": OP10_SQL,
+}
