@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, near_dedup, quality_rules
+from . import line_dedup, near_dedup, pii, quality_rules
 from .common import read_table
 
 
+def op1_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base entities and discovered identifiers of every document."""
+    return pii.entities(read_table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -27,6 +32,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_bootstrap": op1_pii_bootstrap,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op10_line_dedup": op10_line_dedup,
