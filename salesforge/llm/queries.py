@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, near_dedup, packing, pii, quality_rules
+from . import byte_bpe, line_dedup, near_dedup, packing, pii, quality_rules
 from .common import read_table
 
 
@@ -15,6 +15,11 @@ def op1_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.entities(read_table(spark, sf_dir, "documents"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to ids and decoded again, as digests."""
+    return byte_bpe.digests(read_table(spark, sf_dir, "documents"))
+
+
 def op4_bfd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
@@ -38,6 +43,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_bootstrap": op1_pii_bootstrap,
+    "op3_byte_bpe": op3_byte_bpe,
     "op4_bfd_packing": op4_bfd_packing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
