@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, line_dedup, near_dedup, packing, pii, quality_rules
+from . import byte_bpe, line_dedup, near_dedup, packing, pii, quality_rules, topk_search, url_filter
 from .common import read_table
 
 
@@ -25,6 +25,16 @@ def op4_bfd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op5_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best partners of every hundredth vector among all vectors."""
+    return topk_search.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+def op6_url_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), url_filter.rule_table(spark))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -45,11 +55,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_bootstrap": op1_pii_bootstrap,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_bfd_packing": op4_bfd_packing,
+    "op5_block_topk": op5_block_topk,
+    "op6_url_bloom": op6_url_bloom,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op10_line_dedup": op10_line_dedup,
 }
 
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id AS id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.id AS query_id, c.id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.id % 100 = 0 AND q.id <> c.id
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+WHERE place <= 10
+"""
+
+OP6_SQL = r"""
+WITH urls AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages
+), rules(rule_host, rule_path, listed) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
+         ('org', '/fr/', 'allow')
+), judged AS (
+  SELECT host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+         arg_max(listed, length(rule_host || rule_path)) AS listed
+  FROM (SELECT DISTINCT host, path FROM urls) JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY host, path
+)
+SELECT page_id, host, path, rule, coalesce(listed, 'allow') AS verdict FROM urls LEFT JOIN judged USING (host, path)
+"""
+
 # Windows of 1, 2, 4 ... lines whose text occurs earlier, at least MIN_CHARS code points long, cover the lines that go.
 OP10_SQL = """
 WITH docs AS (
@@ -84,5 +128,7 @@ FROM left_over
 """
 
 ORACLE: dict[str, str] = {
+    "op5_block_topk": OP5_SQL,
+    "op6_url_bloom": OP6_SQL,
     "op10_line_dedup": OP10_SQL,
 }
