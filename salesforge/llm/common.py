@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.physical import materialize
+from ..session import ensure_checkpoint_dir
 
-__all__ = ["LATIN_MAX", "concat_spans", "materialize", "read_table", "scratch_column", "text_or_empty",
-           "word_pattern"]
+__all__ = ["LATIN_MAX", "concat_spans", "materialize", "read_table", "scratch_column", "scratch_folder",
+           "text_or_empty", "word_pattern"]
 
 # Highest code point of the range for which ``word_pattern`` lists the letters and numbers itself.
 LATIN_MAX = 0x24F
@@ -21,6 +25,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder in the shared checkpoint folder; it goes when the block ends."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_or_empty(column: Column | str) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

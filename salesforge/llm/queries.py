@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, line_dedup, near_dedup, packing, pii, quality_rules, topk_search, url_filter
-from .common import read_table
+from . import (byte_bpe, chat_format, line_dedup, near_dedup, packing, pii, quality_rules, topk_search, url_filter,
+               warc_convert)
+from .common import materialize, read_table, scratch_folder
 
 
 def op1_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +16,14 @@ def op1_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.entities(read_table(spark, sf_dir, "documents"))
 
 
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as legacy archives, converted to WARC, and read back."""
+    with scratch_folder(spark, "archives") as folder:
+        warc_convert.write_arc(read_table(spark, sf_dir, "pages"), f"{folder}/arc")
+        warc_convert.convert(spark, f"{folder}/arc", f"{folder}/warc")
+        return materialize(warc_convert.read_records(spark, f"{folder}/warc"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded to ids and decoded again, as digests."""
     return byte_bpe.digests(read_table(spark, sf_dir, "documents"))
@@ -46,6 +55,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op9_chat_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are control strings, formatted and read back."""
+    text = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)],
+                                 "conv_id long, turn long, role string, text string")
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.digests(rows.union(more))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated line runs over all documents: what is deleted and a digest of the text that is left."""
     return line_dedup.deletions(read_table(spark, sf_dir, "documents"))
@@ -53,15 +71,62 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_bootstrap": op1_pii_bootstrap,
+    "op2_arc_to_warc": op2_arc_to_warc,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_bfd_packing": op4_bfd_packing,
     "op5_block_topk": op5_block_topk,
     "op6_url_bloom": op6_url_bloom,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_chat_layouts": op9_chat_layouts,
     "op10_line_dedup": op10_line_dedup,
 }
 
+# Base32 by hand: the digest's 160 bits in groups of five.
+OP2_SQL = """
+WITH records AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), digests AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM records
+), bits AS (
+  SELECT hex, array_to_string(list_transform(range(1, 41), lambda i: (
+           ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100',
+            '1101', '1110', '1111'])[position(substr(hex, i, 1) IN '0123456789abcdef')]), '') AS b
+  FROM (SELECT DISTINCT hex FROM digests)
+), names AS (
+  SELECT hex, array_to_string(list_transform(range(0, 32), lambda g: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + 16 * CAST(substr(b, 5 * g + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * g + 2, 1) AS INT)
+             + 4 * CAST(substr(b, 5 * g + 3, 1) AS INT) + 2 * CAST(substr(b, 5 * g + 4, 1) AS INT)
+             + CAST(substr(b, 5 * g + 5, 1) AS INT), 1)), '') AS payload_digest
+  FROM bits
+), firsts AS (
+  SELECT hex, min(page_id) AS first_id FROM digests GROUP BY hex
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM digests JOIN names USING (hex) JOIN firsts USING (hex)
+"""
+
+# Escaping puts a backslash before each of four characters; the marks of a turn have a fixed length.
+OP9_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), marked AS (
+  SELECT *, length(text) + length(regexp_replace(text, '[^\<\[\]\\]', '', 'g'))
+            + CASE role WHEN 'assistant' THEN 4 WHEN 'user' THEN 16
+                   ELSE 17 + length(role) + length(regexp_replace(role, '[^\<\[\]\\]', '', 'g')) END AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
 OP5_SQL = """
 WITH v AS (
   SELECT vec_id AS id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
@@ -128,7 +193,9 @@ FROM left_over
 """
 
 ORACLE: dict[str, str] = {
+    "op2_arc_to_warc": OP2_SQL,
     "op5_block_topk": OP5_SQL,
     "op6_url_bloom": OP6_SQL,
+    "op9_chat_layouts": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
 }
