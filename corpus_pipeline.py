@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesforge.llm import quality_rules
+from salesforge.llm import line_dedup, near_dedup, packing, pii, quality_rules
 from salesforge.llm.common import read_table
 from salesforge.session import ensure_checkpoint_dir
 
@@ -20,8 +20,32 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.filter_documents(docs, quality_rules.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: later copies of repeated line runs are cut out; a document of which nothing is left goes."""
+    return line_dedup.remove_repeated_runs(docs, chars_col="n_chars")
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: of each group of near-duplicates the document with the smallest id stays."""
+    return near_dedup.keep_one(docs)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: personal data is replaced by its kind."""
+    return pii.mask(docs, chars_col="n_chars")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: the pieces of all documents with their places in sequences of 1024 tokens."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
     ("quality rules", quality_stage),
+    ("line dedup", line_stage),
+    ("near dedup", near_stage),
+    ("personal data", pii_stage),
+    ("packing", packing_stage),
 ]
 
 ORACLE_SQL = None

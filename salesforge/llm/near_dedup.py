@@ -250,7 +250,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near-duplicates: of each component its smallest id stays, with all its columns."""
+    """The documents without near-duplicates: of each component its smallest id stays, with all its columns.
+
+    Only documents that a Bloom filter of the ids to drop cannot rule out are joined, so most texts are not shuffled.
+    """
     gone = scratch_column(docs, "gone")
-    drop = near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(drop, F.col(f"`{id_col}`") == F.col(gone), "left_anti")
+    drop = materialize(near_duplicates(docs, id_col, text_col).where("not kept")
+                       .select(F.col("doc_id").alias(gone)).distinct())
+    n_drop = drop.count()
+    bits = docs.sparkSession.sparkContext.broadcast(
+        bloom.build(drop.select(F.xxhash64(gone).alias("h")), "h", n_drop))
+
+    @pandas_udf(T.BooleanType())
+    def maybe_gone(hashes: pd.Series) -> pd.Series:
+        return pd.Series(bloom.might_contain(bits.value, hashes.to_numpy(np.int64)))
+
+    doc_id = F.col(f"`{id_col}`").cast("long")
+    maybe = doc_id.isNotNull() & maybe_gone(F.xxhash64(doc_id))
+    return docs.where(~maybe).union(docs.where(maybe).join(drop, doc_id == F.col(gone), "left_anti"))
