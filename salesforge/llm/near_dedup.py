@@ -42,6 +42,7 @@ PERCENT = 75
 K = 192
 MISS = 1e-12
 CACHED_WORDS = 500_000
+HEAD = 48  # earlier values of a node that are looked at to emit a pair once
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FACTORS = [np.uint64(x) for x in (  # odd numbers, one for each place of a word in a shingle
@@ -146,14 +147,22 @@ def similar_udf(xs: pd.Series, ys: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def _length_ok(a: Column, b: Column) -> Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _can_link(n_a: Column, n_b: Column, after_a: Column, after_b: Column) -> Column:
+    """False where the sizes, or the values that are left in both sketches, rule the pair out.
+
+    Holds for the pair's rarest shared value, so a pair above the threshold passes in at least one list.
+    """
+    whole = F.ceil((n_a + n_b) * PERCENT / (100 + PERCENT))  # shared by whole sets
+    need = F.when((n_a <= K) & (n_b <= K), whole).otherwise(F.least(whole, F.lit(shared_at_least(K))))
+    return ((100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b))
+            & (F.least(after_a, after_b) + 1 >= need))
 
 
 def _prefixes(nodes: DataFrame) -> DataFrame:
-    """(value, node, n, own): the rarest retained values of each node that others share, enough to meet every partner.
+    """(node, n, own, others, prefix): the rarest retained values that others share, enough to meet every partner.
 
-    ``own``: how many retained values no other node has; central nodes of a group have few.
+    ``own``: how many retained values no other node has; central nodes of a group have few.  ``others``: how many
+    others share; ``prefix``: the rarest of them, in order.
     """
     values = nodes.select(F.explode("sketch").alias("value"))
     shared = materialize(values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"))
@@ -176,9 +185,19 @@ def _prefixes(nodes: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("df", "value"))).alias("found"))  # at most K values a node
     own = F.col("m") - F.size("found")
     take = F.greatest(F.col("m") - need + 1 - own, F.lit(0)).cast("int")
-    return materialize(lists.select("node", "n", own.alias("own"),
-                                    F.explode(F.slice("found", F.lit(1), take)).alias("f"))
-                       .select("f.value", "node", "n", "own"))
+    return materialize(lists.select("node", "n", own.alias("own"), F.size("found").alias("others"),
+                                    F.transform(F.slice("found", F.lit(1), take), lambda f: f["value"]).alias("prefix"))
+                       .where(F.size("prefix") > 0))
+
+
+def _postings(prefixes: DataFrame) -> DataFrame:
+    """(value, place, node, n, own, after), a row for each prefix value.
+
+    ``after``: how many of the node's shared values are as common as this one or more so; no more can be shared with a
+    partner besides the pair's rarest shared value.
+    """
+    return (prefixes.select("node", "n", "own", "others", F.posexplode("prefix").alias("place", "value"))
+            .select("value", "place", "node", "n", "own", (F.col("others") - F.col("place") - 1).alias("after")))
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -219,10 +238,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = materialize(docs.select("id", sketch_udf("text").alias("s")).select("id", "s.n", "s.digest", "s.sketch"))
     nodes = materialize(base.where("n > 0 and id is not null").groupBy("digest").agg(
         F.min("id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
-    postings = _prefixes(nodes)
+    prefixes = _prefixes(nodes)
+    postings = _postings(prefixes)
 
-    centre = postings.groupBy("value").agg(F.min(F.struct("own", "n", "node")).alias("c"))
-    stars = (postings.join(centre, "value").where("node <> c.node").where(_length_ok(F.col("n"), F.col("c.n")))
+    centre = postings.groupBy("value").agg(F.min(F.struct("own", "n", "node", "after")).alias("c"))
+    stars = (postings.join(centre, "value").where("node <> c.node")
+             .where(_can_link(*map(F.col, ("n", "c.n", "after", "c.after"))))
              .select(F.greatest("node", "c.node").alias("v"), F.least("node", "c.node").alias("u")).distinct())
     stars = materialize(stars)
     links = materialize(_verified(docs, nodes, stars))
@@ -231,9 +252,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
     placed = materialize(placed.join(mixed.select("value"), "value"))
-    a = placed.select("value", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "root")])
-    b = placed.select("value", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "root")])
-    rest = (a.join(b, "value").where("root_a < root_b").where(_length_ok(F.col("n_a"), F.col("n_b")))
+    # a pair that meets in an earlier value of both is emitted there
+    met = placed.join(prefixes.select("node", "prefix"), "node").withColumn(
+        "before", F.slice("prefix", F.lit(1), F.least("place", F.lit(HEAD))))
+    a, b = (met.select("value", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "after", "before", "root")])
+            for side in "ab")
+    rest = (a.join(b, "value").where("root_a < root_b")
+            .where(_can_link(*map(F.col, ("n_a", "n_b", "after_a", "after_b"))))
+            .where(~F.arrays_overlap("before_a", "before_b"))
             .select(F.least("node_a", "node_b").alias("u"), F.greatest("node_a", "node_b").alias("v")).distinct()
             .join(stars, ["u", "v"], "left_anti"))
     more = materialize(_verified(docs, nodes, materialize(rest)))
