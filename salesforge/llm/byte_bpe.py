@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import text_or_empty, word_pattern
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-DICTIONARY_WORDS = 150_000
+DICTIONARY_WORDS = 300_000
 DICTIONARY_BYTES = 32  # longest word that the dictionary takes
 CHUNK_CHARS = 2_000_000
 FOLD_BYTES = 512
@@ -101,26 +101,38 @@ def rank_literal(ranks: dict[bytes, int]) -> Column:
     return F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,int>>")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once; a lambda body computes a repeated expression again each time."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _rank(token: Column, ranks: Column) -> Column:
-    bucket = F.get(ranks, (F.crc32(token.cast("binary")) % BUCKETS).cast("int"))
-    return F.coalesce(F.try_element_at(bucket, token), F.lit(_NONE))
+    return _bound(token, lambda t: F.coalesce(
+        F.try_element_at(F.get(ranks, (F.crc32(t.cast("binary")) % BUCKETS).cast("int")), t), F.lit(_NONE)))
 
 
 def _merge_step(state: Column, ranks: Column) -> Column:
+    """Joins the leftmost pair of lowest rank.  The new arrays are transforms over places: of array functions,
+    ``slice`` and ``concat`` cost several times as much."""
     parts, near = state["parts"], state["near"]  # near[i]: rank of parts[i] and parts[i + 1] together
-    low = F.array_min(near)
-    p = F.array_position(near, low).cast("int")  # from 1
-    n = F.size(parts)
-    joined = F.concat(F.get(parts, p - 1), F.get(parts, p))
-    nothing = F.array().cast("array<int>")
-    new_parts = F.concat(F.slice(parts, F.lit(1), p - 1), F.array(joined), F.slice(parts, p + 2, n))
-    new_near = F.concat(
-        F.slice(near, F.lit(1), F.greatest(p - 2, F.lit(0))),
-        F.when(p > 1, F.array(_rank(F.concat(F.get(parts, p - 2), joined), ranks))).otherwise(nothing),
-        F.when(p + 1 < n, F.array(_rank(F.concat(joined, F.get(parts, p + 1)), ranks))).otherwise(nothing),
-        F.slice(near, p + 2, n))
-    return F.when((F.size(near) == 0) | (low == _NONE), state).otherwise(
-        F.struct(new_parts.alias("parts"), new_near.alias("near")))
+
+    def merged(p: Column, joined: Column) -> Column:  # p: the pair's place from 0
+        places = F.sequence(F.lit(0), F.size(near) - 1)
+        return F.struct(
+            F.transform(places, lambda i: F.when(i == p, joined).otherwise(
+                F.get(parts, F.when(i < p, i).otherwise(i + 1)))).alias("parts"),
+            F.when(F.size(near) == 1, F.array().cast("array<int>")).otherwise(
+                F.transform(F.sequence(F.lit(0), F.size(near) - 2), lambda i: (
+                    F.when(i == p - 1, _rank(F.concat(F.get(parts, i), joined), ranks))
+                    .when(i == p, _rank(F.concat(joined, F.get(parts, i + 2)), ranks))
+                    .otherwise(F.get(near, F.when(i < p, i).otherwise(i + 1)))))).alias("near"))
+
+    def at_lowest(low: Column) -> Column:
+        return F.when(F.coalesce(low, F.lit(_NONE)) == _NONE, state).otherwise(
+            _bound(F.array_position(near, low).cast("int") - 1, lambda p: _bound(
+                F.concat(F.get(parts, p), F.get(parts, p + 1)), lambda joined: merged(p, joined))))
+
+    return _bound(F.array_min(near), at_lowest)
 
 
 def encode_word(word: Column, ranks: Column) -> Column:
@@ -133,15 +145,14 @@ def encode_word(word: Column, ranks: Column) -> Column:
                              lambda state, _: _merge_step(state, ranks))["parts"]
         return F.transform(merged, lambda part: _rank(part, ranks))
 
-    # bound once: the word as a string with one character for each byte
-    one = F.array(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"))
-    return F.get(F.transform(one, lambda c: F.when(
-        (F.length(c) == 1) | (_rank(c, ranks) != _NONE), F.array(_rank(c, ranks))).otherwise(fold(c))), F.lit(0))
+    # the word as a string with one character for each byte
+    return _bound(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), lambda c: _bound(
+        _rank(c, ranks), lambda whole: F.when((whole != _NONE) | (F.length(c) == 1), F.array(whole)).otherwise(fold(c))))
 
 
 def encode_words(words: Column, ranks: Column) -> Column:
     """array<string> -> array<array<int>>; the literal map is evaluated once for the row."""
-    return F.get(F.transform(F.array(ranks), lambda r: F.transform(words, lambda w: encode_word(w, r))), F.lit(0))
+    return _bound(ranks, lambda r: F.transform(words, lambda w: encode_word(w, r)))
 
 
 def count_words(texts: DataFrame) -> DataFrame:
