@@ -31,24 +31,39 @@ WINDOW = 1024
 CLOSING_ID = 0
 VOCABULARY = "byte_bpe_50k.json"
 PIECES_PER_GROUP = 8192
-CACHED_WORDS = 250_000
+CACHED_WORDS = 600_000
 
 
 class _Words(dict):
-    """Little-endian ids of each word: a bounded cache before the tokenizer."""
+    """Little-endian ids of each word: a bounded cache before the tokenizer.
+
+    When it is full it becomes the older half, from which words that turn up again are taken back.
+    """
 
     def __init__(self, encode: Callable[[str], list[int]]):
         self.encode = encode
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        ids = np.array(self.encode(word), "<u4").tobytes()
+        ids = self.older.pop(word, None)
+        if ids is None:
+            ids = np.array(self.encode(word), "<u4").tobytes()
         if len(word) <= 64:
+            if len(self) >= CACHED_WORDS // 2:
+                self.older = dict(self)
+                self.clear()
             self[word] = ids
         return ids
 
 
+def byte_characters() -> dict[int, str]:
+    """The character that a byte-level vocabulary writes for each byte: itself where it is printable Latin-1, else the
+    next one from 256 on."""
+    itself = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in itself]
+    return {b: chr(b) for b in itself} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 @lru_cache(1)
 def token_ids(path: str) -> Callable[[str], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit integers.
@@ -63,8 +78,12 @@ def token_ids(path: str) -> Callable[[str], bytes]:
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    words = _Words(lambda w: tokenizer.encode(w, add_special_tokens=False).ids)
+    model, characters = tokenizer.model, byte_characters()
+
+    def ids_of_word(word: str) -> list[int]:  # the model alone: a word is split already
+        return [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(characters))]
+
+    words = _Words(ids_of_word)
     latin, beyond = word_pattern(public_tokenizers.PATTERN)
     full = regex.compile(public_tokenizers.PATTERN)
 
