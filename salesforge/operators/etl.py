@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import add_time_dimensions
 from ..functions.money import rint_round
-from ..plans.physical import bounded_broadcast, one_row, persist
+from ..plans.physical import one_row
 from ..plans.quantiles import cumulative_counts, value_histogram
-from ..schema import ALL_INGEST_ORDER, FACT_COLUMNS, LINE_KEY, RAW_COLUMNS, UNKNOWN_REGION
+from ..schema import ALL_INGEST_ORDER, FACT_COLUMNS, LINE_KEY, UNKNOWN_REGION
 
 
 # ------------------------------------------------------------------ predicates
@@ -66,6 +66,7 @@ def category_median_price(df: DataFrame, group: str = "category",
     histogram (partial aggregation before the shuffle) and the middle
     positions are found from distributed cumulative counts, so no task ever
     holds a whole group.  Even counts average the two middle values (a + b) / 2.
+    NaN counts as a missing price.
     """
     valid = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()
                      & ~invalid_price(value))
@@ -85,17 +86,14 @@ def category_median_price(df: DataFrame, group: str = "category",
 def impute_price_median(df: DataFrame) -> DataFrame:
     """Invalid prices take their category's median of valid prices.
 
-    The median table has one row per category; it is broadcast after its row
-    count is checked (``bounded_broadcast``), else joined with a shuffle.  A
-    category with no valid price, or a null category, yields a null price.
+    The median table has one row per category; how to join it is left to the
+    planner, which knows its size when the query runs.  A category with no
+    valid price, or a null category, yields a null price.
 
-    The input is read twice (medians, then the repair), so it is persisted
-    (memory, spilling to disk): the size check materialises it once and the
-    repair reads it back instead of recomputing the upstream shuffles.
+    The medians need only the line key, category and price of the input, so
+    their pass is pruned to those columns; nothing is cached.
     """
-    df = persist(df)
-    med = bounded_broadcast(category_median_price(df))
-    joined = df.join(med, on="category", how="left")
+    joined = df.join(category_median_price(df), on="category", how="left")
     return (joined.withColumn("unit_price",
                               F.when(invalid_price(), F.col("median_price"))
                                .otherwise(F.col("unit_price")))
@@ -170,7 +168,9 @@ def clean_fact_observed(raw: DataFrame) -> tuple[DataFrame, dict[str, Observatio
     them with ``observed_metrics`` after the first action.
     """
     obs = {"raw": Observation("etl_raw"), "dedup": Observation("etl_dedup")}
-    raw = raw.observe(obs["raw"], F.count(F.lit(1)).alias("raw_rows"))
+    unparsed = F.col("unparsed_fields") if "unparsed_fields" in raw.columns else F.lit(0)
+    raw = raw.observe(obs["raw"], F.count(F.lit(1)).alias("raw_rows"),
+                      F.coalesce(F.sum(unparsed), F.lit(0)).alias("unparsed_fields"))
     d = dedup_lines(raw).observe(obs["dedup"], *_dedup_metric_exprs())
     out = (d.transform(impute_price_median)
             .transform(fix_quantity)
@@ -217,7 +217,3 @@ def clean_fact(raw: DataFrame, strict: bool = False) -> DataFrame:
             .transform(enforce_types)
             .transform(time_dimensions))
     return out.select(*FACT_COLUMNS)
-
-
-def raw_only(df: DataFrame) -> DataFrame:
-    return df.select(*RAW_COLUMNS)

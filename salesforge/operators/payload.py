@@ -48,7 +48,8 @@ def kpi_summary(fact: DataFrame) -> DataFrame:
 
 def monthly_trend(fact: DataFrame) -> DataFrame:
     return (fact.where(F.col("order_month").isNotNull())
-                .groupBy(F.col("order_month").alias("month")).agg(_rev()))
+                .groupBy(F.col("order_month").alias("month")).agg(_rev())
+                .orderBy("month"))
 
 
 def region_category_revenue(fact: DataFrame) -> DataFrame:
@@ -59,7 +60,8 @@ def region_category_revenue(fact: DataFrame) -> DataFrame:
 def region_list(fact: DataFrame) -> DataFrame:
     """Sorted distinct regions; the first one is the drill-through default."""
     regions = fact.where(F.col("region").isNotNull()).select("region").distinct()
-    return regions.withColumn("is_default", F.col("region") == F.min("region").over(Window.partitionBy()))
+    return (regions.withColumn("is_default", F.col("region") == F.min("region").over(Window.partitionBy()))
+                   .orderBy("region"))
 
 
 def region_drill_one(fact: DataFrame, region: str | None = None) -> DataFrame:
@@ -73,7 +75,8 @@ def region_drill_one(fact: DataFrame, region: str | None = None) -> DataFrame:
         chosen = rc.agg(F.min("region").alias("region"))
     else:
         chosen = rc.select("region").where(F.col("region") == F.lit(region)).distinct()
-    return rc.join(F.broadcast(chosen), "region").select("region", "category", "revenue")
+    return (rc.join(F.broadcast(chosen), "region").select("region", "category", "revenue")
+              .orderBy(F.col("revenue").desc(), "category"))
 
 
 def top_skus_overall(fact: DataFrame, n: int = DEFAULT_TOP_OVERALL) -> DataFrame:
@@ -91,19 +94,17 @@ def top_skus_overall(fact: DataFrame, n: int = DEFAULT_TOP_OVERALL) -> DataFrame
 
 
 def channel_mix(fact: DataFrame) -> DataFrame:
-    return fact.where(F.col("channel").isNotNull()).groupBy("channel").agg(_rev())
+    return fact.where(F.col("channel").isNotNull()).groupBy("channel").agg(_rev()).orderBy("channel")
 
 
 def region_totals(fact: DataFrame) -> DataFrame:
-    return fact.where(F.col("region").isNotNull()).groupBy("region").agg(_rev())
+    return (fact.where(F.col("region").isNotNull()).groupBy("region").agg(_rev())
+                .orderBy(F.col("revenue").desc(), "region"))
 
 
 def weekday_dimension(spark) -> DataFrame:
-    """Monday..Sunday with their position, generated from a calendar rule."""
-    monday = F.lit("2024-01-01").cast("date")  # a Monday
-    return (spark.range(7)
-                 .select(F.date_format(F.date_add(monday, F.col("id").cast("int")), "EEEE").alias("day"),
-                         (F.col("id") + 1).alias("day_index")))
+    """The fixed weekday list with positions from 1."""
+    return spark.createDataFrame([(d, i + 1) for i, d in enumerate(WEEKDAYS)], "day string, day_index long")
 
 
 def day_of_week_revenue(fact: DataFrame) -> DataFrame:
@@ -112,7 +113,8 @@ def day_of_week_revenue(fact: DataFrame) -> DataFrame:
                   .groupBy(F.col("day_of_week").alias("day")).agg(_rev()))
     dim = weekday_dimension(fact.sparkSession)
     return (dim.join(by_day, "day", "left")
-               .select("day", "day_index", F.coalesce(F.col("revenue"), F.lit(0.0)).alias("revenue")))
+               .select("day", "day_index", F.coalesce(F.col("revenue"), F.lit(0.0)).alias("revenue"))
+               .orderBy("day_index"))
 
 
 # ------------------------------------------------------------------ nested payload
@@ -233,14 +235,17 @@ def dashboard_payload(fact: DataFrame, **kw) -> DataFrame:
 def payload_series(payload: DataFrame) -> DataFrame:
     """Re-read the JSON and flatten every series: (series, pos, label, sub_label, value).
 
-    ``pos`` is the 0-based position inside its array (region drill: region
-    position * 1000 + category position), so ordering is checked too.  All
+    ``pos`` is the 0-based position inside its array, so ordering is checked
+    too; in the region drill it is the region's, and ``sub_pos`` the category's
+    inside it (null in the other series).  All
     series are built as one array in a single projection and exploded once.
     """
     p = payload.select(F.from_json("payload", PAYLOAD_SCHEMA).alias("p")).select("p.*")
 
-    def entry(series, pos, label, sub, value):
+    def entry(series, pos, label, sub, value, sub_pos=None):
+        sub_pos = F.lit(None) if sub_pos is None else sub_pos
         return F.struct(F.lit(series).alias("series"), pos.cast("bigint").alias("pos"),
+                        sub_pos.cast("bigint").alias("sub_pos"),
                         label.cast("string").alias("label"), sub.cast("string").alias("sub_label"),
                         value.cast("double").alias("value"))
 
@@ -257,7 +262,7 @@ def payload_series(payload: DataFrame) -> DataFrame:
     drill = F.flatten(F.transform(
         F.map_entries("region_drill"),
         lambda r, ri: F.transform(r["value"], lambda e, ci: entry(
-            "region_drill", ri * 1000 + ci, r["key"], e["category"], e["revenue"]))))
+            "region_drill", ri, r["key"], e["category"], e["revenue"], ci))))
     cut = F.array(entry("manual_reporting_time_reduction_pct", F.lit(0), none, none,
                         F.col("manual_reporting_time_reduction_pct")))
     everything = F.concat(kpi, arr("monthly_trend", "month"), drill,

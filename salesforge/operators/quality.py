@@ -16,15 +16,10 @@ from pyspark.sql import functions as F
 from ..functions.formatting import dollars_label, percent_label, thousands
 from ..functions.hashing import hash_uniform, weighted_choice
 from ..functions.money import money_sum, rint_round
-from ..plans.physical import one_row, persist
-from ..schema import (DEFAULT_DRAW_SEED, DEFAULT_LOG_ROWS, DEFECT_REASONS, HIGH_SEVERITY,
+from ..schema import (ADJUSTMENT_LOG_COLUMNS, DEFAULT_DRAW_SEED, DEFAULT_LOG_ROWS, DEFECT_REASONS, HIGH_SEVERITY,
                       LINE_KEY, MEDIUM_SEVERITY, REPORT_SUMMARY_LABELS, SEVERITY_HIGH, SEVERITY_LOW,
                       SEVERITY_MEDIUM)
 
-ADJUSTMENT_LOG_COLUMNS = ["order_id", "order_date", "region", "category", "sku",
-                          "defect_reason", "severity", "adjustment_qty", "adjustment_value"]
-
-
 def returned_lines(fact: DataFrame) -> DataFrame:
     """Lines flagged as returned (the filter is pushed into the Parquet scan)."""
     return fact.where(F.col("is_returned") == 1)
@@ -70,45 +65,61 @@ def defect_pareto(enriched: DataFrame) -> DataFrame:
              .withColumn("cumulative_pct", rint_round(F.sum("pct_of_total").over(running), 1))
              .withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
              .select("rank", "defect_reason", "orders", "adjustment_value",
-                     "pct_of_total", "cumulative_pct"))
+                     "pct_of_total", "cumulative_pct")
+             .orderBy("rank"))
 
 
 # ------------------------------------------------------------------ by key
+def with_reason(fact: DataFrame, seed: int = DEFAULT_DRAW_SEED) -> DataFrame:
+    """All lines with the reason of the returned ones; lines that were kept have none."""
+    u = hash_uniform(seed, *LINE_KEY)
+    return fact.withColumn("defect_reason", F.when(F.col("is_returned") == 1, weighted_choice(u, DEFECT_REASONS)))
+
+
 def defect_rate_by(fact: DataFrame, key: str) -> DataFrame:
-    """orders, returns and defect rate (% of lines returned) per key; null keys dropped."""
+    """orders, returns and defect rate (% of lines returned) per key, rate descending; null keys dropped."""
     return (fact.where(F.col(key).isNotNull())
                 .groupBy(key)
                 .agg(F.count(F.lit(1)).alias("orders"),
                      F.sum("is_returned").cast("bigint").alias("returns"),
                      F.avg("is_returned").alias("_rate"))
                 .select(key, "orders", "returns",
-                        rint_round(F.col("_rate") * F.lit(100.0), 2).alias("defect_rate_pct")))
+                        rint_round(F.col("_rate") * F.lit(100.0), 2).alias("defect_rate_pct"))
+                .orderBy(F.col("defect_rate_pct").desc(), key))
 
 
 def top_defect_reason_by(enriched: DataFrame, key: str) -> DataFrame:
-    """Most frequent reason per key; ties go to the alphabetically first reason.
+    """Most frequent reason per key, by key; ties go to the alphabetically first reason.
 
-    Counts are per (key, reason) — a handful of rows per key — so the ranking
-    window is over an aggregate, whatever the size of the input.
+    Counts are per (key, reason) — a handful of rows per key — so the choice
+    is made over an aggregate, whatever the size of the input.
     """
     c = (enriched.where(F.col(key).isNotNull())
                  .groupBy(key, "defect_reason").agg(F.count(F.lit(1)).alias("_n")))
-    w = Window.partitionBy(key).orderBy(F.col("_n").desc(), F.col("defect_reason").asc())
-    return (c.withColumn("_rk", F.row_number().over(w))
-             .where(F.col("_rk") == 1)
-             .select(key, F.col("defect_reason").alias("top_defect_reason")))
+    return (c.groupBy(key).agg(F.min(F.struct(-F.col("_n"), "defect_reason"))["defect_reason"]
+                               .alias("top_defect_reason"))
+             .orderBy(key))
 
 
-def report_by(fact: DataFrame, enriched: DataFrame, key: str) -> DataFrame:
-    """Defect rate + top reason per key, rate descending, with a 0..1 colour-scale position."""
-    rates = defect_rate_by(fact, key)
-    top = top_defect_reason_by(enriched, key)
+def report_by(fact: DataFrame, key: str, seed: int = DEFAULT_DRAW_SEED) -> DataFrame:
+    """Defect rate + top reason per key, rate descending, with a 0..1 colour-scale position.
+
+    One scan: lines are counted by (key, reason), and a key's figures are folded from its few counts.
+    """
+    counts = (with_reason(fact, seed).where(F.col(key).isNotNull()).groupBy(key, "defect_reason")
+              .agg(F.count(F.lit(1)).alias("_n"), F.count("is_returned").alias("_known"),
+                   F.sum("is_returned").alias("_returns")))
+    top = F.min(F.when(F.col("defect_reason").isNotNull(), F.struct(-F.col("_n"), "defect_reason")))
+    rates = counts.groupBy(key).agg(
+        F.sum("_n").alias("orders"), F.sum("_returns").cast("bigint").alias("returns"),
+        rint_round(F.try_divide(F.sum("_returns").cast("double"), F.sum("_known").cast("double")) * F.lit(100.0), 2)
+        .alias("defect_rate_pct"),
+        top["defect_reason"].alias("top_defect_reason"))
     all_rows = Window.partitionBy()
     lo, hi = F.min("defect_rate_pct").over(all_rows), F.max("defect_rate_pct").over(all_rows)
-    return (rates.join(top, key, "left")
-                 .withColumn("rate_scale", F.try_divide(F.col("defect_rate_pct") - lo, hi - lo))
-                 .select(key, "orders", "returns", "defect_rate_pct", "top_defect_reason",
-                         "rate_scale"))
+    return (rates.withColumn("rate_scale", F.try_divide(F.col("defect_rate_pct") - lo, hi - lo))
+                 .select(key, "orders", "returns", "defect_rate_pct", "top_defect_reason", "rate_scale")
+                 .orderBy(F.col("defect_rate_pct").desc(), key))
 
 
 # ------------------------------------------------------------------ log + summary
@@ -120,17 +131,20 @@ def adjustment_log(enriched: DataFrame, rows: int = DEFAULT_LOG_ROWS) -> DataFra
                     .withColumn("is_high", F.col("severity") == F.lit(SEVERITY_HIGH)))
 
 
-def report_summary(fact: DataFrame, enriched: DataFrame) -> DataFrame:
-    """Six headline figures as (position, label, value) text."""
-    pareto = defect_pareto(enriched)
-    first = pareto.where(F.col("rank") == 1)
-    row = one_row({
-        "total_orders": fact.agg(F.count(F.lit(1))),
-        "total_returns": enriched.agg(F.count(F.lit(1))),
-        "adj_value": enriched.agg(money_sum("adjustment_value").cast("double")),
-        "top_reason": first.select("defect_reason"),
-        "top_share": first.select("pct_of_total"),
-    })
+def report_summary(fact: DataFrame, seed: int = DEFAULT_DRAW_SEED) -> DataFrame:
+    """Six headline figures as (position, label, value) text, from one aggregate of eight rows (reason or none)."""
+    by_reason = with_reason(fact, seed).groupBy("defect_reason").agg(
+        F.count(F.lit(1)).alias("_n"), F.count("order_id").alias("_orders"), money_sum("net_revenue").alias("_value"))
+    returned = F.col("defect_reason").isNotNull()
+    row = by_reason.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_orders"),
+        F.coalesce(F.sum(F.when(returned, F.col("_n"))), F.lit(0)).alias("total_returns"),
+        F.sum(F.when(returned, F.col("_value"))).cast("double").alias("adj_value"),
+        F.sum(F.when(returned, F.col("_orders"))).alias("_all"),
+        F.min(F.when(returned, F.struct((-F.col("_orders")).alias("less"), "defect_reason"))).alias("_top")).select(
+        "total_orders", "total_returns", "adj_value", F.col("_top.defect_reason").alias("top_reason"),
+        rint_round(F.try_divide(-F.col("_top.less").cast("double"), F.col("_all").cast("double"))
+                   * F.lit(100.0), 1).alias("top_share"))
     rate = F.try_divide(F.col("total_returns").cast("double"), F.col("total_orders").cast("double"))
 
     def line(pos, label, value):
@@ -149,20 +163,13 @@ def report_summary(fact: DataFrame, enriched: DataFrame) -> DataFrame:
 
 
 def quality_report(fact: DataFrame, seed: int = DEFAULT_DRAW_SEED,
-                   log_rows: int = DEFAULT_LOG_ROWS, cache: bool = False) -> dict[str, DataFrame]:
-    """The five report tables, keyed by sheet name.
-
-    Four of them read the enriched returned lines; with ``cache=True`` those
-    are persisted once (released by an enclosing ``persist_scope``) instead of
-    being re-derived from the fact for every table written.
-    """
+                   log_rows: int = DEFAULT_LOG_ROWS) -> dict[str, DataFrame]:
+    """The five report tables, keyed by sheet name; each is one pass over the columns it needs."""
     enriched = defect_enriched(fact, seed)
-    if cache:
-        enriched = persist(enriched)
     return {
-        "summary": report_summary(fact, enriched),
+        "summary": report_summary(fact, seed),
         "root_cause_pareto": defect_pareto(enriched),
-        "by_category": report_by(fact, enriched, "category"),
-        "by_region": report_by(fact, enriched, "region"),
+        "by_category": report_by(fact, "category", seed),
+        "by_region": report_by(fact, "region", seed),
         "adjustment_log": adjustment_log(enriched, log_rows),
     }

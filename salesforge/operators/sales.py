@@ -35,7 +35,7 @@ def monthly_revenue_mom(fact: DataFrame) -> DataFrame:
         half_away_round(ratio(rev, F.col("orders")), 2).alias("avg_order_value"),
         half_away_round(change, 2).alias("revenue_change"),
         half_away_round(ratio(F.lit(100.0) * change, prev.cast("double")), 2).alias("mom_growth_pct"),
-    )
+    ).orderBy("order_month")
 
 
 def sku_performance(fact: DataFrame) -> DataFrame:
@@ -54,7 +54,8 @@ def top_skus_per_category(fact: DataFrame, top_n: int = DEFAULT_TOP_PER_CATEGORY
     return (sku_performance(fact)
             .withColumn("revenue_rank", F.rank().over(w).cast("bigint"))
             .where(F.col("revenue_rank") <= top_n)
-            .select("category", "sku", "total_revenue", "units_sold", "orders", "revenue_rank"))
+            .select("category", "sku", "total_revenue", "units_sold", "orders", "revenue_rank")
+            .orderBy("category", "revenue_rank", "sku"))
 
 
 def regional_cumulative(fact: DataFrame) -> DataFrame:
@@ -70,7 +71,7 @@ def regional_cumulative(fact: DataFrame) -> DataFrame:
         F.sum("_rev").over(w_run).cast("double").alias("cumulative_revenue"),
         half_away_round(ratio(F.lit(100.0) * rev, F.sum("_rev").over(w_month).cast("double")), 2)
         .alias("pct_of_month_total"),
-    )
+    ).orderBy("region", "order_month")
 
 
 def customer_value(fact: DataFrame) -> DataFrame:
@@ -90,7 +91,8 @@ def customer_value_quartiles(fact: DataFrame, tiles: int = DEFAULT_TILES) -> Dat
     order = [F.col("lifetime_value").desc(), F.col("customer_id").asc()]
     return (distributed_ntile(cv, order, tiles, name="value_quartile")
             .select("customer_id", "order_count", "lifetime_value", "last_order_date",
-                    "value_quartile"))
+                    "value_quartile")
+            .orderBy(*order))
 
 
 def return_rate_vs_avg(fact: DataFrame) -> DataFrame:
@@ -105,7 +107,7 @@ def return_rate_vs_avg(fact: DataFrame) -> DataFrame:
         .alias("return_rate_pct"),
         half_away_round(F.lit(100.0) * F.avg(rate).over(Window.partitionBy()), 2)
         .alias("company_avg_return_rate_pct"),
-    )
+    ).orderBy(F.col("return_rate_pct").desc(), "category")
 
 
 def channel_payment_mix(fact: DataFrame) -> DataFrame:
@@ -118,4 +120,4 @@ def channel_payment_mix(fact: DataFrame) -> DataFrame:
     return g.select(
         "channel", "payment_method", rev.alias("revenue"), "orders",
         half_away_round(ratio(F.lit(100.0) * rev, total), 2).alias("pct_of_total_revenue"),
-    )
+    ).orderBy(F.col("revenue").desc(), "channel", "payment_method")

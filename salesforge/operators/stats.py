@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import week_start_sunday
 from ..functions.money import half_away_round, money_sum
-from ..plans.physical import bounded_broadcast, one_row
-from ..plans.quantiles import exact_quantiles
+from ..plans.physical import one_row
+from ..plans.quantiles import exact_quantiles, quantiles_of_histogram
 
 STAT_DIGITS = 6
 WHISKER_COEF = 1.5
@@ -41,55 +41,62 @@ def order_value_stats(fact: DataFrame, probs: tuple[float, float] = (0.90, 0.99)
     )
 
 
-def _log_values(fact: DataFrame) -> DataFrame:
-    """log10 scale as the plot applies it: only positive values remain finite."""
-    return (fact.where(F.col("net_revenue") > 0)
-                .withColumn("_y", F.log10(F.col("net_revenue"))))
+def _value_counts(fact: DataFrame) -> DataFrame:
+    """(category, net_revenue) -> count, and ``_y``: log10 of the positive amounts, all that a log scale shows."""
+    return (fact.groupBy("category", "net_revenue").agg(F.count(F.lit(1)).alias("_cnt"))
+                .withColumn("_y", F.when(F.col("net_revenue") > 0, F.log10("net_revenue"))))
 
 
-def boxplot_fences(fact: DataFrame) -> DataFrame:
-    """Per category on log10(net revenue): quartiles and the 1.5 IQR fences (log units)."""
-    q = exact_quantiles(_log_values(fact), "_y", {"q1": 0.25, "med": 0.5, "q3": 0.75}, ["category"])
+def _fences(counts: DataFrame) -> DataFrame:
+    q = quantiles_of_histogram(counts.where(F.col("_y").isNotNull()), "_y",
+                               {"q1": 0.25, "med": 0.5, "q3": 0.75}, ["category"])
     iqr = F.col("q3") - F.col("q1")
     return q.select("category", "n", "q1", "med", "q3",
                     (F.col("q1") - F.lit(WHISKER_COEF) * iqr).alias("lo_fence"),
                     (F.col("q3") + F.lit(WHISKER_COEF) * iqr).alias("hi_fence"))
 
 
+def boxplot_fences(fact: DataFrame) -> DataFrame:
+    """Per category on log10(net revenue): quartiles and the 1.5 IQR fences (log units)."""
+    return _fences(_value_counts(fact))
+
+
 def boxplot_by_category(fact: DataFrame) -> DataFrame:
-    """Five numbers per category, back on the dollar scale, plus outlier counts.
+    """Five numbers per category, back on the dollar scale, plus outlier counts, by category name.
 
     Whiskers are the most extreme observed values inside the fences (reported
-    as the original amounts); the box is 10^quartile of the log values.
+    as the original amounts); the box is 10^quartile of the log values.  All
+    columns follow from one (category, net_revenue) -> count histogram; a
+    missing category is a category of its own.
     """
-    fences = bounded_broadcast(boxplot_fences(fact))
-    y = _log_values(fact).join(fences, "category", "left")
+    counts = _value_counts(fact)
+    fences = _fences(counts).withColumnRenamed("category", "_c")
     inside = (F.col("_y") >= F.col("lo_fence")) & (F.col("_y") <= F.col("hi_fence"))
-    agg = y.groupBy("category").agg(
-        F.min(F.when(inside, F.col("net_revenue"))).alias("lower_whisker"),
-        F.max(F.when(inside, F.col("net_revenue"))).alias("upper_whisker"),
-        F.count_if(~inside).alias("n_outliers"))
-    dropped = (fact.where(~F.coalesce(F.col("net_revenue") > 0, F.lit(False)))
-                   .groupBy("category").agg(F.count(F.lit(1)).alias("n_dropped")))
-    return (fences.join(agg, "category", "left")
-                  .join(dropped, "category", "left")
-                  .select("category", F.col("n").alias("n"),
-                          "lower_whisker",
-                          _r6(F.pow(F.lit(10.0), F.col("q1"))).alias("q1"),
-                          _r6(F.pow(F.lit(10.0), F.col("med"))).alias("median"),
-                          _r6(F.pow(F.lit(10.0), F.col("q3"))).alias("q3"),
-                          "upper_whisker",
-                          "n_outliers",
-                          F.coalesce(F.col("n_dropped"), F.lit(0)).alias("n_dropped")))
+
+    def lines(where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col("_cnt"))), F.lit(0))
+
+    return (counts.join(fences, F.col("category").eqNullSafe(F.col("_c")))
+                  .groupBy("category").agg(
+                      F.max("n").alias("n"),
+                      F.min(F.when(inside, F.col("net_revenue"))).alias("lower_whisker"),
+                      _r6(F.pow(F.lit(10.0), F.max("q1"))).alias("q1"),
+                      _r6(F.pow(F.lit(10.0), F.max("med"))).alias("median"),
+                      _r6(F.pow(F.lit(10.0), F.max("q3"))).alias("q3"),
+                      F.max(F.when(inside, F.col("net_revenue"))).alias("upper_whisker"),
+                      lines(~inside).alias("n_outliers"),
+                      lines(F.col("_y").isNull()).alias("n_dropped"))
+                  .orderBy("category"))
 
 
 def boxplot_outliers(fact: DataFrame) -> DataFrame:
     """The lines drawn as outlier points, with the side of the box they fall on."""
-    fences = bounded_broadcast(boxplot_fences(fact))
-    y = _log_values(fact).join(fences, "category", "left")
+    fences = boxplot_fences(fact).select(F.col("category").alias("_c"), "lo_fence", "hi_fence")
+    y = fact.where(F.col("net_revenue") > 0).withColumn("_y", F.log10(F.col("net_revenue")))
     side = (F.when(F.col("_y") < F.col("lo_fence"), F.lit("low"))
              .when(F.col("_y") > F.col("hi_fence"), F.lit("high")))
-    return (y.withColumn("side", side)
+    return (y.join(fences, F.col("category").eqNullSafe(F.col("_c")))
+             .withColumn("side", side)
              .where(F.col("side").isNotNull())
              .select("order_id", "customer_id", "order_date", "sku", "category",
                      "net_revenue", "side"))
@@ -98,11 +105,13 @@ def boxplot_outliers(fact: DataFrame) -> DataFrame:
 def weekly_revenue(fact: DataFrame) -> DataFrame:
     """Revenue per week, weeks starting on Sunday."""
     return (fact.groupBy(week_start_sunday("order_date").alias("week"))
-                .agg(money_sum("net_revenue").cast("double").alias("revenue")))
+                .agg(money_sum("net_revenue").cast("double").alias("revenue"))
+                .orderBy("week"))
 
 
 def return_rate_by_discount(fact: DataFrame) -> DataFrame:
     """Mean of the return flag and line count per discount level (no correlation coefficient)."""
     return (fact.groupBy("discount_pct")
                 .agg(F.avg("is_returned").alias("return_rate"),
-                     F.count(F.lit(1)).alias("n")))
+                     F.count(F.lit(1)).alias("n"))
+                .orderBy("discount_pct"))

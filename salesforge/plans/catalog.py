@@ -11,16 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import cumulative_thresholds
-import os
-
 from ..operators import etl, payload, quality, sales, sampling, smoothing, stats
-from ..plans.physical import persist_scope
-from ..session import configure, scratch_dir
+from ..session import configure, fresh_dir, scratch_dir
 from ..sources import csv_export, sinks, warehouse
 from ..streaming import daily_ingest
-from ..schema import DEFAULT_DRAW_SEED, DEFECT_REASONS, HIGH_SEVERITY, MEDIUM_SEVERITY
-from ..schema import RAW_COLUMNS
+from ..schema import DEFAULT_DRAW_SEED, HIGH_SEVERITY, MEDIUM_SEVERITY, RAW_COLUMNS, WEEKDAYS
 from ..sources.tables import raw_lines
 from ..sources.warehouse import fact_table
 from . import oracle as O
@@ -49,6 +44,14 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_table(spark, sf_dir)
 
 
+def _raw_columns(**changed: str) -> str:
+    return ", ".join(f"{changed[c]} AS {c}" if c in changed else c for c in RAW_COLUMNS)
+
+
+_REPAIRED_QTY = _raw_columns(quantity="CASE WHEN quantity <= 0 THEN 1 ELSE quantity END")
+_REPAIRED_REGION = _raw_columns(region="coalesce(region, 'Unknown')")
+
+
 # ====================================================================== ETL
 @register("etl_clean_fact", O.on_fact(f"SELECT {O.FACT_COLS} FROM fact"))
 def q_etl_clean_fact(spark, sf_dir):
@@ -81,11 +84,10 @@ def q_impute_price_median(spark, sf_dir):
                .transform(etl.impute_price_median).select(*RAW_COLUMNS))
 
 
-@register("fix_quantity", O.with_stage("fixq", f"SELECT {O.RAW_COLS} FROM fixq"))
+@register("fix_quantity", O.with_stage("dedup", f"SELECT {_REPAIRED_QTY} FROM dedup"))
 def q_fix_quantity(spark, sf_dir):
-    return (etl.dedup_lines(raw_lines(spark, sf_dir))
-               .transform(etl.impute_price_median)
-               .transform(etl.fix_quantity).select(*RAW_COLUMNS))
+    # the step on its own: over the deduplicated lines, no other repair needed
+    return etl.dedup_lines(raw_lines(spark, sf_dir)).transform(etl.fix_quantity).select(*RAW_COLUMNS)
 
 
 @register("recompute_revenue", O.with_stage("recomputed", f"SELECT {O.RAW_COLS} FROM recomputed"))
@@ -96,13 +98,9 @@ def q_recompute_revenue(spark, sf_dir):
                .transform(etl.recompute_revenue).select(*RAW_COLUMNS))
 
 
-@register("backfill_region", O.with_stage("backfilled", f"SELECT {O.RAW_COLS} FROM backfilled"))
+@register("backfill_region", O.with_stage("dedup", f"SELECT {_REPAIRED_REGION} FROM dedup"))
 def q_backfill_region(spark, sf_dir):
-    return (etl.dedup_lines(raw_lines(spark, sf_dir))
-               .transform(etl.impute_price_median)
-               .transform(etl.fix_quantity)
-               .transform(etl.recompute_revenue)
-               .transform(etl.backfill_region).select(*RAW_COLUMNS))
+    return etl.dedup_lines(raw_lines(spark, sf_dir)).transform(etl.backfill_region).select(*RAW_COLUMNS)
 
 
 @register("time_dimensions", O.on_fact(
@@ -198,13 +196,18 @@ SELECT CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
        round_even(100.0 * avg(is_returned) * 100, 0) / 100 AS return_rate_pct,
        count(DISTINCT customer_id) AS unique_customers
 FROM fact"""
-_WEEKDAYS = "SELECT dayname(DATE '2024-01-01' + CAST(i AS INTEGER)) AS day, i + 1 AS day_index FROM range(7) t(i)"
+_WEEKDAYS = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{d}', CAST({i + 1} AS BIGINT))" for i, d in enumerate(WEEKDAYS)) + ") t(day, day_index)"
 
 
 def _money_label_sql(v: str) -> str:
-    return (f"CASE WHEN {v} >= 1000000 THEN printf('$%.2fM', round(CAST({v} AS DOUBLE) / 1000000.0 * 100, 0) / 100)"
-            f" WHEN {v} >= 1000 THEN printf('$%.1fK', round(CAST({v} AS DOUBLE) / 1000.0 * 10, 0) / 10)"
-            f" ELSE printf('$%.0f', round(CAST({v} AS DOUBLE) * 1, 0) / 1) END")
+    """The closest decimal to the exact binary value, the larger of two: printed with 25 digits, then rounded."""
+    def fixed(x: str, digits: int) -> str:
+        return f"CAST(round(CAST(printf('%.25f', CAST({x} AS DOUBLE)) AS DECIMAL(38, 25)), {digits}) AS DECIMAL(38, {digits}))"
+
+    return (f"CASE WHEN {v} >= 1000000 THEN '$' || {fixed(f'{v} / 1000000.0', 2)} || 'M'"
+            f" WHEN {v} >= 1000 THEN '$' || {fixed(f'{v} / 1000.0', 1)} || 'K'"
+            f" ELSE '$' || {fixed(v, 0)} END")
 
 
 @register("kpi_summary", O.on_fact(_KPI_SELECT))
@@ -322,7 +325,8 @@ def q_payload_region_drill(spark, sf_dir):
 
 
 @register("payload_series", O.on_fact(f"""
-SELECT 'kpi' AS series, CAST(pos AS BIGINT) AS pos, label, CAST(NULL AS VARCHAR) AS sub_label, value
+SELECT 'kpi' AS series, CAST(pos AS BIGINT) AS pos, CAST(NULL AS BIGINT) AS sub_pos, label,
+       CAST(NULL AS VARCHAR) AS sub_label, value
 FROM (SELECT * FROM (SELECT 0 AS pos, 'total_revenue' AS label, total_revenue AS value FROM k
        UNION ALL SELECT 1, 'total_orders', CAST(total_orders AS DOUBLE) FROM k
        UNION ALL SELECT 2, 'total_records_analyzed', CAST(total_records_analyzed AS DOUBLE) FROM k
@@ -330,33 +334,33 @@ FROM (SELECT * FROM (SELECT 0 AS pos, 'total_revenue' AS label, total_revenue AS
        UNION ALL SELECT 4, 'return_rate_pct', return_rate_pct FROM k
        UNION ALL SELECT 5, 'unique_customers', CAST(unique_customers AS DOUBLE) FROM k) x) kk
 UNION ALL
-SELECT 'monthly_trend', row_number() OVER (ORDER BY order_month) - 1, order_month, NULL, revenue
+SELECT 'monthly_trend', row_number() OVER (ORDER BY order_month) - 1, NULL, order_month, NULL, revenue
 FROM (SELECT order_month, {_REV} FROM fact WHERE order_month IS NOT NULL GROUP BY order_month) m
 UNION ALL
 SELECT 'region_drill',
-       (dense_rank() OVER (ORDER BY region) - 1) * 1000
-         + row_number() OVER (PARTITION BY region ORDER BY revenue DESC, category) - 1,
+       dense_rank() OVER (ORDER BY region) - 1,
+       row_number() OVER (PARTITION BY region ORDER BY revenue DESC, category) - 1,
        region, category, revenue
 FROM (SELECT region, category, {_REV} FROM fact WHERE region IS NOT NULL AND category IS NOT NULL
       GROUP BY region, category) rc
 UNION ALL
-SELECT 'top_skus', pos, sku, category, revenue FROM (
+SELECT 'top_skus', pos, NULL, sku, category, revenue FROM (
   SELECT row_number() OVER (ORDER BY revenue DESC, category, sku) - 1 AS pos, sku, category, revenue
   FROM (SELECT category, sku, {_REV} FROM fact WHERE category IS NOT NULL AND sku IS NOT NULL
         GROUP BY category, sku) s) t WHERE pos < 10
 UNION ALL
-SELECT 'channel_mix', row_number() OVER (ORDER BY channel) - 1, channel, NULL, revenue
+SELECT 'channel_mix', row_number() OVER (ORDER BY channel) - 1, NULL, channel, NULL, revenue
 FROM (SELECT channel, {_REV} FROM fact WHERE channel IS NOT NULL GROUP BY channel) c
 UNION ALL
-SELECT 'region_totals', row_number() OVER (ORDER BY revenue DESC, region) - 1, region, NULL, revenue
+SELECT 'region_totals', row_number() OVER (ORDER BY revenue DESC, region) - 1, NULL, region, NULL, revenue
 FROM (SELECT region, {_REV} FROM fact WHERE region IS NOT NULL GROUP BY region) r
 UNION ALL
-SELECT 'day_of_week', w.day_index - 1, w.day, NULL, coalesce(d.revenue, 0.0)
+SELECT 'day_of_week', w.day_index - 1, NULL, w.day, NULL, coalesce(d.revenue, 0.0)
 FROM ({_WEEKDAYS}) w
 LEFT JOIN (SELECT day_of_week AS day, {_REV} FROM fact WHERE day_of_week IS NOT NULL
            GROUP BY day_of_week) d ON w.day = d.day
 UNION ALL
-SELECT 'manual_reporting_time_reduction_pct', 0, NULL, NULL, 60.0""",
+SELECT 'manual_reporting_time_reduction_pct', 0, NULL, NULL, NULL, 60.0""",
     extra_ctes=f"k AS ({_KPI_SELECT})"))
 def q_payload_series(spark, sf_dir):
     return payload.payload_series(payload.dashboard_payload(_fact(spark, sf_dir)))
@@ -384,10 +388,14 @@ def q_money_label(spark, sf_dir):
 
 # ====================================================================== quality report
 def _reason_case(u: str) -> str:
-    bounds = cumulative_thresholds([w for _, w in DEFECT_REASONS])
-    whens = " ".join(f"WHEN {u} < CAST({b!r} AS DOUBLE) THEN '{name}'"
-                     for (name, _), b in zip(DEFECT_REASONS[:-1], bounds[:-1]))
-    return f"CASE {whens} ELSE '{DEFECT_REASONS[-1][0]}' END"
+    """The draw written out: the running sums of the seven weights."""
+    return f"""CASE WHEN {u} < CAST(0.27 AS DOUBLE) THEN 'Quality Defect - Item Damaged'
+                WHEN {u} < CAST(0.45 AS DOUBLE) THEN 'Wrong Item Shipped'
+                WHEN {u} < CAST(0.61 AS DOUBLE) THEN 'Size / Fit Issue'
+                WHEN {u} < CAST(0.75 AS DOUBLE) THEN 'Damaged in Transit'
+                WHEN {u} < CAST(0.85 AS DOUBLE) THEN 'Late Delivery - Order Cancelled'
+                WHEN {u} < CAST(0.93 AS DOUBLE) THEN 'Packaging Failure'
+                ELSE 'Customer Changed Mind' END"""
 
 
 def _in(values):
@@ -428,12 +436,16 @@ def _top_reason_sql(key: str) -> str:
             f"FROM enriched WHERE {key} IS NOT NULL GROUP BY {key}, defect_reason) c) t WHERE rk = 1")
 
 
-def _report_sql(key: str) -> str:
-    return O.on_fact(f"""
+def _report_select(key: str) -> str:
+    return f"""
 SELECT r.{key}, orders, returns, defect_rate_pct, top_defect_reason,
        (defect_rate_pct - min(defect_rate_pct) OVER ())
          / nullif(max(defect_rate_pct) OVER () - min(defect_rate_pct) OVER (), 0) AS rate_scale
-FROM ({_rate_sql(key)}) r LEFT JOIN ({_top_reason_sql(key)}) t ON r.{key} = t.{key}""", _ENRICHED)
+FROM ({_rate_sql(key)}) r LEFT JOIN ({_top_reason_sql(key)}) t ON r.{key} = t.{key}"""
+
+
+def _report_sql(key: str) -> str:
+    return O.on_fact(_report_select(key), _ENRICHED)
 
 
 @register("returned_lines", O.on_fact(f"SELECT {O.FACT_COLS} FROM fact WHERE is_returned = 1"))
@@ -489,14 +501,12 @@ def q_top_defect_reason_by_region(spark, sf_dir):
 
 @register("report_by_category", _report_sql("category"))
 def q_report_by_category(spark, sf_dir):
-    f = _fact(spark, sf_dir)
-    return quality.report_by(f, quality.defect_enriched(f), "category")
+    return quality.report_by(_fact(spark, sf_dir), "category")
 
 
 @register("report_by_region", _report_sql("region"))
 def q_report_by_region(spark, sf_dir):
-    f = _fact(spark, sf_dir)
-    return quality.report_by(f, quality.defect_enriched(f), "region")
+    return quality.report_by(_fact(spark, sf_dir), "region")
 
 
 @register("report_adjustment_log", O.on_fact("""
@@ -507,7 +517,7 @@ def q_report_adjustment_log(spark, sf_dir):
     return quality.adjustment_log(quality.defect_enriched(_fact(spark, sf_dir)))
 
 
-@register("report_summary", O.on_fact("""
+_SUMMARY = """
 SELECT CAST(position AS BIGINT) AS position, label, value FROM (
   SELECT 1 AS position, 'Total Orders' AS label, format('{:,}', (SELECT count(*) FROM fact)) AS value
   UNION ALL SELECT 2, 'Total Returns / Adjustments', format('{:,}', (SELECT count(*) FROM enriched))
@@ -519,11 +529,12 @@ SELECT CAST(position AS BIGINT) AS position, label, value FROM (
                                           AS DOUBLE), 0.0) FROM enriched), 0) AS BIGINT))
   UNION ALL SELECT 5, '#1 Root Cause', (SELECT defect_reason FROM pareto WHERE rank = 1)
   UNION ALL SELECT 6, '#1 Root Cause Share of Returns',
-    (SELECT CAST(pct_of_total AS VARCHAR) || '%' FROM pareto WHERE rank = 1)) t""",
-    _ENRICHED + "," + _PARETO))
+    (SELECT CAST(pct_of_total AS VARCHAR) || '%' FROM pareto WHERE rank = 1)) t"""
+
+
+@register("report_summary", O.on_fact(_SUMMARY, _ENRICHED + "," + _PARETO))
 def q_report_summary(spark, sf_dir):
-    f = _fact(spark, sf_dir)
-    return quality.report_summary(f, quality.defect_enriched(f))
+    return quality.report_summary(_fact(spark, sf_dir))
 
 
 # ====================================================================== statistics
@@ -575,10 +586,11 @@ LEFT JOIN (SELECT l.category,
                   min(CASE WHEN y >= lo_fence AND y <= hi_fence THEN net_revenue END) AS lower_whisker,
                   max(CASE WHEN y >= lo_fence AND y <= hi_fence THEN net_revenue END) AS upper_whisker,
                   count_if(NOT (y >= lo_fence AND y <= hi_fence)) AS n_outliers
-           FROM logv l LEFT JOIN fences f2 ON l.category = f2.category GROUP BY l.category) a
-  ON f.category = a.category
+           FROM logv l LEFT JOIN fences f2 ON l.category IS NOT DISTINCT FROM f2.category GROUP BY l.category) a
+  ON f.category IS NOT DISTINCT FROM a.category
 LEFT JOIN (SELECT category, count(*) AS n_dropped FROM fact
-           WHERE NOT coalesce(net_revenue > 0, false) GROUP BY category) d ON f.category = d.category""",
+           WHERE NOT coalesce(net_revenue > 0, false) GROUP BY category) d
+  ON f.category IS NOT DISTINCT FROM d.category""",
     _FENCES))
 def q_boxplot_by_category(spark, sf_dir):
     return stats.boxplot_by_category(_fact(spark, sf_dir))
@@ -587,7 +599,7 @@ def q_boxplot_by_category(spark, sf_dir):
 @register("boxplot_outliers", O.on_fact("""
 SELECT order_id, customer_id, order_date, sku, l.category, net_revenue,
        CASE WHEN y < lo_fence THEN 'low' ELSE 'high' END AS side
-FROM logv l JOIN fences f ON l.category = f.category
+FROM logv l JOIN fences f ON l.category IS NOT DISTINCT FROM f.category
 WHERE y < lo_fence OR y > hi_fence""", _FENCES))
 def q_boxplot_outliers(spark, sf_dir):
     return stats.boxplot_outliers(_fact(spark, sf_dir))
@@ -670,29 +682,63 @@ def q_seasonal_multiplier(spark, sf_dir):
 
 @register("csv_ingest", O.with_stage("raw", f"SELECT {O.RAW_COLS} FROM raw"))
 def q_csv_ingest(spark, sf_dir):
-    path = scratch_dir(spark, "raw_export_csv")
-    return csv_export.csv_round_trip(raw_lines(spark, sf_dir), path)
+    return csv_export.csv_round_trip(raw_lines(spark, sf_dir), scratch_dir(spark, "raw_export_csv"))
+
+
+@register("csv_defective_export", O.with_stage("raw", f"""
+SELECT {_raw_columns(
+    region="CASE WHEN order_id % 5 = 0 THEN NULL ELSE region END",
+    unit_price="CASE WHEN order_id % 7 IN (1, 2) THEN NULL ELSE unit_price END",
+    discount_pct="CASE WHEN order_id % 11 = 3 THEN NULL ELSE discount_pct END")},
+       (CASE WHEN order_id % 7 = 2 THEN 1 ELSE 0 END) + (CASE WHEN order_id % 11 = 3 THEN 1 ELSE 0 END)
+         AS unparsed_fields
+FROM raw"""))
+def q_csv_defective_export(spark, sf_dir):
+    # numbers as 2.0, dates with a time, missing-value tokens in text and number columns, and fields that are no number
+    raw = raw_lines(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
+    n = F.col("order_id").cast("bigint")
+    dirty = raw.withColumns({
+        "quantity": F.concat("quantity", F.lit(".0")),
+        "order_date": F.concat("order_date", F.lit(" 00:00:00")),
+        "region": F.when(n % 5 == 0, F.lit("N/A")).otherwise(F.col("region")),
+        "unit_price": F.when(n % 7 == 1, F.lit("NaN")).when(n % 7 == 2, F.lit("abc")).otherwise(F.col("unit_price")),
+        "discount_pct": F.when(n % 11 == 3, F.lit("1.5")).otherwise(F.col("discount_pct")),
+    })
+    path = csv_export.write_csv(dirty, scratch_dir(spark, "defective_export_csv"))
+    return csv_export.read_csv_export(spark, path, count_unparsed=True)
 
 
 @register("warehouse_load", O.on_fact(f"SELECT {O.FACT_COLS} FROM fact"))
 def q_warehouse_load(spark, sf_dir):
+    # a first load of the exports without their latest orders, then the full export replaces the whole table
     path = scratch_dir(spark, "warehouse_load")
-    with persist_scope():
-        warehouse.write_fact(etl.clean_fact(raw_lines(spark, sf_dir)), path)
+    raw = raw_lines(spark, sf_dir)
+    warehouse.write_fact(etl.clean_fact(raw.where("order_date < '1996-01-01'")), path)
+    warehouse.write_fact(etl.clean_fact(raw), path)
     return warehouse.read_fact(spark, path)
 
 
-@register("report_tables", O.on_fact("""
-SELECT 'summary' AS "table", CAST(6 AS BIGINT) AS rows
-UNION ALL SELECT 'root_cause_pareto', count(DISTINCT defect_reason) FROM enriched
-UNION ALL SELECT 'by_category', count(DISTINCT category) FROM fact WHERE category IS NOT NULL
-UNION ALL SELECT 'by_region', count(DISTINCT region) FROM fact WHERE region IS NOT NULL
-UNION ALL SELECT 'adjustment_log', least(count(*), 500) FROM enriched""", _ENRICHED))
+_REPORTS = f"""
+by_category AS ({_report_select("category")}),
+by_region AS ({_report_select("region")}),
+log AS (SELECT * FROM enriched ORDER BY order_date DESC, order_id, sku LIMIT 500)"""
+
+
+@register("report_tables", O.on_fact(f"""
+SELECT 'summary' AS "table", position AS row_number, label AS key, value AS text, CAST(NULL AS BIGINT) AS n1,
+       CAST(NULL AS BIGINT) AS n2, CAST(NULL AS DOUBLE) AS v1, CAST(NULL AS DOUBLE) AS v2 FROM ({_SUMMARY}) s
+UNION ALL SELECT 'root_cause_pareto', rank, defect_reason, NULL, orders, NULL, adjustment_value, cumulative_pct
+FROM pareto
+UNION ALL SELECT 'by_category', row_number() OVER (ORDER BY defect_rate_pct DESC, category), category,
+       top_defect_reason, orders, returns, defect_rate_pct, rate_scale FROM by_category
+UNION ALL SELECT 'by_region', row_number() OVER (ORDER BY defect_rate_pct DESC, region), region,
+       top_defect_reason, orders, returns, defect_rate_pct, rate_scale FROM by_region
+UNION ALL SELECT 'adjustment_log', row_number() OVER (ORDER BY order_date DESC, order_id, sku), sku,
+       concat_ws('|', CAST(order_date AS VARCHAR), region, category, defect_reason, severity), order_id, adjustment_qty,
+       adjustment_value, NULL FROM log""", ",".join([_ENRICHED, _PARETO, _REPORTS])))
 def q_report_tables(spark, sf_dir):
-    with persist_scope():  # enriched returns cached for the five writes, then released
-        tables = quality.quality_report(_fact(spark, sf_dir), cache=True)
-        paths = sinks.write_report(tables, scratch_dir(spark, "quality_report"))
-    return sinks.read_report_counts(spark, paths)
+    paths = sinks.write_report(quality.quality_report(_fact(spark, sf_dir)), scratch_dir(spark, "quality_report"))
+    return sinks.read_report_rows(spark, paths)
 
 
 @register("payload_file_series", ORACLE["payload_series"])
@@ -705,12 +751,12 @@ def q_payload_file_series(spark, sf_dir):
 
 @register("stream_daily_ingest", O.on_fact(f"SELECT {O.FACT_COLS} FROM fact"))
 def q_stream_daily_ingest(spark, sf_dir):
-    base = scratch_dir(spark, "daily_ingest")
-    landing = daily_ingest.drop_exports(raw_lines(spark, sf_dir), os.path.join(base, "landing"))
-    lines = os.path.join(base, "lines")
-    daily_ingest.run_daily_ingest(spark, landing, lines, os.path.join(base, "checkpoint"),
-                                  max_files_per_trigger=40)
-    return daily_ingest.fact_from_lines(spark, lines)
+    base = fresh_dir(spark, "daily_ingest")
+    landing = daily_ingest.drop_exports(raw_lines(spark, sf_dir), f"{base}/landing")
+    daily_ingest.run_daily_ingest(spark, landing, f"{base}/lines", f"{base}/checkpoint", max_files_per_trigger=40)
+    # a second load: the same drops again under a new checkpoint add nothing
+    daily_ingest.run_daily_ingest(spark, landing, f"{base}/lines", f"{base}/checkpoint-2")
+    return daily_ingest.fact_from_lines(spark, f"{base}/lines")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

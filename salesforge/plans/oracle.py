@@ -150,8 +150,3 @@ def money_sum(col: str) -> str:
 def half_away(expr: str, digits: int = 2) -> str:
     s = 10 ** digits
     return f"(round(CAST({expr} AS DOUBLE) * {s}, 0) / {s})"
-
-
-def rint(expr: str, digits: int = 2) -> str:
-    s = 10 ** digits
-    return f"(round_even(CAST({expr} AS DOUBLE) * {s}, 0) / {s})"

@@ -1,62 +1,18 @@
-"""Physical-plan helpers: materialisation and size-checked broadcast.
+"""Physical-plan helpers: lineage cuts and one-row folds.
 
-These are the only places where a job is triggered while a plan is being
-built, and each one touches a small aggregate only.
+``materialize`` runs a job while a plan is being built; it is used only where two
+branches must see the same rows in the same partitions.
 """
 
 from __future__ import annotations
 
-import threading
-from contextlib import contextmanager
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-# Upper bound for a broadcast side, in rows.  Aggregates keyed by a category,
-# region, month or partition id stay far below it; anything larger is joined
-# with a shuffle instead.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-_scopes = threading.local()
-
-
-def persist(df: DataFrame) -> DataFrame:
-    """``persist(MEMORY_AND_DISK)`` that is released at the end of an enclosing ``persist_scope``.
-
-    Lost blocks are recomputed from lineage, so a cached frame survives
-    executor loss; spilling to disk keeps large frames out of memory.
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    for scope in getattr(_scopes, "stack", []):
-        scope.append(df)
-    return df
-
-
-@contextmanager
-def persist_scope():
-    """Unpersist every frame cached through ``persist`` inside the block when it ends.
-
-    Use around an action that materialises a whole pipeline (a table write),
-    so a long-lived cluster session does not keep its intermediates cached.
-    """
-    stack = _scopes.__dict__.setdefault("stack", [])
-    frames: list[DataFrame] = []
-    stack.append(frames)
-    try:
-        yield frames
-    finally:
-        # scopes nest strictly: ours is on top (compare by identity, lists of
-        # the same frames are equal)
-        assert stack and stack[-1] is frames
-        stack.pop()
-        for df in frames:
-            df.unpersist()
-
 
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the session's checkpoint dir.
@@ -69,17 +25,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after proving its size; otherwise leave the join to a shuffle.
-
-    ``small`` must be an aggregate.  It is persisted so the count and the later
-    join read the same rows once.
-    """
-    small = persist(small)
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
 def one_row(frames: dict[str, DataFrame]) -> DataFrame:
     """Fold several one-row, one-column frames into a single row without a join.
 

@@ -2,11 +2,12 @@
 
 Rows are first reduced to a (group, value) -> count histogram: partial
 aggregation before the shuffle, so a hot value or group costs one row per
-map task.  Cumulative counts over the sorted histogram are then built
-distributively: the histogram is range-partitioned on (group, value) and
-checkpointed, each partition sums its own slice, and a table of per-partition
-offsets (at most partitions + groups rows) is joined back.  No step sorts or
-holds a whole group in one task.
+map task.  Cumulative counts over the sorted histogram are then built in two
+levels.  Values fall into buckets by an order-preserving function of the value
+alone (``value_bucket``: binary exponent and 12 bits below it); the counts of the
+buckets give every bucket its offset, and inside a bucket the values are
+counted up.  No step sorts or holds a whole group in one task, nothing is
+cached and no job runs before the query does.
 """
 
 from __future__ import annotations
@@ -14,61 +15,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .physical import bounded_broadcast, materialize
+_STEPS = 4096  # buckets for each power of two
 
 
 def value_histogram(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
+    """(group, value) -> count of the values that are present; NaN counts as missing."""
     groups = groups or []
-    return (df.where(F.col(value).isNotNull())
+    return (df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
               .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_cnt")))
 
 
-def cumulative_counts(hist: DataFrame, value: str, groups: list[str] | None = None,
-                      num_partitions: int | None = None, distributed: bool = False) -> DataFrame:
-    """Add ``_start`` / ``_end`` (0-based, end exclusive) positions and group size ``_n``.
+def value_bucket(value: Column) -> Column:
+    """A whole number that never decreases with the value: at most ``_STEPS`` for each power of two."""
+    v = value.cast("double")
+    size = F.abs(v)
+    exponent = F.floor(F.log2(size))
+    place = (exponent + 2000) * (4 * _STEPS) + F.floor(size / F.pow(F.lit(2.0), exponent) * _STEPS)
+    return F.when(v > 0, place).when(v < 0, -place).otherwise(F.lit(0)).cast("bigint")
 
-    Per group, the running count is a window over that group's histogram:
-    its rows are the group's *distinct values*, a number bounded by the value
-    domain (cents of a price range), not by the row count, so even a group
-    holding a third of all rows is a small, spillable sort.  Without groups
-    the whole histogram would meet in one task, so the prefix sums are built
-    distributively instead (``distributed_cumulative_counts``); ``distributed=True``
-    does the same for groups whose value domain is not bounded.
-    """
-    groups = groups or []
-    if distributed or not groups:
-        return distributed_cumulative_counts(hist, value, num_partitions, groups)
-    run = (Window.partitionBy(*groups).orderBy(value)
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return hist.withColumns({
-        "_end": F.sum("_cnt").over(run),
-        "_n": F.sum("_cnt").over(Window.partitionBy(*groups)),
-    }).withColumn("_start", F.col("_end") - F.col("_cnt"))
-
-
-def distributed_cumulative_counts(hist: DataFrame, value: str,
-                                  num_partitions: int | None = None, groups: list[str] | None = None
-                                  ) -> DataFrame:
-    """Prefix sums over a range-partitioned, checkpointed histogram (no single task)."""
+
+def cumulative_counts(hist: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
+    """Add ``_start`` / ``_end`` (0-based, end exclusive) positions and group size ``_n``."""
     groups = groups or []
-    spark = hist.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(hist.repartitionByRange(n_parts, *groups, value))
-    tagged = ranged.withColumn("_pid", F.spark_partition_id())
-    local_w = (Window.partitionBy("_pid", *groups).orderBy(value)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = tagged.withColumn("_lend", F.sum("_cnt").over(local_w))
-    seg = tagged.groupBy(*groups, "_pid").agg(F.sum("_cnt").alias("_seg"))
-    before = (Window.partitionBy(*groups).orderBy("_pid")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    seg = seg.select(*groups, "_pid",
-                     F.coalesce(F.sum("_seg").over(before), F.lit(0)).alias("_off"),
-                     F.sum("_seg").over(Window.partitionBy(*groups)).alias("_n"))
-    joined = local.join(bounded_broadcast(seg), [*groups, "_pid"]) if groups else \
-        local.join(F.broadcast(seg), "_pid")
-    return (joined.withColumn("_end", F.col("_off") + F.col("_lend"))
-                  .withColumn("_start", F.col("_end") - F.col("_cnt"))
-                  .drop("_pid", "_lend", "_off"))
+    tagged = hist.withColumn("_bucket", value_bucket(F.col(value)))
+    whole = Window.partitionBy(*groups)
+    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (tagged.groupBy(*groups, "_bucket").agg(F.sum("_cnt").alias("_sum"))
+               .select(*[F.col(g).alias(f"_g_{g}") for g in groups], F.col("_bucket").alias("_b"),
+                       F.sum("_sum").over(before).alias("_off"), F.sum("_sum").over(whole).alias("_n")))
+    inside = (Window.partitionBy(*groups, "_bucket").orderBy(value)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = tagged.withColumn("_up", F.sum("_cnt").over(inside))
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups] + [F.col("_bucket") == F.col("_b")]
+    return (local.join(buckets, same)
+                 .withColumn("_end", F.coalesce("_off", F.lit(0)) + F.col("_up"))
+                 .withColumn("_start", F.col("_end") - F.col("_cnt"))
+                 .drop("_bucket", "_b", "_off", "_up", *[f"_g_{g}" for g in groups]))
 
 
 def _at(pos: Column, value: str) -> Column:
@@ -76,15 +58,21 @@ def _at(pos: Column, value: str) -> Column:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
-                    groups: list[str] | None = None, distributed: bool = False) -> DataFrame:
+                    groups: list[str] | None = None) -> DataFrame:
     """One row per group with a column per named probability (type 7 interpolation).
 
     q = x[lo] when h == 0 or x[lo] == x[hi], else (1 - h) * x[lo] + h * x[hi],
     with index (n - 1) * p, lo = floor, hi = ceil, h = index - lo.
     """
     groups = groups or []
-    cum = cumulative_counts(value_histogram(df, value, groups), value, groups,
-                            distributed=distributed)
+    return quantiles_of_histogram(value_histogram(df, value, groups), value, probs, groups)
+
+
+def quantiles_of_histogram(hist: DataFrame, value: str, probs: dict[str, float],
+                           groups: list[str] | None = None) -> DataFrame:
+    """``exact_quantiles`` from a (group, value) -> ``_cnt`` histogram."""
+    groups = groups or []
+    cum = cumulative_counts(hist, value, groups)
     aggs, finals = [], []
     for name, p in probs.items():
         idx = (F.col("_n") - 1) * F.lit(float(p))

@@ -27,9 +27,8 @@ def global_row_index(df: DataFrame, order: list[Column], num_partitions: int | N
     order are the same for the count and for the final projection, also after
     an executor is lost.
     """
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order))
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    ranged = materialize(ranged.sortWithinPartitions(*order))
     mono = F.monotonically_increasing_id()
     tagged = ranged.withColumns({
         "_pid": F.shiftright(mono, _LOCAL_BITS),

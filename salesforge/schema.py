@@ -73,6 +73,10 @@ DEFECT_REASONS = [
     ("Customer Changed Mind", 0.07),
 ]
 
+# Columns of the adjustment log, in sheet order.
+ADJUSTMENT_LOG_COLUMNS = ["order_id", "order_date", "region", "category", "sku",
+                          "defect_reason", "severity", "adjustment_qty", "adjustment_value"]
+
 # Severity by reason; any other reason is "Low".
 HIGH_SEVERITY = ["Quality Defect - Item Damaged", "Damaged in Transit"]
 MEDIUM_SEVERITY = ["Wrong Item Shipped", "Packaging Failure"]

@@ -2,14 +2,13 @@
 
 On a cluster the session comes from the platform with ``spark.checkpoint.dir``
 pointing at shared storage; ``scratch_dir`` only creates a local folder when
-that setting is absent (tests, local benchmarks).
+that setting is absent and the master is local (tests, local benchmarks).
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +32,7 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # checkpoints go with the frames that use them
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     **PLANNER_CONF,
@@ -56,34 +56,49 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``PLANNER_CONF`` to a session the caller built, keeping any value it set itself."""
+    """Apply ``PLANNER_CONF`` to a session the caller built, keeping any value it set itself, at start or later."""
+    chosen = spark.conf.getAll
     for k, v in PLANNER_CONF.items():
-        if spark.conf.get(k, None) in (None, "false") and not _user_set(spark, k):
+        if k not in chosen:
             spark.conf.set(k, v)
     return spark
 
 
-def _user_set(spark: SparkSession, key: str) -> bool:
-    return spark.sparkContext.getConf().contains(key)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, creating a local one only if unset."""
+    """The session's checkpoint directory, which executors and driver share.
+
+    A machine-local folder is made only where the setting is absent and the
+    whole application runs on one machine (``local[...]``).
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[[^\]]*\])?$", sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir must name shared storage on master {sc.master}")
         configured = tempfile.mkdtemp(prefix="salesforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    """The folder ``name`` for written tables under the shared checkpoint directory.
+
+    The name is fixed in an application: writing again overwrites the earlier table instead of leaving it behind.
+    """
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+
+
+def fresh_dir(spark: SparkSession, name: str) -> str:
+    """As ``scratch_dir``, emptied first."""
+    path = scratch_dir(spark, name)
+    delete_path(spark, path)
     return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own scratch space, through the file system of its path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.money import rint_round
-from ..schema import INGEST_ORDER, RAW_COLUMNS
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -143,12 +142,3 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                    .otherwise(F.array(F.lit(0)))).alias("ingest_copy"),
     )
     return base
-
-
-def raw_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the 15 columns a CSV export carries."""
-    return raw_lines(spark, sf_dir).select(*RAW_COLUMNS)
-
-
-def ingest_order_columns(df: DataFrame) -> list[str]:
-    return [c for c in INGEST_ORDER if c in df.columns]

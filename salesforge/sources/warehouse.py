@@ -9,39 +9,49 @@ the columns it uses and pushes its filters into the scan.
 
 from __future__ import annotations
 
+import hashlib
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.etl import clean_fact
-from ..plans.physical import persist_scope
 from ..schema import FACT_COLUMNS, FACT_SCHEMA
-from ..session import scratch_dir
+from ..session import delete_path, scratch_dir
 from .tables import raw_lines
 
-_WRITTEN: dict[tuple[str, str], DataFrame] = {}
+STAR_TABLES = ["lineitem", "orders", "customer", "nation", "region", "part"]
+
+# path of the tables -> (state of their files, written fact, its folder); the lock makes builders wait for each other
+_WRITTEN: dict[tuple[str, str], tuple[str, DataFrame, str]] = {}
+_LOCK = threading.Lock()
 
 
 def write_by_month(df: DataFrame, path: str, mode: str = "overwrite",
-                   cluster: tuple[str, ...] = ("region", "category")) -> str:
+                   cluster: tuple[str, ...] = ("region", "category"), replace: str = "static") -> str:
     """Parquet partitioned by ``order_month``, each task writing one contiguous slice.
 
     Range partitioning on (month, cluster..., order_id) hands every task a
     contiguous key range, so a month is spread over several tasks (the
-    trailing order id splits even one hot region/category) and each task
-    writes few, large, sorted files -- not one small file per month per task.
+    trailing order id splits even one hot region/category).  The number of
+    tasks is left to the adaptive planner, which sizes them by bytes: few,
+    large, sorted files -- not one small file per month per task.
+
+    ``replace``: an overwrite replaces the whole table (``static``, also months
+    that the new rows lack) or only the months it has rows for (``dynamic``).
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, "order_month", *cluster, "order_id")
+    (df.repartitionByRange("order_month", *cluster, "order_id")
        .sortWithinPartitions("order_month", *cluster)
        .write.mode(mode)
-       .option("partitionOverwriteMode", "dynamic")
+       .option("partitionOverwriteMode", replace)
        .partitionBy("order_month")
        .parquet(path))
     return path
 
 
-def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> str:
+def write_fact(fact: DataFrame, path: str, mode: str = "overwrite", replace: str = "static") -> str:
     """Partitioned, clustered Parquet write (``warehouse_load``): see ``write_by_month``."""
-    return write_by_month(fact, path, mode)
+    return write_by_month(fact, path, mode, replace=replace)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -49,13 +59,27 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FACT_SCHEMA).parquet(path).select(*FACT_COLUMNS)
 
 
+def tables_state(spark: SparkSession, sf_dir: str) -> str:
+    """A digest of the names, sizes and modification times of the star tables' files (a listing, no contents)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                  .load([f"{sf_dir}/{t}.parquet" for t in STAR_TABLES])
+                  .select(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)").alias("h")))
+    return str(files.agg(F.count("*"), F.sum("h")).first())
+
+
 def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean fact for the tables in ``sf_dir``, built and written once per application."""
+    """The clean fact for the tables in ``sf_dir``, built and written once for each state of their files."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    df = _WRITTEN.get(key)
-    if df is None:
-        with persist_scope():  # the ETL's cached intermediates are released after the write
-            path = write_fact(clean_fact(raw_lines(spark, sf_dir)), scratch_dir(spark, "fact_transactions"))
+    state = tables_state(spark, sf_dir)
+    with _LOCK:
+        known = _WRITTEN.get(key)
+        if known and known[0] == state:
+            return known[1]
+        if known:
+            delete_path(spark, known[2])
+        name = hashlib.sha256(f"{sf_dir} {state}".encode()).hexdigest()[:16]
+        path = write_fact(clean_fact(raw_lines(spark, sf_dir)), scratch_dir(spark, f"fact_transactions-{name}"))
         # keep the DataFrame: its file index (80 month folders) is listed once
-        df = _WRITTEN[key] = read_fact(spark, path)
-    return df
+        df = read_fact(spark, path)
+        _WRITTEN[key] = (state, df, path)
+        return df

@@ -3,7 +3,8 @@
 import pytest
 
 import __spark_entry__ as E
-from salesforge.operators import etl
+from salesforge.operators import etl, payload, quality
+from salesforge.plans import catalog
 from salesforge.sources.tables import raw_lines
 from tests.conftest import SMALL
 
@@ -42,12 +43,32 @@ def test_report_scan_reads_only_needed_columns(spark):
     assert "channel" in schema and "net_revenue" in schema and "sku" not in schema
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+NO_PYTHON = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_udf_in_any_plan(spark, name):
-    if name in {"stream_daily_ingest", "csv_ingest", "warehouse_load", "report_tables",
-                "payload_file_series"}:
-        pytest.skip("writes files; covered by the oracle test")
     plan = E.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
-                 "MapInPandas"):
-        assert node not in plan
+    assert not [node for node in NO_PYTHON if node in plan]
+
+
+def test_no_python_udf_in_what_the_writing_queries_write(spark):
+    """Their results are read back from files, so the plans that were written are checked here."""
+    raw = raw_lines(spark, SMALL)
+    fact = etl.clean_fact(raw)
+    written = [raw, fact, payload.dashboard_payload(fact), *quality.quality_report(fact).values()]
+    for df in written:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [node for node in NO_PYTHON if node in plan]
+
+
+def test_queries_leave_no_cached_frame_and_start_no_job_for_the_medians(spark):
+    spark.catalog.clearCache()
+    for name in ("etl_clean_fact", "boxplot_by_category", "boxplot_outliers", "report_tables", "warehouse_load"):
+        E.queries()[name](spark, SMALL).count()
+        assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0, name
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "")
+    etl.clean_fact(raw_lines(spark, SMALL))
+    assert list(tracker.getJobIdsForGroup("plan-only")) == []
+    spark.sparkContext.setJobGroup("", "")
