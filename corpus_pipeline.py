@@ -7,34 +7,54 @@ bootstrapped extraction or the packing; tests/llm compares the stages with brute
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from salesforge.llm import line_dedup, near_dedup, packing, pii, quality_rules
-from salesforge.llm.common import read_table
+from salesforge.llm.common import read_table, ship_package
 from salesforge.session import ensure_checkpoint_dir
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def stage(f: Stage) -> Stage:
+    """A stage by itself: its workers get the library, whoever made the session."""
+    @wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return f(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: documents that the base rules or the learned list reject go."""
     return quality_rules.filter_documents(docs, quality_rules.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+@stage
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: later copies of repeated line runs are cut out; a document of which nothing is left goes."""
     return line_dedup.remove_repeated_runs(docs, chars_col="n_chars")
 
 
+@stage
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: of each group of near-duplicates the document with the smallest id stays."""
     return near_dedup.keep_one(docs)
 
 
+@stage
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: personal data is replaced by its kind."""
     return pii.mask(docs, chars_col="n_chars")
 
 
+@stage
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: the pieces of all documents with their places in sequences of 1024 tokens."""
     return packing.pack_documents(docs)
@@ -54,7 +74,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-pipeline-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+    for k, (_, f) in enumerate(STAGES[:-1]):
+        f(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
     return STAGES[-1][1](spark, docs, sf_dir)

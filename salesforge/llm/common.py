@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -14,14 +17,37 @@ from ..plans.physical import materialize
 from ..session import ensure_checkpoint_dir
 
 __all__ = ["LATIN_MAX", "concat_spans", "materialize", "read_table", "scratch_column", "scratch_folder",
-           "text_or_empty", "word_pattern"]
+           "ship_package", "text_or_empty", "word_pattern"]
 
 # Highest code point of the range for which ``word_pattern`` lists the letters and numbers itself.
 LATIN_MAX = 0x24F
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this library to the Python workers, once for each application.
+
+    Functions that run there are looked up by module, and a worker need not have the driver's path.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="salesforge-package-"), "salesforge.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), os.path.dirname(root)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the corpus, read through Spark (the folder may be in any store Spark can open)."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
