@@ -52,20 +52,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-_SPLITS: dict[tuple[str, str], int] = {}
-
-
-def _scan_splits(df: DataFrame, cache_key: str | None) -> int:
-    """Number of input splits of a scan (planned once per application and table path)."""
-    if cache_key is None:
-        return df.rdd.getNumPartitions()
-    k = (df.sparkSession.sparkContext.applicationId, cache_key)
-    if k not in _SPLITS:
-        _SPLITS[k] = df.rdd.getNumPartitions()
-    return _SPLITS[k]
-
-
-def spread_if_underpartitioned(df: DataFrame, key: str, cache_key: str | None = None) -> DataFrame:
+def spread_if_underpartitioned(df: DataFrame, key: str) -> DataFrame:
     """Hash-partition ``df`` on ``key`` when its scan yields fewer splits than the cluster has cores.
 
     A large table arrives in thousands of splits and is left alone (its join
@@ -75,9 +62,9 @@ def spread_if_underpartitioned(df: DataFrame, key: str, cache_key: str | None =
     parallelism for the join, the repairs and the map-side dedup.
     """
     spark = df.sparkSession
-    if _scan_splits(df, cache_key) >= spark.sparkContext.defaultParallelism:
+    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:  # planned, not run
         return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    return df.repartition(key)
 
 
 def star_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +77,7 @@ def star_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = spread_if_underpartitioned(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_returnflag"), "l_orderkey",
-        cache_key=os.path.join(sf_dir, "lineitem.parquet"))
+        "l_extendedprice", "l_discount", "l_returnflag"), "l_orderkey")
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
