@@ -185,8 +185,8 @@ def dictionary(spark: SparkSession, texts: DataFrame, ranks: dict[bytes, int],
     return {w: np.array(i, "<u4").tobytes() for row in encoded.collect() for w, i in zip(row[0], row[1], strict=True)}
 
 
-def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """(doc_id, ids): the ids of every whole text, as little-endian unsigned 32-bit integers."""
+def _encoded_chunks(docs: DataFrame, id_col: str, text_col: str, path: str | None) -> DataFrame:
+    """(docs, coded, rare): chunks of documents, with the ids of their rare words beside them."""
     spark = docs.sparkSession
     ranks = read_ranks(path or public_tokenizers.path(RANKS))
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
@@ -208,14 +208,19 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield chunk.row()
 
     chunks = texts.mapInPandas(look_up, "docs array<long>, coded array<binary>, rare array<string>")
-    encoded = chunks.select("docs", "coded", encode_words(F.col("rare"), rank_literal(ranks)).alias("rare"))
+    return chunks.select("docs", "coded", encode_words(F.col("rare"), rank_literal(ranks)).alias("rare"))
 
-    def fill(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for docs_, coded, rare in zip(part["docs"], part["coded"], part["rare"], strict=True):
-                yield pd.DataFrame({"doc_id": pd.Series(docs_).astype("Int64"), "ids": _filled(coded, rare)})
 
-    return encoded.mapInPandas(fill, "doc_id long, ids binary")
+def _documents(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(doc_id, ids) of the documents of encoded chunks."""
+    for part in parts:
+        for docs, coded, rare in zip(part["docs"], part["coded"], part["rare"], strict=True):
+            yield pd.DataFrame({"doc_id": pd.Series(docs).astype("Int64"), "ids": _filled(coded, rare)})
+
+
+def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """(doc_id, ids): the ids of every whole text, as little-endian unsigned 32-bit integers."""
+    return _encoded_chunks(docs, id_col, text_col, path).mapInPandas(_documents, "doc_id long, ids binary")
 
 
 class _Chunk:
@@ -287,12 +292,12 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
         pieces = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             pieces[rank] = token
-        for part in parts:
+        for part in _documents(parts):
             yield pd.DataFrame({
-                "doc_id": part["doc_id"].astype("Int64"),
+                "doc_id": part["doc_id"],
                 "n_tokens": [len(i) // 4 for i in part["ids"]],
                 "ids_sha256": [hashlib.sha256(i).hexdigest() for i in part["ids"]],
                 "decoded_sha256": [hashlib.sha256(decode(i, pieces)).hexdigest() for i in part["ids"]]})
 
-    return encode_documents(docs, id_col, text_col, path).mapInPandas(
+    return _encoded_chunks(docs, id_col, text_col, path).mapInPandas(
         digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

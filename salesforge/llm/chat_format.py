@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from .common import text_or_empty
+from .common import materialize, text_or_empty
 
 
 def field_paths(value: object, at: str = "$") -> set[str]:
@@ -197,6 +197,7 @@ def format_records(records: DataFrame) -> DataFrame:
 
 
 def digests(rows: DataFrame) -> DataFrame:
-    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, layout), read back from the output."""
-    out = format_records(mixed_records(rows)).withColumn("d", digest_udf("formatted"))
+    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), read back from the stored output."""
+    stored = materialize(format_records(mixed_records(rows)))
+    out = stored.withColumn("d", digest_udf("formatted"))
     return out.select("conv_id", *[F.col(f"d.{c}").alias(c) for c in _DIGEST.names])
