@@ -37,6 +37,16 @@ def test_ids_and_bytes_equal_the_library(spark, reference):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_encoded_documents_and_decoding(spark, reference):
+    texts = [(1, "Hello wörld, it's 12"), (2, None)]
+    got = {r["doc_id"]: bytes(r["ids"]) for r in B.encode_documents(
+        spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert np.frombuffer(got[1], "<u4").tolist() == reference.encode_ordinary(texts[0][1]) and got[2] == b""
+    ranks = B.read_ranks(P.path(B.RANKS))
+    pieces = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
+    assert B.decode(got[1], pieces).decode() == texts[0][1]
+
+
 def test_long_words_merge_alike(reference):
     rng = random.Random(3)
     ranks = B.read_ranks(P.path(B.RANKS))
