@@ -1,15 +1,18 @@
 """Personal data: exact base patterns, and bootstrapped contextual extraction of identifiers they do not cover.
 
-One pass over every whole text finds the base entities (the seeds) and the other identifier-like tokens, each with
-the words around it.  A *pattern* is such a context; an *instance* is a token's text.  Seeds induce patterns; Spark
-scores the bipartite pattern-instance graph in rounds:
+The first pass over every whole text finds the base entities (the seeds) with the words around them.  A *pattern* is
+such a context; an *instance* is whatever fills its slot: any token, and for phones and cards also a run of number
+tokens.  Neither digits nor a length are asked of it, the pattern's confidence over all its fillers decides.  Seeds
+induce patterns; Spark scores the bipartite pattern-instance graph in rounds:
 
     confidence(pattern, kind) = sum of its instances' weights / number of its instances     (enough distinct support)
     weight(instance, kind)    = 1 for a seed, else 1 - product(1 - confidence) over its confident patterns
 
-Instances that reach ``ACCEPT`` are new identifiers; they support further patterns in the next round.  Every round is a
-join of edges with their pattern's or instance's score (many to one) and an aggregate that is combined
-before the shuffle; nothing is gathered on the driver and no pairs are made, so a very common context is one row a score.
+Instances that reach ``ACCEPT`` are new identifiers; their contexts are further patterns in the next round.  A round reads
+the texts twice: for the fillers of the new patterns, and for the places of new fillers of confident ones.  Only slots
+that pass a Bloom filter of those patterns or values leave a task, and are joined exactly afterwards; where no pattern has
+the support, no round runs.  Aggregates are combined before the shuffle and no pairs are made, so a very common context
+is one row a score.
 
 Defined results
 * null text: as the empty text, no spans.  Offsets are code points, ends exclusive.
@@ -21,15 +24,20 @@ Defined results
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from . import bloom
 from .common import concat_spans, materialize, scratch_column, text_or_empty
 
 # The kinds in their order and the base patterns.  They are written so that a search is linear in the
@@ -45,14 +53,20 @@ ROUNDS = 3
 MIN_SUPPORT = 3  # distinct instances with weight that a pattern needs
 CONFIDENT = 0.7
 ACCEPT = 0.7
-MIN_DIGITS = 4  # of an identifier-like token
-MAX_TOKEN = 64
-CONTEXT = 60  # code points looked at on either side
+RUN_DIGITS = 19  # of the longest card: a run of number tokens with more is not one number
+WHOLE_DIGITS = 8  # of the shortest phone: a token with as many is a number by itself
+LONG_WORD = 64  # longer words stand in a pattern as a digest
+CACHED_WORDS = 300_000
+CHUNK = 1 << 20  # code points of text that are looked through at once
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = re.compile(r"[0-9]+")
-_SPACE = re.compile(r"\s")
+_WORD = re.compile(r"\S+")
 _STRIP = "\"'()[]{}<>,;:!?.*#$%&=|"
+_NUMBER = r"\(?\+?[0-9](?:[0-9()./-]*[0-9)-])?"
+_HEAD = re.compile(f"[{re.escape(_STRIP)}]*{_NUMBER}")  # the first of a run of number tokens, one inside, the last
+_INNER = re.compile(_NUMBER)
+_TAIL = re.compile(f"{_NUMBER}[{re.escape(_STRIP)}]*")
 
 
 def luhn(digits: str) -> bool:
@@ -91,67 +105,256 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def contexts(text: str, start: int, end: int) -> list[str]:
-    """The lexical patterns around a span: two words before it, and one word on each side (digits as 0)."""
-    cut = text[max(0, start - CONTEXT): start]
-    before = [w.lower() for w in cut.split()][-2:]
-    after = [w.lower().strip(_STRIP) for w in text[end: end + CONTEXT].lstrip(_STRIP).split()][:1]
-    before = [_DIGIT.sub("0", w) for w in before]
+def _normal(word: str) -> str:
+    return _DIGIT.sub("0", word.lower())
+
+
+def _short(word: str) -> str:
+    return word if len(word) <= LONG_WORD else f"#{hashlib.blake2b(word.encode('utf-8', 'surrogatepass'), digest_size=16).hexdigest()}"
+
+
+class Words:
+    """The words of a text with their places, and the contexts of its spans."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.starts, self.ends = [], []
+        for m in _WORD.finditer(text):
+            self.starts.append(m.start())
+            self.ends.append(m.end())
+        self.normal: dict[int, str] = {}
+
+    def word(self, k: int) -> str:
+        if k not in self.normal:
+            self.normal[k] = _normal(self.text[self.starts[k]: self.ends[k]])
+        return self.normal[k]
+
+    def contexts(self, start: int, end: int, left: int = 0, right: int | None = None) -> list[str]:
+        """The lexical patterns around a span: two words before it ("a b"), and one word on each side ("b _ c").
+
+        Digits are 0.  What is attached to the span, up to ``left`` and ``right``, counts as a word.
+        """
+        i, j = bisect_right(self.starts, start) - 1, bisect_right(self.starts, end - 1) - 1
+        right = len(self.text) if right is None else right
+        before = [_normal(w)] if (w := self.text[max(self.starts[i], left): start]) else []
+        before = [*map(self.word, range(max(0, i - 2 + len(before)), i)), *before]
+        after = _normal(self.text[end: min(self.ends[j], right)].lstrip(_STRIP))
+        if not after and right >= self.ends[j] and j + 1 < len(self.starts):
+            after = self.word(j + 1)
+        after = after.strip(_STRIP)
+        out = []
+        if len(before) == 2:
+            out.append(f"{_short(before[0])} {_short(before[1])}")
+        if before and after:
+            out.append(f"{_short(before[-1])} _ {_short(after)}")
+        return out
+
+    def token(self, k: int, last: int | None = None) -> tuple[int, int]:
+        """The span of word k (up to word ``last``) without the punctuation around it."""
+        start, end = self.starts[k], self.ends[k if last is None else last]
+        first = start
+        while start < end and self.text[start] in _STRIP:
+            start += 1
+        while end > start and self.text[end - 1] in _STRIP:
+            end -= 1
+        if start > first and self.text[start - 1] == "(" and 0 <= (at := self.text.find(")", start, end)) and (
+                self.text.find("(", start, at) < 0):
+            start -= 1  # its bracket closes inside
+        return start, end
+
+    def run(self, k: int) -> tuple[int, int] | None:
+        """The first and the last word of the run of number tokens around word k, if it is one of several."""
+        def digits(x: int) -> int:
+            return sum(map(self.text[self.starts[x]: self.ends[x]].count, "0123456789"))
+
+        def joined(x: int) -> bool:  # words x and x + 1
+            if not (0 <= x and x + 1 < len(self.starts) and self.starts[x + 1] - self.ends[x] == 1
+                    and self.text[self.ends[x]] == " "):
+                return False
+            a, b = (self.starts[x], self.ends[x]), (self.starts[x + 1], self.ends[x + 1])
+            return (max(a[1] - a[0], b[1] - b[0]) <= LONG_WORD and _HEAD.fullmatch(self.text, *a) is not None
+                    and _TAIL.fullmatch(self.text, *b) is not None and max(digits(x), digits(x + 1)) < WHOLE_DIGITS)
+
+        first = last = k
+        n = digits(k)
+        while n <= RUN_DIGITS and joined(first - 1) and (first == k or _INNER.fullmatch(
+                self.text, self.starts[first], self.ends[first])):
+            first -= 1
+            n += digits(first)
+        while n <= RUN_DIGITS and joined(last) and (last == first or _INNER.fullmatch(
+                self.text, self.starts[last], self.ends[last])):
+            last += 1
+            n += digits(last)
+        return (first, last) if first < last and n <= RUN_DIGITS else None
+
+
+def seeds(text: str, found: list[tuple[str, int, int]]) -> list[dict]:
+    """The base entities of a text with their patterns.  A neighbour in the same word is no part of a pattern."""
+    if not found:
+        return []
+    words, starts, ends = Words(text), sorted(s for _, s, _ in found), sorted(e for _, _, e in found)
     out = []
-    if len(before) == 2:
-        out.append(f"{before[0]} {before[1]} _")
-    if before and after and after[0]:
-        out.append(f"{before[1 if len(before) == 2 else 0]} _ {_DIGIT.sub('0', after[0])}")
+    for kind, s, e in found:
+        left, right = bisect_right(ends, s), bisect_left(starts, e)
+        out.append({"kind": kind, "value": text[s:e].lower(), "patterns": words.contexts(
+            s, e, ends[left - 1] if left else 0, starts[right] if right < len(starts) else None)})
     return out
 
 
-def tokens(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Identifier-like tokens (digits in them) that touch no base span."""
-    out, done = [], 0
-    spans = sorted((s, e) for _, s, e in taken)
-    k = 0
-    for m in _DIGIT.finditer(text):
-        if m.start() < done:
-            continue
-        start = m.start()
-        while start > done and not text[start - 1].isspace():
-            start -= 1
-        stop = _SPACE.search(text, m.end())
-        end = done = stop.start() if stop else len(text)
-        while start < end and text[start] in _STRIP:
-            start += 1
-        while end > start and text[end - 1] in _STRIP:
-            end -= 1
-        while k < len(spans) and spans[k][1] <= start:
-            k += 1
-        if any(s < end and start < e for s, e in spans[k: k + 4]):
-            continue
-        if end - start <= MAX_TOKEN and sum(map(text[start:end].count, "0123456789")) >= MIN_DIGITS:
-            out.append((start, end))
+def fillers(text: str, hits: list[int]) -> list[dict]:
+    """The slots that begin at these words and touch no base span.
+
+    ``wide``: it can be a phone or card, ``narrow``: an email or ip (single tokens only).  Of a run of number tokens, only
+    the run as a whole is wide; ``unit`` is where it begins.
+    """
+    words, out = Words(text), []
+    taken = sorted((s, e) for _, s, e in base_spans(text))
+    reach = np.maximum.accumulate([e for _, e in taken]) if taken else []
+    starts = [s for s, _ in taken]
+
+    def free(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)  # spans that begin before the slot's end
+        return start < end and not (before and reach[before - 1] > start)
+
+    def slot(start: int, end: int, unit: int, wide: bool, narrow: bool) -> None:
+        out.append({"unit": unit, "start": start, "end": end, "value": text[start:end].lower(), "wide": wide,
+                    "narrow": narrow, "patterns": words.contexts(start, end)})
+
+    for k in hits:
+        start, end = words.token(k)
+        run = words.run(k) if words.text[words.starts[k]: words.ends[k]].strip(_STRIP)[:1] in _RUN_START else None
+        if run and free(*(whole := words.token(*run))):
+            if k == run[0]:
+                slot(*whole, whole[0], True, False)
+            if free(start, end):
+                slot(start, end, whole[0], False, True)
+        elif free(start, end):
+            slot(start, end, start, True, True)
     return out
 
 
+_RUN_START = frozenset("+0123456789")
+_OPEN, _NUMERIC = 1, 2  # flags in the lowest bits of a value's hash: punctuation first, may be in a run
+_FLAGS = 3
+
+
+def _hash(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+
+
+class _Hashes(dict):
+    """A bounded cache of a hash of each word."""
+
+    def __init__(self, of: Callable[[str], int]):
+        self.of = of
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        h = self.of(word)
+        if len(word) <= LONG_WORD:
+            self[word] = h
+        return h
+
+
+def _value_hash(word: str) -> int:
+    bare = word.strip(_STRIP)
+    return (_hash(bare) & ~_FLAGS) | _OPEN * (word[:1] in _STRIP) | _NUMERIC * (bare[:1] in _RUN_START)
+
+
+_before = _Hashes(lambda word: _hash(_short(word)))
+_after = _Hashes(lambda word: _hash(_short(word.strip(_STRIP))))
+_value = _Hashes(_value_hash)
+_FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+
+
+def _key(first: np.ndarray, second: np.ndarray, around: bool) -> np.ndarray:
+    h = first * _FACTORS[2 * around] + second * _FACTORS[2 * around + 1]
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0x7FB5D329728EA185)
+    h ^= h >> np.uint64(32)
+    return h.view(np.int64)
+
+
+def _hashes(cache: _Hashes, words: list[str]) -> np.ndarray:
+    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+
+
+def pattern_keys(patterns: list[str]) -> np.ndarray:
+    """The hash of each pattern, as ``slots_at`` computes it from a text's words."""
+    parts = [p.split(" ") for p in patterns]
+    around = np.array([len(p) == 3 for p in parts], bool)
+    first, second = (np.array([_hash(p[i]) for p in parts], np.uint64) for i in (0, -1))
+    return np.where(around, _key(first, second, True), _key(first, second, False))
+
+
+def value_keys(values: list[str]) -> np.ndarray:
+    return (np.array([_value_hash(v) for v in values], np.uint64) & ~np.uint64(_FLAGS)).view(np.int64)
+
+
+@pandas_udf(T.LongType())
+def pattern_key(patterns: pd.Series) -> pd.Series:
+    return pd.Series(pattern_keys(list(patterns)), dtype="int64")
+
+
+@pandas_udf(T.LongType())
+def value_key(values: pd.Series) -> pd.Series:
+    return pd.Series(value_keys(list(values)), dtype="int64")
+
+
+def slots_at(texts: list[str], patterns: np.ndarray | None, values: np.ndarray | None) -> list[list[dict]]:
+    """The slots of each text that may have one of the patterns or values, given as Bloom filters."""
+    lower = [t.lower() for t in texts]
+    words = [t.split() for t in lower]
+    v = _hashes(_value, [w for ws in words for w in ws])
+    number = (v & np.uint64(_NUMERIC)) != 0
+    hit = (v & np.uint64(_OPEN)) != 0
+    hit[:-1] |= number[:-1] & number[1:]  # may begin a run
+    if values is not None:
+        hit |= bloom.might_contain(values, (v & ~np.uint64(_FLAGS)).view(np.int64))
+    if patterns is not None:
+        normal = [w for t in lower for w in _DIGIT.sub("0", t).split()]
+        b, a = _hashes(_before, normal), _hashes(_after, normal)
+        hit[2:] |= bloom.might_contain(patterns, _key(b[:-2], b[1:-1], False))
+        hit[1:-1] |= bloom.might_contain(patterns, _key(b[:-2], a[2:], True))
+    out, at = [], 0
+    for text, ws in zip(texts, words, strict=True):
+        k = np.flatnonzero(hit[at: at + len(ws)])
+        out.append(fillers(text, k.tolist()) if len(k) else [])
+        at += len(ws)
+    found = [s for own in out for s in own]  # again with the patterns as they are
+    if not found:
+        return out
+    keep = np.zeros(len(found), bool)
+    if values is not None:
+        keep |= bloom.might_contain(values, value_keys([s["value"] for s in found]))
+    if patterns is not None:
+        of = np.repeat(np.arange(len(found)), [len(s["patterns"]) for s in found])
+        np.logical_or.at(keep, of, bloom.might_contain(patterns, pattern_keys([p for s in found for p in s["patterns"]])))
+    kept = iter(keep.tolist())
+    return [[s for s in own if next(kept)] for own in out]
+
+
 _SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
                                    T.StructField("end", T.IntegerType())]))
+_SEEDS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("value", T.StringType()),
+                                   T.StructField("patterns", T.ArrayType(T.StringType()))]))
 _SLOTS = T.ArrayType(T.StructType([
-    T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
-    T.StructField("value", T.StringType()), T.StructField("patterns", T.ArrayType(T.StringType()))]))
+    T.StructField("unit", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
+    T.StructField("value", T.StringType()), T.StructField("wide", T.BooleanType()),
+    T.StructField("narrow", T.BooleanType()), T.StructField("patterns", T.ArrayType(T.StringType()))]))
 
 
-@pandas_udf(T.StructType([T.StructField("base", _SPANS), T.StructField("slots", _SLOTS)]))
+@pandas_udf(T.StructType([T.StructField("base", _SPANS), T.StructField("seeds", _SEEDS)]))
 def scan_udf(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """Base spans and slots (a slot: seed or identifier-like token, with its patterns) of each text."""
+    """Base spans of each text, and the same as seeds with their patterns."""
     for part in texts:
-        base, slots = [], []
+        base, own = [], []
         for text in part:
             found = base_spans(text)
             base.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
-            own = []
-            for kind, s, e in [*found, *((None, s, e) for s, e in tokens(text, found))]:
-                own.append({"kind": kind, "start": s, "end": e, "value": text[s:e].lower(),
-                            "patterns": contexts(text, s, e)})
-            slots.append(own)
-        yield pd.DataFrame({"base": base, "slots": slots})
+            own.append(seeds(text, found))
+        yield pd.DataFrame({"base": base, "seeds": own})
 
 
 scan_udf = scan_udf.asNondeterministic()
@@ -172,40 +375,124 @@ def mask_udf(texts: pd.Series, found: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def _scores(edges: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(value, kind, score) of the instances accepted after ``ROUNDS`` rounds; edges: (pattern, value), distinct."""
-    sizes = materialize(edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SUPPORT))
-    edges = materialize(edges.join(sizes, "pattern"))
-    weights, accepted = seeds.withColumn("weight", F.lit(1.0)), None
+def _filter_of(keys: DataFrame | None, column: str, key: Callable) -> np.ndarray | None:
+    if keys is None:
+        return None
+    hashed = materialize(keys.select(key(column).alias("h")))
+    return bloom.build(hashed, "h", hashed.count())
+
+
+def _slots(docs: DataFrame, patterns: DataFrame | None, values: DataFrame | None) -> DataFrame:
+    """(id, text_hash, slot columns) of the slots that may have one of the patterns or of the values."""
+    bits = docs.sparkSession.sparkContext.broadcast(
+        (_filter_of(patterns, "pattern", pattern_key), _filter_of(values, "value", value_key)))
+
+    @pandas_udf(_SLOTS)
+    def look(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            texts, out, held, size = list(part), [], [], 0
+            for text in texts:
+                held.append(text)
+                size += len(text)
+                if size >= CHUNK:
+                    out += slots_at(held, *bits.value)
+                    held, size = [], 0
+            yield pd.Series(out + slots_at(held, *bits.value), dtype=object)
+
+    return docs.select("id", "text_hash", F.explode(look.asNondeterministic()("text")).alias("s")).select(
+        "id", "text_hash", "s.*")
+
+
+# Phones and cards can be runs of tokens, the other kinds single tokens only.
+_FITS = "(wide and kind in ('phone', 'card')) or (narrow and kind in ('email', 'ip'))"
+
+
+def _supported(edges: DataFrame) -> DataFrame:
+    """The patterns that enough distinct values of a kind support; edges: (pattern, kind, value), distinct."""
+    return edges.groupBy("pattern", "kind").count().where(F.col("count") >= MIN_SUPPORT).select("pattern").distinct()
+
+
+def _confident(edges: DataFrame, weights: DataFrame) -> DataFrame:
+    """(pattern, kind, conf) of the confident patterns; edges: all their fillers."""
+    sizes = edges.groupBy("pattern").agg(F.count_if("wide").alias("n_wide"), F.count_if("narrow").alias("n_narrow"))
+    n = F.when(F.col("kind").isin("phone", "card"), F.col("n_wide")).otherwise(F.col("n_narrow"))
+    return materialize(
+        edges.join(weights, "value").where(_FITS).groupBy("pattern", "kind")
+        .agg(F.sum("weight").alias("sum"), F.count("*").alias("support")).where(F.col("support") >= MIN_SUPPORT)
+        .join(sizes, "pattern").withColumn("conf", F.col("sum") / n).where(F.col("conf") >= CONFIDENT)
+        .select("pattern", "kind", "conf"))
+
+
+def _scores(docs: DataFrame, seed_edges: DataFrame) -> DataFrame:
+    """(value, kind, score) of the instances accepted after ``ROUNDS`` rounds; seed_edges: (pattern, kind, value)."""
+    spark = docs.sparkSession
+    seed_values = seed_edges.select("value", "kind").distinct()
+    weights = seed_values.withColumn("weight", F.lit(1.0))
+    accepted = spark.createDataFrame([], "value string, kind string, score double")
+    edges = spark.createDataFrame([], "pattern string, value string, wide boolean, narrow boolean")
+    places = spark.createDataFrame([], "value string, wide boolean, narrow boolean, patterns array<string>, n long")
+    known = spark.createDataFrame([], "pattern string")
+    tried = seed_values.select("value").distinct()
+    new = materialize(_supported(seed_edges))
     for _ in range(ROUNDS):
-        confident = (edges.join(weights, "value").groupBy("pattern", "kind")
-                     .agg(F.sum("weight").alias("sum"), F.count("*").alias("support"), F.first("n").alias("n"))
-                     .where((F.col("support") >= MIN_SUPPORT) & (F.col("sum") / F.col("n") >= CONFIDENT))
-                     .select("pattern", "kind", (F.col("sum") / F.col("n")).alias("conf")))
+        if not new.isEmpty():
+            filled = (_slots(docs, new, None).select("value", "wide", "narrow", F.explode("patterns").alias("pattern"))
+                      .join(new, "pattern").select("pattern", "value", "wide", "narrow"))
+            sown = seed_edges.join(new, "pattern").select("pattern", "value", F.lit(True).alias("wide"),
+                                                          F.lit(True).alias("narrow"))
+            edges = materialize(edges.union(filled.union(sown).groupBy("pattern", "value").agg(
+                F.max("wide").alias("wide"), F.max("narrow").alias("narrow"))))
+            known = materialize(known.union(new))
+        conf = _confident(edges, weights)
+        values = materialize(edges.join(conf, "pattern").where(_FITS).select("value").distinct()
+                             .join(tried, "value", "left_anti"))
+        if not values.isEmpty():
+            places = materialize(places.union(_slots(docs, None, values).join(values, "value").groupBy(
+                "value", "wide", "narrow", "patterns").agg(F.count("*").alias("n"))))
+            tried = materialize(tried.union(values))
         accepted = materialize(
-            edges.join(confident, "pattern").groupBy("value", "kind")
+            edges.join(conf, "pattern").where(_FITS).groupBy("value", "kind")
             .agg((1 - F.product(1 - F.col("conf"))).alias("score")).where(F.col("score") >= ACCEPT)
-            .join(seeds.select("value").distinct(), "value", "left_anti"))
-        weights = materialize(seeds.withColumn("weight", F.lit(1.0)).union(accepted))
+            .join(seed_values.select("value").distinct(), "value", "left_anti"))
+        weights = materialize(seed_values.withColumn("weight", F.lit(1.0)).union(accepted))
+        grown = places.join(accepted, "value").where(_FITS).select(F.explode("patterns").alias("pattern"), "kind", "value")
+        new = materialize(_supported(seed_edges.union(grown).distinct()).join(known, "pattern", "left_anti"))
     return accepted
 
 
-def discover(scanned: DataFrame) -> DataFrame:
-    """(id, text_hash, found): discovered spans of each text that has any; scanned: id, text_hash, base, slots."""
-    slots = materialize(scanned.select("id", "text_hash", F.explode("slots").alias("s")).select("id", "text_hash", "s.*"))
-    edges = slots.select("value", F.explode("patterns").alias("pattern")).distinct()
-    accepted = _scores(edges, slots.where("kind is not null").select("value", "kind").distinct())
+def discover(docs: DataFrame, scanned: DataFrame) -> DataFrame:
+    """(id, text_hash, found): discovered spans of each text that has any; docs: id, text_hash, text; scanned: ``scan``."""
+    seed_edges = materialize(scanned.select(F.explode("seeds").alias("s"))
+                             .select(F.explode("s.patterns").alias("pattern"), "s.kind", "s.value").distinct())
+    accepted = _scores(docs, seed_edges)
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
-    best = accepted.groupBy("value").agg(F.max_by("kind", F.struct("score", -rank)).alias("found"))
-    return (slots.where("kind is null").join(best, "value").groupBy("id", "text_hash")
-            .agg(F.sort_array(F.collect_set(F.struct(F.col("found").alias("kind"), "start", "end"))).alias("found")))
+    if accepted.isEmpty():
+        return docs.limit(0).select("id", "text_hash", F.array().cast(_SPANS).alias("found"))
+    slots = _slots(docs, None, accepted.select("value").distinct())
+    marks = slots.join(accepted, "value").where(_FITS).select("id", "text_hash", "unit", "start", "end", "kind", "score")
+    best = marks.groupBy("id", "text_hash", "unit", "start", "end").agg(
+        F.max_by("kind", F.struct("score", -rank)).alias("kind"))
+    # a run goes before the tokens in it
+    whole = F.max("end").over(Window.partitionBy("id", "text_hash", "unit"))
+    first = F.min("start").over(Window.partitionBy("id", "text_hash", "unit"))
+    covered = F.max((F.col("start") == first) & (F.col("end") == whole)).over(
+        Window.partitionBy("id", "text_hash", "unit"))
+    return (best.withColumns({"whole": whole, "first": first, "covered": covered})
+            .where(~F.col("covered") | ((F.col("start") == F.col("first")) & (F.col("end") == F.col("whole"))))
+            .groupBy("id", "text_hash")
+            .agg(F.sort_array(F.collect_set(F.struct("kind", "start", "end"))).alias("found")))
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text_hash, text) of every row."""
+    text = text_or_empty(F.col(f"`{text_col}`"))
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text_hash, base, slots) of every row, cut from its lineage; texts are read once."""
-    text = text_or_empty(F.col(f"`{text_col}`"))
-    return materialize(docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("text_hash"),
-                                   scan_udf(text).alias("s")).select("id", "text_hash", "s.base", "s.slots"))
+def scan(keyed: DataFrame) -> DataFrame:
+    """(id, text_hash, base, seeds) of every row of ``_keyed``, cut from its lineage."""
+    return materialize(keyed.select("id", "text_hash", scan_udf("text").alias("s"))
+                       .select("id", "text_hash", "s.base", "s.seeds"))
 
 
 def _in_order(spans: Column) -> Column:
@@ -218,8 +505,9 @@ def _in_order(spans: Column) -> Column:
 
 def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found) for every row."""
-    scanned = scan(docs, id_col, text_col)
-    found = discover(scanned)
+    keyed = _keyed(docs, id_col, text_col)
+    scanned = scan(keyed)
+    found = discover(keyed, scanned)
     rows = scanned.select("id", "text_hash", "base").join(
         found.select(F.col("id").alias("id_"), F.col("text_hash").alias("hash_"), "found"),
         F.col("id").eqNullSafe(F.col("id_")) & (F.col("text_hash") == F.col("hash_")), "left")
@@ -239,7 +527,8 @@ BROADCAST_ROWS = 50_000
 
 def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = None) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; ``chars_col`` gets the new length."""
-    found = materialize(discover(scan(docs, id_col, text_col)))
+    keyed = _keyed(docs, id_col, text_col)
+    found = materialize(discover(keyed, scan(keyed)))
     i, h, f = (scratch_column(docs, x) for x in ("id", "hash", "found"))
     found = found.select(F.col("id").alias(i), F.col("text_hash").alias(h), F.col("found").alias(f))
     if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:

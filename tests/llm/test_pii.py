@@ -59,3 +59,38 @@ def test_mask_keeps_columns_and_rows(spark):
 def test_empty_table(spark):
     assert pii.entities(spark.createDataFrame([], SCHEMA)).count() == 0
     assert pii.mask(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def _spans(spark, texts, schema="doc_id long, text string"):
+    return {r["doc_id"]: r["spans"].split(",") if r["spans"] else [] for r in pii.entities(
+        spark.createDataFrame(list(enumerate(texts)), schema)).collect()}
+
+
+def test_whatever_fills_a_slot_is_an_instance(spark):
+    """No digits, several tokens, a wide gap, a long value: the context alone finds them."""
+    long = "x" * 100 + "(at)corp.example"
+    texts = [f"please write to user{k}@corp.example now" for k in range(12)]
+    texts += [f"you may call me at +1 212 555 01{k:02d} today" for k in range(6)]
+    texts += ["please write to jane(at)corp.example now", "you may call me at (555) 123 4567 today",
+              f"please write to{' ' * 200}bob(at)corp.example now", f"please write to {long} now"]
+    got = _spans(spark, texts)
+
+    def span(doc, kind, value):
+        at = texts[doc].index(value)
+        return [f"{kind}:{at}:{at + len(value)}"]
+
+    assert got[18] == span(18, "email", "jane(at)corp.example") and got[19] == span(19, "phone", "(555) 123 4567")
+    assert got[20] == span(20, "email", "bob(at)corp.example") and got[21] == span(21, "email", long)
+
+
+def test_a_context_with_many_other_fillers_finds_nothing(spark):
+    texts = [f"please write to user{k}@corp.example now" for k in range(6)]
+    texts += [f"please write to {w} now" for w in ("me", "him", "her", "them", "us")]
+    got = _spans(spark, texts)
+    assert all(not got[k] for k in range(6, 11))
+
+
+def test_neighbours_in_one_word_are_linear():
+    text = "a@b.co," * 30_000
+    found = pii.base_spans(text)
+    assert len(found) == 30_000 and len(pii.seeds(text, found)) == 30_000
