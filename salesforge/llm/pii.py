@@ -6,10 +6,14 @@ tokens.  Neither digits nor a length are asked of it, the pattern's confidence o
 induce patterns; Spark scores the bipartite pattern-instance graph in rounds:
 
     confidence(pattern, kind) = sum of its instances' weights / number of its instances     (enough distinct support)
-    weight(instance, kind)    = 1 for a seed, else 1 - product(1 - confidence) over its confident patterns
-
-Instances that reach ``ACCEPT`` are new identifiers; their contexts are further patterns in the next round.  A round reads
-the texts twice: for the fillers of the new patterns, and for the places of new fillers of confident ones.  Only slots
+    slot(place, kind)         = 1 - product(1 - confidence) over the confident ones of a place's patterns, else 0
+    score(instance, kind)     = mean of slot over all places of the instance in the corpus
+    weight(instance, pattern) = 1 for a seed, else the same mean over the places outside the pattern, if ``ACCEPT``
+
+So a value that is seen once in a confident context and mostly in plain ones supports nothing.  Instances whose score
+reaches ``ACCEPT`` are new identifiers wherever they stand; any other filler only where its context is confident.
+The contexts of weighty instances are further patterns in the next round.  A round reads the
+texts twice: for the fillers of the new patterns, and for the places of new fillers of confident ones.  Only slots
 that pass a Bloom filter of those patterns or values leave a task, and are joined exactly afterwards; where no pattern has
 the support, no round runs.  Aggregates are combined before the shuffle and no pairs are made, so a very common context
 is one row a score.
@@ -413,34 +417,57 @@ def _supported(edges: DataFrame) -> DataFrame:
 
 
 def _confident(edges: DataFrame, weights: DataFrame) -> DataFrame:
-    """(pattern, kind, conf) of the confident patterns; edges: all their fillers."""
+    """(pattern, kind, conf) of the confident patterns; edges: all their fillers; weights: (pattern, kind, value, weight)."""
     sizes = edges.groupBy("pattern").agg(F.count_if("wide").alias("n_wide"), F.count_if("narrow").alias("n_narrow"))
     n = F.when(F.col("kind").isin("phone", "card"), F.col("n_wide")).otherwise(F.col("n_narrow"))
     return materialize(
-        edges.join(weights, "value").where(_FITS).groupBy("pattern", "kind")
+        edges.join(weights, ["pattern", "value"]).where(_FITS).groupBy("pattern", "kind")
         .agg(F.sum("weight").alias("sum"), F.count("*").alias("support")).where(F.col("support") >= MIN_SUPPORT)
         .join(sizes, "pattern").withColumn("conf", F.col("sum") / n).where(F.col("conf") >= CONFIDENT)
         .select("pattern", "kind", "conf"))
 
 
-def _scores(docs: DataFrame, seed_edges: DataFrame) -> DataFrame:
-    """(value, kind, score) of the instances accepted after ``ROUNDS`` rounds; seed_edges: (pattern, kind, value)."""
+def _weigh(places: DataFrame, conf: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(value, kind, score) of the accepted instances, and (pattern, kind, value, weight) of the weighty ones.
+
+    places: (value, wide, narrow, patterns, n), all places of the instances, equal ones counted.
+    """
+    each = places.withColumn("pattern", F.explode("patterns"))
+    scored = materialize(each.join(conf, "pattern").where(_FITS).groupBy("value", "wide", "narrow", "patterns", "kind")
+                         .agg((F.first("n") * (1 - F.product(1 - F.col("conf")))).alias("s")))
+    totals = places.groupBy("value").agg(F.sum("n").alias("n"))
+    sums = materialize(scored.groupBy("value", "kind").agg(F.sum("s").alias("s")).join(totals, "value"))
+    accepted = sums.select("value", "kind", (F.col("s") / F.col("n")).alias("score")).where(F.col("score") >= ACCEPT)
+    inside = scored.select("value", "kind", "s", F.explode("patterns").alias("pattern")).groupBy(
+        "value", "kind", "pattern").agg(F.sum("s").alias("s_in"))
+    weights = (sums.join(each.groupBy("value", "pattern").agg(F.sum("n").alias("n_in")), "value")
+               .join(inside, ["value", "kind", "pattern"], "left").where("n > n_in")
+               .withColumn("weight", (F.col("s") - F.coalesce("s_in", F.lit(0.0))) / (F.col("n") - F.col("n_in")))
+               .where(F.col("weight") >= ACCEPT).select("pattern", "kind", "value", "weight"))
+    return materialize(accepted), materialize(weights)
+
+
+def _scores(docs: DataFrame, seed_edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What ``ROUNDS`` rounds find: (pattern, kind, score) confident and (value, kind, score) accepted.
+
+    seed_edges: (pattern, kind, value), distinct.
+    """
     spark = docs.sparkSession
-    seed_values = seed_edges.select("value", "kind").distinct()
-    weights = seed_values.withColumn("weight", F.lit(1.0))
+    sown = seed_edges.withColumn("weight", F.lit(1.0))
+    conf = spark.createDataFrame([], "pattern string, kind string, conf double")
     accepted = spark.createDataFrame([], "value string, kind string, score double")
     edges = spark.createDataFrame([], "pattern string, value string, wide boolean, narrow boolean")
     places = spark.createDataFrame([], "value string, wide boolean, narrow boolean, patterns array<string>, n long")
     known = spark.createDataFrame([], "pattern string")
-    tried = seed_values.select("value").distinct()
+    weights, tried = sown, seed_edges.select("value").distinct()
     new = materialize(_supported(seed_edges))
     for _ in range(ROUNDS):
         if not new.isEmpty():
             filled = (_slots(docs, new, None).select("value", "wide", "narrow", F.explode("patterns").alias("pattern"))
                       .join(new, "pattern").select("pattern", "value", "wide", "narrow"))
-            sown = seed_edges.join(new, "pattern").select("pattern", "value", F.lit(True).alias("wide"),
-                                                          F.lit(True).alias("narrow"))
-            edges = materialize(edges.union(filled.union(sown).groupBy("pattern", "value").agg(
+            seeded = seed_edges.join(new, "pattern").select("pattern", "value", F.lit(True).alias("wide"),
+                                                            F.lit(True).alias("narrow"))
+            edges = materialize(edges.union(filled.union(seeded).groupBy("pattern", "value").agg(
                 F.max("wide").alias("wide"), F.max("narrow").alias("narrow"))))
             known = materialize(known.union(new))
         conf = _confident(edges, weights)
@@ -450,36 +477,29 @@ def _scores(docs: DataFrame, seed_edges: DataFrame) -> DataFrame:
             places = materialize(places.union(_slots(docs, None, values).join(values, "value").groupBy(
                 "value", "wide", "narrow", "patterns").agg(F.count("*").alias("n"))))
             tried = materialize(tried.union(values))
-        accepted = materialize(
-            edges.join(conf, "pattern").where(_FITS).groupBy("value", "kind")
-            .agg((1 - F.product(1 - F.col("conf"))).alias("score")).where(F.col("score") >= ACCEPT)
-            .join(seed_values.select("value").distinct(), "value", "left_anti"))
-        weights = materialize(seed_values.withColumn("weight", F.lit(1.0)).union(accepted))
-        grown = places.join(accepted, "value").where(_FITS).select(F.explode("patterns").alias("pattern"), "kind", "value")
-        new = materialize(_supported(seed_edges.union(grown).distinct()).join(known, "pattern", "left_anti"))
-    return accepted
+        accepted, grown = _weigh(places, conf)
+        weights = sown.union(grown)
+        new = materialize(_supported(weights).join(known, "pattern", "left_anti"))
+    return conf.withColumnRenamed("conf", "score"), accepted
 
 
 def discover(docs: DataFrame, scanned: DataFrame) -> DataFrame:
     """(id, text_hash, found): discovered spans of each text that has any; docs: id, text_hash, text; scanned: ``scan``."""
     seed_edges = materialize(scanned.select(F.explode("seeds").alias("s"))
                              .select(F.explode("s.patterns").alias("pattern"), "s.kind", "s.value").distinct())
-    accepted = _scores(docs, seed_edges)
-    rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
-    if accepted.isEmpty():
+    conf, accepted = _scores(docs, seed_edges)
+    if conf.isEmpty():
         return docs.limit(0).select("id", "text_hash", F.array().cast(_SPANS).alias("found"))
-    slots = _slots(docs, None, accepted.select("value").distinct())
-    marks = slots.join(accepted, "value").where(_FITS).select("id", "text_hash", "unit", "start", "end", "kind", "score")
-    best = marks.groupBy("id", "text_hash", "unit", "start", "end").agg(
-        F.max_by("kind", F.struct("score", -rank)).alias("kind"))
-    # a run goes before the tokens in it
-    whole = F.max("end").over(Window.partitionBy("id", "text_hash", "unit"))
-    first = F.min("start").over(Window.partitionBy("id", "text_hash", "unit"))
-    covered = F.max((F.col("start") == first) & (F.col("end") == whole)).over(
-        Window.partitionBy("id", "text_hash", "unit"))
-    return (best.withColumns({"whole": whole, "first": first, "covered": covered})
-            .where(~F.col("covered") | ((F.col("start") == F.col("first")) & (F.col("end") == F.col("whole"))))
-            .groupBy("id", "text_hash")
+    slots = materialize(_slots(docs, conf.select("pattern").distinct(), accepted.select("value").distinct()))
+    place = ["id", "text_hash", "unit", "start", "end", "wide"]
+    here = (slots.withColumn("pattern", F.explode("patterns")).join(conf, "pattern").where(_FITS)
+            .groupBy(*place, "kind").agg((1 - F.product(1 - F.col("score"))).alias("score")))
+    anywhere = slots.join(accepted, "value").where(_FITS).select(*place, "kind", "score")
+    rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
+    best = here.union(anywhere).groupBy(*place).agg(F.max_by("kind", F.struct("score", -rank)).alias("kind"))
+    # a found run (the only wide slot of its unit) goes before the tokens in it
+    run = F.max("wide").over(Window.partitionBy("id", "text_hash", "unit"))
+    return (best.withColumn("run", run).where(F.col("wide") | ~F.col("run")).groupBy("id", "text_hash")
             .agg(F.sort_array(F.collect_set(F.struct("kind", "start", "end"))).alias("found")))
 
 

@@ -94,3 +94,16 @@ def test_neighbours_in_one_word_are_linear():
     text = "a@b.co," * 30_000
     found = pii.base_spans(text)
     assert len(found) == 30_000 and len(pii.seeds(text, found)) == 30_000
+
+
+def test_an_instance_is_weighed_by_all_its_places(spark):
+    """2024 is in a confident context once and in plain ones often; 5550199123 the other way round."""
+    texts = [f"you may call me at +1 212 555 01{k:02d} today" for k in range(30)]
+    texts += ["you may call me at 2024 today"] + [f"it was in 2024 that word{k} began" for k in range(5)]
+    texts += ["you may call me at 5550199123 today"] * 5 + ["ask for 5550199123 there"]
+    got = _spans(spark, texts)
+    assert got[30] == ["phone:19:23"] and all(not got[k] for k in range(31, 36))
+    assert all(got[k] == ["phone:19:29"] for k in range(36, 41)) and got[41] == ["phone:8:18"]
+    text = {r["doc_id"]: r["text"] for r in pii.mask(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert text[31] == texts[31] and text[41] == "ask for [PHONE] there"
