@@ -12,11 +12,11 @@ induce patterns; Spark scores the bipartite pattern-instance graph in rounds:
 
 So a value that is seen once in a confident context and mostly in plain ones supports nothing.  Instances whose score
 reaches ``ACCEPT`` are new identifiers wherever they stand; any other filler only where its context is confident.
-The contexts of weighty instances are further patterns in the next round.  A round reads the
-texts twice: for the fillers of the new patterns, and for the places of new fillers of confident ones.  Only slots
-that pass a Bloom filter of those patterns or values leave a task, and are joined exactly afterwards; where no pattern has
-the support, no round runs.  Aggregates are combined before the shuffle and no pairs are made, so a very common context
-is one row a score.
+The contexts of weighty instances are further patterns in the next round; rounds end when one adds no pattern, no
+identifier and no weighty instance.  A round reads the texts at most twice: for the fillers of the new patterns, and for
+the places of new fillers of confident ones.  Only slots that pass a Bloom filter of those patterns or values leave a
+task, and are joined exactly afterwards; where no pattern has the support, no round runs.  Aggregates are combined before
+the shuffle and no pairs are made, so a very common context is one row a score.
 
 Defined results
 * null text: as the empty text, no spans.  Offsets are code points, ends exclusive.
@@ -53,7 +53,6 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-ROUNDS = 3
 MIN_SUPPORT = 3  # distinct instances with weight that a pattern needs
 CONFIDENT = 0.7
 ACCEPT = 0.7
@@ -448,9 +447,9 @@ def _weigh(places: DataFrame, conf: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _scores(docs: DataFrame, seed_edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What ``ROUNDS`` rounds find: (pattern, kind, score) confident and (value, kind, score) accepted.
+    """What all rounds find: (pattern, kind, score) confident and (value, kind, score) accepted.
 
-    seed_edges: (pattern, kind, value), distinct.
+    seed_edges: (pattern, kind, value), distinct.  Weights and confidences never fall, so these sets only grow.
     """
     spark = docs.sparkSession
     sown = seed_edges.withColumn("weight", F.lit(1.0))
@@ -461,7 +460,8 @@ def _scores(docs: DataFrame, seed_edges: DataFrame) -> tuple[DataFrame, DataFram
     known = spark.createDataFrame([], "pattern string")
     weights, tried = sown, seed_edges.select("value").distinct()
     new = materialize(_supported(seed_edges))
-    for _ in range(ROUNDS):
+    before = now = (0, 0, 0)
+    while not new.isEmpty() or before != now:
         if not new.isEmpty():
             filled = (_slots(docs, new, None).select("value", "wide", "narrow", F.explode("patterns").alias("pattern"))
                       .join(new, "pattern").select("pattern", "value", "wide", "narrow"))
@@ -480,6 +480,7 @@ def _scores(docs: DataFrame, seed_edges: DataFrame) -> tuple[DataFrame, DataFram
         accepted, grown = _weigh(places, conf)
         weights = sown.union(grown)
         new = materialize(_supported(weights).join(known, "pattern", "left_anti"))
+        before, now = now, (conf.count(), accepted.count(), grown.count())
     return conf.withColumnRenamed("conf", "score"), accepted
 
 

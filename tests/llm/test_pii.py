@@ -107,3 +107,13 @@ def test_an_instance_is_weighed_by_all_its_places(spark):
     text = {r["doc_id"]: r["text"] for r in pii.mask(spark.createDataFrame(
         list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert text[31] == texts[31] and text[41] == "ask for [PHONE] there"
+
+
+def test_rounds_go_on_to_the_end_of_a_chain(spark):
+    """Each pattern has too few seeds without the instance that the pattern before it finds."""
+    texts, last = [], 3
+    for k in range(last + 1):
+        n, a = (3 if k == 0 else 2), f"{chr(97 + k)}x"
+        texts += [f"{a}one {a}two +1 212 555 {k:02d}{j:02d} {a}end" for j in range(n)]
+        texts += [f"{a}one {a}two ident{chr(97 + j)} {a}end" for j in (k - 1, k) if j >= 0]
+    assert _spans(spark, texts)[len(texts) - 1] == ["phone:12:18"]
