@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (byte_bpe, chat_format, line_dedup, near_dedup, packing, pii, quality_rules, topk_search, url_filter,
-               warc_convert)
+from . import (byte_bpe, chat_format, line_dedup, near_dedup, packing, pii, quality_rules, spelling_variants, topk_search,
+               url_filter, warc_convert)
 from .common import materialize, read_table, scratch_folder
 
 
@@ -69,6 +69,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deletions(read_table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, form and root."""
+    return spelling_variants.variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_bootstrap": op1_pii_bootstrap,
     "op2_arc_to_warc": op2_arc_to_warc,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_layouts": op9_chat_layouts,
     "op10_line_dedup": op10_line_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 # Base32 by hand: the digest's 160 bits in groups of five.
@@ -192,10 +198,53 @@ SELECT doc_id, n_lines, CAST(n_removed AS BIGINT) AS n_removed, runs, length(lef
 FROM left_over
 """
 
+# The checksum by its bits; near words meet by what is left after one letter is cut.
+OP13_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce(list_prepend(i, range(0, 8)), lambda c, k:
+           CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                             'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(named) * 2, 2),
+           lambda p: CAST('0x' || substr(hex(encode(named)), p, 2) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) AS h
+  FROM (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS named FROM runs), crc_table
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+    FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (
+    SELECT word, n, unnest(range(0, length(word))) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT DISTINCT w.word, c.word, c.n FROM words w JOIN cut c ON w.word = c.rest
+  UNION ALL SELECT DISTINCT c.word, w.word, w.n FROM words w JOIN cut c ON w.word = c.rest
+), near AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS best_n FROM pairs GROUP BY word
+), best AS (
+  SELECT word, n_near, best_n, min(other) AS best FROM near JOIN pairs USING (word) WHERE other_n = best_n GROUP BY ALL
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN best END AS form,
+         CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS root, 0 AS steps FROM forms
+  UNION ALL SELECT c.word, f.form, steps + 1 FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+)
+SELECT word, form, arg_max(root, steps) AS root, n, n_near, form_n FROM forms JOIN chain USING (word) GROUP BY ALL
+"""
+
 ORACLE: dict[str, str] = {
     "op2_arc_to_warc": OP2_SQL,
     "op5_block_topk": OP5_SQL,
     "op6_url_bloom": OP6_SQL,
     "op9_chat_layouts": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op13_spelling_variants": OP13_SQL,
 }
