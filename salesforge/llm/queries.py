@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (byte_bpe, chat_format, line_dedup, near_dedup, packing, pii, quality_rules, spelling_variants, topk_search,
-               url_filter, warc_convert)
+from . import (byte_bpe, chat_format, collocations, line_dedup, near_dedup, packing, pii, quality_rules, spelling_variants,
+               topk_search, url_filter, warc_convert)
 from .common import materialize, read_table, scratch_folder
 
 
@@ -69,6 +69,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deletions(read_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language over all documents."""
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their near words, form and root."""
     return spelling_variants.variants(read_table(spark, sf_dir, "documents"))
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_layouts": op9_chat_layouts,
     "op10_line_dedup": op10_line_dedup,
+    "op11_collocations": op11_collocations,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -198,6 +204,43 @@ SELECT doc_id, n_lines, CAST(n_removed AS BIGINT) AS n_removed, runs, length(lef
 FROM left_over
 """
 
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece
+    FROM documents)
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM pieces GROUP BY lang
+), grams AS (
+  SELECT lang, k, list_slice(w, i, i + k - 1) AS words, CAST(count(*) AS HUGEINT) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) t(k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT g.lang, g.k, g.words, g.f AS a, c AS cut, x.f AS l, y.f AS r, n, (1000 * g.f * n) // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM grams WHERE k > 1) g JOIN totals USING (lang)
+  JOIN grams x ON x.lang = g.lang AND x.words = list_slice(g.words, 1, c)
+  JOIN grams y ON y.lang = g.lang AND y.words = list_slice(g.words, c + 1, g.k)
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) = 1
+), inside AS (
+  SELECT DISTINCT s.lang, s.words FROM lowest s
+  JOIN (SELECT lang, a, k, unnest(list_transform(range(1, k), lambda i: list_slice(words, i, i + 1))) AS part FROM lowest
+        WHERE k > 2
+        UNION ALL SELECT lang, a, k, unnest(list_transform(range(1, k - 1), lambda i: list_slice(words, i, i + 2)))
+        FROM lowest WHERE k > 3
+        UNION ALL SELECT lang, a, k, unnest(list_transform(range(1, k - 2), lambda i: list_slice(words, i, i + 3)))
+        FROM lowest WHERE k > 4) t ON t.lang = s.lang AND t.part = s.words AND 100 * t.a >= 100 * s.a
+), ranks AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(words, ' '))) AS rank
+  FROM lowest ANTI JOIN inside USING (lang, words)
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranks WHERE rank <= 2000
+"""
+
 # The checksum by its bits; near words meet by what is left after one letter is cut.
 OP13_SQL = r"""
 WITH RECURSIVE crc_table AS (
@@ -246,5 +289,6 @@ ORACLE: dict[str, str] = {
     "op6_url_bloom": OP6_SQL,
     "op9_chat_layouts": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op11_collocations": OP11_SQL,
     "op13_spelling_variants": OP13_SQL,
 }
