@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (byte_bpe, chat_format, collocations, line_dedup, near_dedup, packing, pii, quality_rules, spelling_variants,
-               topk_search, url_filter, warc_convert)
+from . import (byte_bpe, chat_format, collocations, line_dedup, near_dedup, packing, pii, quality_rules, secret_links,
+               spelling_variants, topk_search, url_filter, warc_convert)
 from .common import materialize, read_table, scratch_folder
 
 
@@ -74,6 +74,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read_table(spark, sf_dir, "documents"))
 
 
+def op12_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base secrets and linked parts of credentials of every document."""
+    return secret_links.digests(secret_links.secrets(read_table(spark, sf_dir, "documents")))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their near words, form and root."""
     return spelling_variants.variants(read_table(spark, sf_dir, "documents"))
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_layouts": op9_chat_layouts,
     "op10_line_dedup": op10_line_dedup,
     "op11_collocations": op11_collocations,
+    "op12_secret_links": op12_secret_links,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
