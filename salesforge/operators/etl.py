@@ -68,9 +68,18 @@ def category_median_price(df: DataFrame, group: str = "category",
     holds a whole group.  Even counts average the two middle values (a + b) / 2.
     NaN counts as a missing price.
     """
-    valid = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()
-                     & ~invalid_price(value))
-    pos = cumulative_counts(value_histogram(valid, value, [group]), value, [group])
+    return median_of_histogram(price_histogram(df, group, value), group, value)
+
+
+def price_histogram(df: DataFrame, group: str = "category", value: str = "unit_price") -> DataFrame:
+    """(group, value) -> ``_cnt`` of the valid prices.  Histograms of parts add up to that of the whole."""
+    valid = df.where(F.col(group).isNotNull() & F.col(value).isNotNull() & ~invalid_price(value))
+    return value_histogram(valid, value, [group])
+
+
+def median_of_histogram(hist: DataFrame, group: str = "category", value: str = "unit_price") -> DataFrame:
+    """(group, median_price) from a (group, value) -> ``_cnt`` histogram."""
+    pos = cumulative_counts(hist, value, [group])
     lo = F.floor((F.col("_n") - 1) / 2)
     hi = F.floor(F.col("_n") / 2)
 
@@ -83,7 +92,7 @@ def category_median_price(df: DataFrame, group: str = "category",
                .select(group, ((F.col("_lo") + F.col("_hi")) / 2).alias("median_price")))
 
 
-def impute_price_median(df: DataFrame) -> DataFrame:
+def impute_price_median(df: DataFrame, medians: DataFrame | None = None) -> DataFrame:
     """Invalid prices take their category's median of valid prices.
 
     The median table has one row per category; how to join it is left to the
@@ -91,9 +100,10 @@ def impute_price_median(df: DataFrame) -> DataFrame:
     valid price, or a null category, yields a null price.
 
     The medians need only the line key, category and price of the input, so
-    their pass is pruned to those columns; nothing is cached.
+    their pass is pruned to those columns; nothing is cached.  ``medians``
+    (category, median_price) replaces that pass where they are known already.
     """
-    joined = df.join(category_median_price(df), on="category", how="left")
+    joined = df.join(category_median_price(df) if medians is None else medians, on="category", how="left")
     return (joined.withColumn("unit_price",
                               F.when(invalid_price(), F.col("median_price"))
                                .otherwise(F.col("unit_price")))

@@ -766,3 +766,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["QUERIES", "ORACLE", "flagship"]
+
+from . import catalog_storage  # noqa: E402, F401  (registers further queries)
