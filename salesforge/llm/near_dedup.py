@@ -15,8 +15,7 @@ Defined results
 * null or empty text, text without words: empty set, linked with nothing, its own component, kept.
 * fewer words than a shingle: the whole sequence is the one shingle.
 * null id: counted, linked with nothing, component null, kept.
-* repeated rows: each gets the same result.  Rows that share an id but not the text count as one document in the
-  graph.
+* repeated rows: each gets the same result.  Rows that share an id but not the text are documents of their own.
 * ties: the smallest id represents a component.  Extra columns are not read.  Empty tables give empty results.
 """
 
@@ -27,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,23 +41,16 @@ WORDS = 5
 PERCENT = 75
 K = 192
 MISS = 1e-12
-CACHED_WORDS = 500_000
 HEAD = 48  # earlier values of a node that are looked at to emit a pair once
+BLOCK = 1 << 18  # bytes of text that are hashed at once; longer words are hashed by themselves
+ROWS, VALUES = 500, 1 << 20  # of a batch that leaves a task
 
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _FACTORS = [np.uint64(x) for x in (  # odd numbers, one for each place of a word in a shingle
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_words = _WordHashes()
+_ROLL = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2^64
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -69,40 +62,104 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def shingle_set(text: str, size: int = WORDS) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of the text's shingles of ``size`` words, A-Z lower-cased."""
-    words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+def _byte_values() -> np.ndarray:
+    """A well mixed number for each byte: A-Z as a-z, nothing for white space."""
+    values = _mix(np.frombuffer(_LOWER, np.uint8).astype(np.uint64) + np.uint64(1))
+    values[_WHITE] = 0
+    return values
+
+
+_VALUES = _byte_values()
+_POWERS: list[np.ndarray] = []
+
+
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """The powers of ``_ROLL`` and of its inverse, modulo 2^64."""
+    if not _POWERS:
+        for base in (_ROLL, pow(_ROLL, -1, 1 << 64)):
+            steps = np.full(BLOCK, np.uint64(base))
+            steps[0] = 1
+            _POWERS.append(np.multiply.accumulate(steps))
+    return _POWERS[0], _POWERS[1]
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of each word, A-Z lower-cased: a rolling hash over the bytes, cut at white space.
+
+    Nothing is kept between texts.  A word of ``BLOCK`` bytes or more is hashed as a whole.
+    """
+    powers, inverse = _powers()
+    text, out, at = np.frombuffer(data, np.uint8), [], 0
+    while at < len(text):
+        part = text[at: at + BLOCK]
+        white = _WHITE[part]
+        if len(part) == BLOCK:
+            gaps = np.flatnonzero(white)
+            if not len(gaps):
+                end = at + BLOCK
+                while end < len(text) and not (stop := np.flatnonzero(_WHITE[text[end: end + BLOCK]])).size:
+                    end = min(end + BLOCK, len(text))
+                else:
+                    end += int(stop[0]) if end < len(text) else 0
+                word = data[at:end].translate(_LOWER)
+                out.append(np.array([xxhash.xxh3_64_intdigest(word)], np.uint64))
+                at = end
+                continue
+            part, white = part[: gaps[-1] + 1], white[: gaps[-1] + 1]
+        starts = np.flatnonzero(~white & np.concatenate([[True], white[:-1]]))
+        if len(starts):
+            sums = np.add.reduceat(_VALUES[part] * powers[: len(part)], starts)
+            out.append(_mix(sums * inverse[starts]))
+        at += len(part)
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def shingle_set(text: str | bytes, size: int = WORDS) -> np.ndarray:
+    """The sorted distinct 63-bit hashes of the text's shingles of ``size`` words, A-Z lower-cased."""
+    h = word_hashes(text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text)
+    if not len(h):
+        return np.empty(0, np.int64)
     n = max(1, len(h) - size + 1)
     out = np.full(n, min(len(h), size), np.uint64)  # shorter sequences differ by their length
     for i in range(min(size, len(h))):
         out += h[i: i + n] * _FACTORS[i % len(_FACTORS)] * np.uint64(2 * (i // len(_FACTORS)) + 1)
-    return np.unique(_mix(out))
+    return np.unique((_mix(out) >> np.uint64(1)).view(np.int64))  # as signed numbers they keep their order
 
 
-@pandas_udf(T.StructType([T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()),
-                          T.StructField("sketch", T.ArrayType(T.LongType()))]))
-def sketch_udf(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for part in texts:
-        sets = [shingle_set(t) for t in part]
-        yield pd.DataFrame({
-            "n": [len(s) for s in sets],
-            "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-            "sketch": [s[:K].view(np.int64) for s in sets]})
+def _digest(values: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(values.tobytes())
 
 
-sketch_udf = sketch_udf.asNondeterministic()
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(arrays), pa.int64()))
 
 
-@pandas_udf(T.BinaryType())
-def set_udf(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for part in texts:
-        yield pd.Series([shingle_set(t).tobytes() for t in part])
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Slices of the batches (id, text as bytes) with their shingle sets, bounded by rows and values."""
+    for batch in batches:
+        sets, first, values = [], 0, 0
+        for i, text in enumerate(batch.column("text")):
+            sets.append(shingle_set(text.as_py()))
+            values += len(sets[-1])
+            if len(sets) == ROWS or values >= VALUES:
+                yield batch.slice(first, len(sets)), sets
+                sets, first, values = [], i + 1, 0
+        if sets:
+            yield batch.slice(first, len(sets)), sets
 
 
-set_udf = set_udf.asNondeterministic()
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, sets in _sets(batches):
+        yield pa.RecordBatch.from_arrays(
+            [part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(_digest, sets), pa.binary()),
+             _lists([s[:K] for s in sets])], ["id", "n", "digest", "sketch"])
+
+
+def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, sets in _sets(batches):
+        yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(map(_digest, sets), pa.binary()), _lists(sets)],
+                                         ["id", "digest", "set"])
 
 
 def shared_at_least(k: int, percent: int = PERCENT, miss: float = MISS) -> int:
@@ -115,36 +172,20 @@ def shared_at_least(k: int, percent: int = PERCENT, miss: float = MISS) -> int:
     return k
 
 
-def _both_maybe(part: pd.DataFrame) -> np.ndarray:
+def _maybe(sa: Column, sb: Column, na: Column, nb: Column) -> Column:
     """Union-sketch test of a pair: too few of the union's smallest values in both sketches rules it out."""
-    least = shared_at_least(K)
-    out = np.empty(len(part), bool)
-    for i, (a, b, na, nb) in enumerate(zip(part["sa"], part["sb"], part["na"], part["nb"], strict=True)):
-        a, b = np.asarray(a, np.int64).view(np.uint64), np.asarray(b, np.int64).view(np.uint64)
-        if na <= K and nb <= K:  # whole sets
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            out[i] = 100 * both >= PERCENT * (len(a) + len(b) - both)
-        else:
-            union = np.union1d(a, b)[:K]
-            both = np.intersect1d(np.intersect1d(a, b, assume_unique=True), union, assume_unique=True)
-            out[i] = len(both) >= min(least, math.ceil(PERCENT / 100 * len(union)))
-    return out
-
-
-@pandas_udf(T.BooleanType())
-def maybe_udf(sa: pd.Series, sb: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
-    return pd.Series(_both_maybe(pd.DataFrame({"sa": sa, "sb": sb, "na": na, "nb": nb})))
-
-
-@pandas_udf(T.BooleanType())
-def similar_udf(xs: pd.Series, ys: pd.Series) -> pd.Series:
+    both = F.array_intersect(sa, sb)
+    union = F.slice(F.array_sort(F.array_union(sa, sb)), 1, K)
+    shared = F.size(F.filter(both, lambda x: x <= F.element_at(union, -1)))
+    estimate = shared >= F.least(F.lit(shared_at_least(K)), F.ceil(F.size(union) * PERCENT / 100))
+    whole = 100 * F.size(both) >= PERCENT * (F.size(sa) + F.size(sb) - F.size(both))
+    return F.when((na <= K) & (nb <= K), whole).otherwise(estimate)
+
+
+def _similar(x: Column, y: Column) -> Column:
     """The exact test on full sets."""
-    out = np.empty(len(xs), bool)
-    for i, (x, y) in enumerate(zip(xs, ys, strict=True)):
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        out[i] = 100 * both >= PERCENT * (len(x) + len(y) - both)
-    return pd.Series(out)
+    both = F.size(F.array_intersect(x, y)).cast("long")
+    return 100 * both >= PERCENT * (F.size(x) + F.size(y) - both)
 
 
 def _can_link(n_a: Column, n_b: Column, after_a: Column, after_b: Column) -> Column:
@@ -205,39 +246,42 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     sk = nodes.select("node", "sketch", "n")
     near = (pairs.join(sk.select(F.col("node").alias("v"), F.col("sketch").alias("sb"), F.col("n").alias("nb")), "v")
             .join(sk.select(F.col("node").alias("u"), F.col("sketch").alias("sa"), F.col("n").alias("na")), "u")
-            .where(maybe_udf("sa", "sb", "na", "nb")).select("u", "v", "na", "nb"))
+            .where(_maybe(*map(F.col, ("sa", "sb", "na", "nb")))).select("u", "v", "na", "nb"))
     near = materialize(near)
     # sets that are their own sketch are verified already
     small = near.where((F.col("na") <= K) & (F.col("nb") <= K)).select("u", "v")
     large = near.where((F.col("na") > K) | (F.col("nb") > K)).select("u", "v")
-    wanted = materialize(large.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    wanted = materialize(large.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+                         .join(nodes.select("node", "id", "digest"), "node"))
     n_wanted = wanted.count()
     if not n_wanted:
         return small
     bits = nodes.sparkSession.sparkContext.broadcast(
-        bloom.build(wanted.select(F.xxhash64("node").alias("h")), "h", n_wanted))
+        bloom.build(wanted.select(F.xxhash64("id").alias("h")), "h", n_wanted))
 
     @pandas_udf(T.BooleanType())
     def maybe_wanted(hashes: pd.Series) -> pd.Series:
         return pd.Series(bloom.might_contain(bits.value, hashes.to_numpy(np.int64)))
 
     sets = (docs.where(F.col("id").isNotNull()).where(maybe_wanted(F.xxhash64("id")))
-            .join(wanted.withColumnRenamed("node", "id"), "id")
-            .select("id", set_udf("text").alias("set")))
+            .mapInArrow(_whole_sets, "id long, digest binary, set array<long>")
+            .join(wanted, ["id", "digest"]).dropDuplicates(["node"]).select("node", "set"))
     sets = materialize(sets)
     return small.union(
-        large.join(sets.select(F.col("id").alias("v"), F.col("set").alias("y")), "v")
-        .join(sets.select(F.col("id").alias("u"), F.col("set").alias("x")), "u")
-        .where(similar_udf("x", "y")).select("u", "v"))
+        large.join(sets.select(F.col("node").alias("v"), F.col("set").alias("y")), "v")
+        .join(sets.select(F.col("node").alias("u"), F.col("set").alias("x")), "u")
+        .where(_similar(F.col("x"), F.col("y"))).select("u", "v"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
-                       text_or_empty(F.col(f"`{text_col}`")).alias("text"))
-    base = materialize(docs.select("id", sketch_udf("text").alias("s")).select("id", "s.n", "s.digest", "s.sketch"))
+                       text_or_empty(F.col(f"`{text_col}`")).cast("binary").alias("text"))
+    base = materialize(docs.mapInArrow(_sketched, "id long, n long, digest binary, sketch array<long>"))
+    # a node is a distinct set; its number is that of its stored row
     nodes = materialize(base.where("n > 0 and id is not null").groupBy("digest").agg(
-        F.min("id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        .withColumn("node", F.monotonically_increasing_id()))
     prefixes = _prefixes(nodes)
     postings = _postings(prefixes)
 
@@ -266,8 +310,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         roots = connected_components(links.union(more))
 
-    groups = (nodes.select("digest", "node").join(roots, "node", "left")
-              .select("digest", F.coalesce("root", "node").alias("component_id")))
+    rooted = nodes.select("digest", "id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
+    groups = rooted.select("digest", "root").join(least, "root").select("digest", "component_id")
     return base.join(groups, "digest", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNull() | (F.col("n") == 0), F.col("id")).otherwise(F.col("component_id"))

@@ -56,6 +56,29 @@ def test_repeated_rows_null_ids_and_kept_columns(spark):
     assert kept.columns == df.columns and sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 1, None]
 
 
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    rng = random.Random(3)
+    long, short = ([f"w{rng.randrange(10**6)}" for _ in range(n)] for n in (500, 14))
+    near = [*short[:13], "other"]
+    rows = [(5, " ".join(long), "x", 1, 1, 1), (5, " ".join(short), "x", 1, 1, 1), (9, " ".join(near), "x", 1, 1, 1),
+            (3, " ".join(long[:-1]), "x", 1, 1, 1)]
+    for order in (rows, rows[::-1]):
+        got = N.near_duplicates(spark.createDataFrame(order, SCHEMA).coalesce(1))
+        assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect())) == [
+            (3, 495, 3), (5, 10, 5), (5, 496, 3), (9, 10, 5)]
+
+
+def test_words_are_hashed_alike_wherever_they_stand():
+    words = ["a", "b", "Ab", "aB", "é", "x" * 50, "y" * (N.BLOCK - 1), "z" * N.BLOCK, "z" * (N.BLOCK + 7), "\x00", "\x00\x00"]
+    alone = [N.word_hashes(w.encode()).tolist() for w in words]
+    assert all(len(h) == 1 for h in alone) and alone[2] == alone[3] and len({h[0] for h in alone}) == len(words) - 1
+    rng = random.Random(6)
+    for _ in range(20):
+        picked = [rng.randrange(len(words)) for _ in range(rng.randint(0, 12))]
+        text = "".join(rng.choice([" ", "\n", "\t \r", "\x0b\x0c"]) + words[k] for k in picked) + rng.choice(["", "  "])
+        assert N.word_hashes(text.encode()).tolist() == [alone[k][0] for k in picked]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert N.near_duplicates(df).count() == 0 and N.keep_one(df).count() == 0
