@@ -102,3 +102,22 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of this library's own scratch space, through the file system of its path."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def replace_path(spark: SparkSession, aside: str, path: str) -> None:
+    """Put the folder written at ``aside`` in the place of ``path``; what was there goes only afterwards.
+
+    The old folder is renamed away and back again if the new one cannot take its place.
+    """
+    jvm = spark._jvm
+    new, place, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (aside, path, f"{aside}-old"))
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(place)
+    if had and not fs.rename(place, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, place):
+        if had:
+            fs.rename(old, place)
+        raise OSError(f"cannot put {aside} in the place of {path}")
+    if had:
+        fs.delete(old, True)

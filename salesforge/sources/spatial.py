@@ -57,7 +57,9 @@ def write_spatial(fact: DataFrame, path: str, files: int | None = None, rows_per
     ranged = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
     writer = ranged.sortWithinPartitions(*order).drop("_curve").write.mode("overwrite")
     for c in BLOOM_COLUMNS:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        # a column chunk that is dictionary-encoded throughout gets no filter
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+                  .option(f"parquet.enable.dictionary#{c}", "false"))
         if expected_ids:
             writer = writer.option(f"parquet.bloom.filter.expected.ndv#{c}", str(expected_ids))
     if not expected_ids:

@@ -11,19 +11,21 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.etl import clean_fact
 from ..schema import FACT_COLUMNS, FACT_SCHEMA
-from ..session import delete_path, scratch_dir
+from ..session import delete_path, replace_path, scratch_dir
 from .tables import raw_lines
 
 STAR_TABLES = ["lineitem", "orders", "customer", "nation", "region", "part"]
 
-# path of the tables -> (state of their files, written fact, its folder); the lock makes builders wait for each other
-_WRITTEN: dict[tuple[str, str], tuple[str, DataFrame, str]] = {}
+# path of the tables -> (state of their files, written fact, its folder, the folder before); the lock makes builders wait
+# for each other
+_WRITTEN: dict[tuple[str, str], tuple[str, DataFrame, str, str | None]] = {}
 _LOCK = threading.Lock()
 
 
@@ -39,13 +41,23 @@ def write_by_month(df: DataFrame, path: str, mode: str = "overwrite",
 
     ``replace``: an overwrite replaces the whole table (``static``, also months
     that the new rows lack) or only the months it has rows for (``dynamic``).
+    The whole table is written beside the old one and then takes its place, so
+    a failed job leaves the old table as it was.
     """
-    (df.repartitionByRange("order_month", *cluster, "order_id")
-       .sortWithinPartitions("order_month", *cluster)
-       .write.mode(mode)
-       .option("partitionOverwriteMode", replace)
-       .partitionBy("order_month")
-       .parquet(path))
+    whole = mode == "overwrite" and replace == "static"
+    target = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}" if whole else path
+    try:
+        (df.repartitionByRange("order_month", *cluster, "order_id")
+           .sortWithinPartitions("order_month", *cluster)
+           .write.mode(mode)
+           .option("partitionOverwriteMode", replace)
+           .partitionBy("order_month")
+           .parquet(target))
+        if whole:
+            replace_path(df.sparkSession, target, path)
+    finally:
+        if whole:
+            delete_path(df.sparkSession, target)
     return path
 
 
@@ -75,11 +87,11 @@ def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         known = _WRITTEN.get(key)
         if known and known[0] == state:
             return known[1]
-        if known:
-            delete_path(spark, known[2])
+        if known and known[3]:
+            delete_path(spark, known[3])  # frames of the last state may still be read
         name = hashlib.sha256(f"{sf_dir} {state}".encode()).hexdigest()[:16]
         path = write_fact(clean_fact(raw_lines(spark, sf_dir)), scratch_dir(spark, f"fact_transactions-{name}"))
         # keep the DataFrame: its file index (80 month folders) is listed once
         df = read_fact(spark, path)
-        _WRITTEN[key] = (state, df, path)
+        _WRITTEN[key] = (state, df, path, known[2] if known and known[2] != path else None)
         return df
