@@ -15,6 +15,7 @@ Defined results
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -68,9 +69,10 @@ def byte_characters() -> dict[int, str]:
 def token_ids(path: str) -> Callable[[str], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit integers.
 
-    The tokenizer works on each word of its own pattern separately, so its ids of a word are cached.  Strings of special
-    tokens in a text are ordinary text.
+    The tokenizer works on each word of its own pattern separately, so its ids of a word are cached.  Added tokens of the
+    vocabulary that stand in a text are cut out first, the longest where several begin, as the tokenizer does.
     """
+    import json
     import os
 
     import regex
@@ -87,10 +89,24 @@ def token_ids(path: str) -> Callable[[str], bytes]:
     latin, beyond = word_pattern(public_tokenizers.PATTERN)
     full = regex.compile(public_tokenizers.PATTERN)
 
-    def encode(text: str) -> bytes:
+    def encode_plain(text: str) -> bytes:
         pattern = full if beyond.search(text) else latin
         return b"".join(map(words.__getitem__, pattern.findall(text)))
 
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f).get("added_tokens") or []
+    if any(t.get(flag) for t in tokens for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that depend on their surroundings are not supported")
+    added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in tokens if t["content"]}
+    if not added:
+        return encode_plain
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def encode(text: str) -> bytes:
+        if not any(t in text for t in added):
+            return encode_plain(text)
+        return b"".join(added[part] if part in added else encode_plain(part) for part in cut.split(text))
+
     return encode
 
 

@@ -18,6 +18,10 @@ the places of new fillers of confident ones.  Only slots that pass a Bloom filte
 task, and are joined exactly afterwards; where no pattern has the support, no round runs.  Aggregates are combined before
 the shuffle and no pairs are made, so a very common context is one row a score.
 
+A pattern that s values support cannot be confident with more than s / ``CONFIDENT`` distinct fillers, since no weight is
+above 1.  So a task that has seen more of them reports the pattern as common and emits no further filler of it; a common
+pattern is not confident, and is looked at again when its support has grown.  The result is that of all fillers.
+
 Defined results
 * null text: as the empty text, no spans.  Offsets are code points, ends exclusive.
 * spans of one kind never overlap; a discovered span overlaps no base span and has the kind of its patterns.  Of two
@@ -32,6 +36,7 @@ import hashlib
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -305,8 +310,8 @@ def value_key(values: pd.Series) -> pd.Series:
     return pd.Series(value_keys(list(values)), dtype="int64")
 
 
-def slots_at(texts: list[str], patterns: np.ndarray | None, values: np.ndarray | None) -> list[list[dict]]:
-    """The slots of each text that may have one of the patterns or values, given as Bloom filters."""
+def slots_at(texts: list[str], patterns: Callable | None, values: np.ndarray | None) -> list[list[dict]]:
+    """The slots of each text that may have one of the patterns (a test of their keys) or values (a Bloom filter)."""
     lower = [t.lower() for t in texts]
     words = [t.split() for t in lower]
     v = _hashes(_value, [w for ws in words for w in ws])
@@ -318,8 +323,8 @@ def slots_at(texts: list[str], patterns: np.ndarray | None, values: np.ndarray |
     if patterns is not None:
         normal = [w for t in lower for w in _DIGIT.sub("0", t).split()]
         b, a = _hashes(_before, normal), _hashes(_after, normal)
-        hit[2:] |= bloom.might_contain(patterns, _key(b[:-2], b[1:-1], False))
-        hit[1:-1] |= bloom.might_contain(patterns, _key(b[:-2], a[2:], True))
+        hit[2:] |= patterns(_key(b[:-2], b[1:-1], False))
+        hit[1:-1] |= patterns(_key(b[:-2], a[2:], True))
     out, at = [], 0
     for text, ws in zip(texts, words, strict=True):
         k = np.flatnonzero(hit[at: at + len(ws)])
@@ -333,7 +338,7 @@ def slots_at(texts: list[str], patterns: np.ndarray | None, values: np.ndarray |
         keep |= bloom.might_contain(values, value_keys([s["value"] for s in found]))
     if patterns is not None:
         of = np.repeat(np.arange(len(found)), [len(s["patterns"]) for s in found])
-        np.logical_or.at(keep, of, bloom.might_contain(patterns, pattern_keys([p for s in found for p in s["patterns"]])))
+        np.logical_or.at(keep, of, patterns(pattern_keys([p for s in found for p in s["patterns"]])))
     kept = iter(keep.tolist())
     return [[s for s in own if next(kept)] for own in out]
 
@@ -385,6 +390,101 @@ def _filter_of(keys: DataFrame | None, column: str, key: Callable) -> np.ndarray
     return bloom.build(hashed, "h", hashed.count())
 
 
+_COMMON_STATE = 2_000_000  # fillers that a task remembers
+
+
+class _Fillers:
+    """What a task has emitted: each filler of a pattern once, and none any more of patterns that are common.
+
+    ``limits`` has a Bloom filter for each power of two: patterns whose limit is below it.  A pattern that passes by
+    mistake has a higher limit than its own, which costs rows and no result.
+    """
+
+    def __init__(self, limits: list[tuple[int, np.ndarray]]):
+        self.limits = limits
+        self.seen: dict[int, tuple[set[int], set[int]]] = {}
+        self.size = 0
+        self.common: set[int] = set()
+        self.sorted = np.empty(0, np.int64)
+
+    def limit_of(self, keys: np.ndarray) -> np.ndarray:
+        """The limit of each pattern key, 0 for patterns that are not asked for."""
+        out = np.zeros(len(keys), np.int64)
+        for limit, bits in self.limits:  # ascending
+            out[bloom.might_contain(bits, keys)] = limit
+        return out
+
+    def open(self, keys: np.ndarray) -> np.ndarray:
+        """Whether fillers of these patterns are still asked for."""
+        wanted = self.limit_of(keys) > 0
+        if len(self.common) != len(self.sorted):
+            self.sorted = np.sort(np.fromiter(self.common, np.int64, len(self.common)))
+        if len(self.sorted):
+            at = np.searchsorted(self.sorted, keys)
+            wanted &= self.sorted.take(at, mode="clip") != keys
+        return wanted
+
+    def add(self, slots: list[dict]) -> Iterator[tuple]:
+        """(pattern, value, wide, narrow) of fillers that are new here; a pattern that becomes common has no value."""
+        patterns = [p for s in slots for p in s["patterns"]]
+        if not patterns:
+            return
+        keys = pattern_keys(patterns)
+        limits = iter(zip(keys.tolist(), self.limit_of(keys).tolist(), strict=True))
+        for s in slots:
+            h = hash(s["value"])
+            for pattern in s["patterns"]:
+                key, limit = next(limits)
+                if not limit or key in self.common:
+                    continue
+                wide, narrow = self.seen.setdefault(key, (set(), set()))
+                new = (s["wide"] and h not in wide) or (s["narrow"] and h not in narrow)
+                if not new:
+                    continue
+                wide |= {h} if s["wide"] else set()
+                narrow |= {h} if s["narrow"] else set()
+                self.size += 1
+                if min(len(wide), len(narrow)) > limit:
+                    self.common.add(key)
+                    del self.seen[key]
+                    yield pattern, None, True, True
+                else:
+                    yield pattern, s["value"], s["wide"], s["narrow"]
+        if self.size > _COMMON_STATE:  # forgetting only makes a task emit a filler again
+            self.seen, self.size = {}, 0
+
+
+def _pattern_limits(patterns: DataFrame) -> list[tuple[int, np.ndarray]]:
+    """(upper bound, Bloom filter) of the patterns (pattern, limit) for each power of two of their limits."""
+    keyed = materialize(patterns.select(pattern_key("pattern").alias("h"),
+                                        F.ceil(F.log2(F.col("limit") + 1)).cast("int").alias("power")))
+    sizes = {r["power"]: r["count"] for r in keyed.groupBy("power").count().collect()}  # at most 64 rows
+    return [(1 << p, bloom.build(keyed.where(F.col("power") == p), "h", n, bloom.MAX_BYTES // len(sizes)))
+            for p, n in sorted(sizes.items())]
+
+
+def _pattern_fillers(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, value, wide, narrow, limit): the fillers of ``patterns`` (pattern, limit); of a common one a null value."""
+    limits = docs.sparkSession.sparkContext.broadcast(_pattern_limits(patterns))
+
+    def collect(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = _Fillers(limits.value)
+        for part in parts:
+            held, size, rows = [], 0, []
+            for text in [*part["text"], None]:
+                if text is not None:
+                    held.append(text)
+                    size += len(text)
+                if held and (text is None or size >= CHUNK):
+                    for slots in slots_at(held, found.open, None):
+                        rows += found.add(slots)
+                    held, size = [], 0
+            yield pd.DataFrame(rows, columns=["pattern", "value", "wide", "narrow"])
+
+    return docs.select("text").mapInPandas(
+        collect, "pattern string, value string, wide boolean, narrow boolean").join(patterns, "pattern")
+
+
 def _slots(docs: DataFrame, patterns: DataFrame | None, values: DataFrame | None) -> DataFrame:
     """(id, text_hash, slot columns) of the slots that may have one of the patterns or of the values."""
     bits = docs.sparkSession.sparkContext.broadcast(
@@ -392,15 +492,17 @@ def _slots(docs: DataFrame, patterns: DataFrame | None, values: DataFrame | None
 
     @pandas_udf(_SLOTS)
     def look(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        patterns, values = bits.value
+        tests = (None if patterns is None else partial(bloom.might_contain, patterns)), values
         for part in parts:
             texts, out, held, size = list(part), [], [], 0
             for text in texts:
                 held.append(text)
                 size += len(text)
                 if size >= CHUNK:
-                    out += slots_at(held, *bits.value)
+                    out += slots_at(held, *tests)
                     held, size = [], 0
-            yield pd.Series(out + slots_at(held, *bits.value), dtype=object)
+            yield pd.Series(out + slots_at(held, *tests), dtype=object)
 
     return docs.select("id", "text_hash", F.explode(look.asNondeterministic()("text")).alias("s")).select(
         "id", "text_hash", "s.*")
@@ -410,9 +512,15 @@ def _slots(docs: DataFrame, patterns: DataFrame | None, values: DataFrame | None
 _FITS = "(wide and kind in ('phone', 'card')) or (narrow and kind in ('email', 'ip'))"
 
 
-def _supported(edges: DataFrame) -> DataFrame:
-    """The patterns that enough distinct values of a kind support; edges: (pattern, kind, value), distinct."""
-    return edges.groupBy("pattern", "kind").count().where(F.col("count") >= MIN_SUPPORT).select("pattern").distinct()
+def _supported(edges: DataFrame, limited: bool = True) -> DataFrame:
+    """(pattern, limit): patterns that enough distinct values of a kind support; edges: (pattern, kind, value), distinct.
+
+    ``limit``: how many distinct fillers a confident one can have at most.
+    """
+    most = edges.groupBy("pattern", "kind").count().where(F.col("count") >= MIN_SUPPORT).groupBy("pattern").agg(
+        F.max("count").alias("n"))
+    limit = F.floor(F.col("n") / CONFIDENT) if limited else F.lit(1 << 40)
+    return most.select("pattern", limit.cast("long").alias("limit"))
 
 
 def _confident(edges: DataFrame, weights: DataFrame) -> DataFrame:
@@ -446,10 +554,11 @@ def _weigh(places: DataFrame, conf: DataFrame) -> tuple[DataFrame, DataFrame]:
     return materialize(accepted), materialize(weights)
 
 
-def _scores(docs: DataFrame, seed_edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _scores(docs: DataFrame, seed_edges: DataFrame, limited: bool = True) -> tuple[DataFrame, DataFrame]:
     """What all rounds find: (pattern, kind, score) confident and (value, kind, score) accepted.
 
     seed_edges: (pattern, kind, value), distinct.  Weights and confidences never fall, so these sets only grow.
+    ``limited``: leave the fillers of common patterns out, which changes nothing but the work.
     """
     spark = docs.sparkSession
     sown = seed_edges.withColumn("weight", F.lit(1.0))
@@ -457,19 +566,21 @@ def _scores(docs: DataFrame, seed_edges: DataFrame) -> tuple[DataFrame, DataFram
     accepted = spark.createDataFrame([], "value string, kind string, score double")
     edges = spark.createDataFrame([], "pattern string, value string, wide boolean, narrow boolean")
     places = spark.createDataFrame([], "value string, wide boolean, narrow boolean, patterns array<string>, n long")
-    known = spark.createDataFrame([], "pattern string")
+    known = spark.createDataFrame([], "pattern string, limit long")  # the limit up to which fillers were asked for
     weights, tried = sown, seed_edges.select("value").distinct()
-    new = materialize(_supported(seed_edges))
+    new = materialize(_supported(seed_edges, limited))
     before = now = (0, 0, 0)
     while not new.isEmpty() or before != now:
         if not new.isEmpty():
-            filled = (_slots(docs, new, None).select("value", "wide", "narrow", F.explode("patterns").alias("pattern"))
-                      .join(new, "pattern").select("pattern", "value", "wide", "narrow"))
+            filled = materialize(_pattern_fillers(docs, new))
+            common = filled.where(F.col("value").isNull()).select("pattern", "limit").distinct()
             seeded = seed_edges.join(new, "pattern").select("pattern", "value", F.lit(True).alias("wide"),
                                                             F.lit(True).alias("narrow"))
-            edges = materialize(edges.union(filled.union(seeded).groupBy("pattern", "value").agg(
+            rows = filled.where(F.col("value").isNotNull()).select("pattern", "value", "wide", "narrow").union(seeded)
+            edges = materialize(edges.union(rows.join(common, "pattern", "left_anti").groupBy("pattern", "value").agg(
                 F.max("wide").alias("wide"), F.max("narrow").alias("narrow"))))
-            known = materialize(known.union(new))
+            whole = new.join(common, "pattern", "left_anti").select("pattern", F.lit(1 << 62).alias("limit"))
+            known = materialize(known.join(new, "pattern", "left_anti").union(whole).union(common))
         conf = _confident(edges, weights)
         values = materialize(edges.join(conf, "pattern").where(_FITS).select("value").distinct()
                              .join(tried, "value", "left_anti"))
@@ -479,16 +590,18 @@ def _scores(docs: DataFrame, seed_edges: DataFrame) -> tuple[DataFrame, DataFram
             tried = materialize(tried.union(values))
         accepted, grown = _weigh(places, conf)
         weights = sown.union(grown)
-        new = materialize(_supported(weights).join(known, "pattern", "left_anti"))
+        more = known.select("pattern", F.col("limit").alias("asked"))
+        new = materialize(_supported(weights, limited).join(more, "pattern", "left")
+                          .where(F.col("asked").isNull() | (F.col("asked") < F.col("limit"))).drop("asked"))
         before, now = now, (conf.count(), accepted.count(), grown.count())
     return conf.withColumnRenamed("conf", "score"), accepted
 
 
-def discover(docs: DataFrame, scanned: DataFrame) -> DataFrame:
+def discover(docs: DataFrame, scanned: DataFrame, limited: bool = True) -> DataFrame:
     """(id, text_hash, found): discovered spans of each text that has any; docs: id, text_hash, text; scanned: ``scan``."""
     seed_edges = materialize(scanned.select(F.explode("seeds").alias("s"))
                              .select(F.explode("s.patterns").alias("pattern"), "s.kind", "s.value").distinct())
-    conf, accepted = _scores(docs, seed_edges)
+    conf, accepted = _scores(docs, seed_edges, limited)
     if conf.isEmpty():
         return docs.limit(0).select("id", "text_hash", F.array().cast(_SPANS).alias("found"))
     slots = materialize(_slots(docs, conf.select("pattern").distinct(), accepted.select("value").distinct()))
@@ -525,7 +638,7 @@ def _in_order(spans: Column) -> Column:
 
 
 def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found) for every row."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found, has_pii) for every row."""
     keyed = _keyed(docs, id_col, text_col)
     scanned = scan(keyed)
     found = discover(keyed, scanned)
@@ -539,7 +652,7 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
           .alias(f"n_{k}") for k in KINDS],
         F.sha2(concat_spans(_in_order(F.col("base"))), 256).alias("base_sha256"),
         concat_spans(_in_order(F.concat("base", more))).alias("spans"),
-        F.size(more).cast("long").alias("n_found"))
+        F.size(more).cast("long").alias("n_found"), (F.size("base") + F.size(more) > 0).alias("has_pii"))
 
 
 # A table of discovered spans up to this many rows is broadcast; a larger one is joined by a shuffle.

@@ -147,14 +147,16 @@ FROM marked GROUP BY conv_id
 
 OP5_SQL = """
 WITH v AS (
-  SELECT vec_id AS id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  SELECT row_number() OVER () AS row_id, vec_id AS id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.id AS query_id, c.id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.id % 100 = 0 AND q.id <> c.id
+  SELECT q.row_id AS query_row, q.id AS query_id, c.row_id AS vec_row, c.id AS vec_id,
+         CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.id % 100 = 0 AND q.row_id <> c.row_id
 )
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+  SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id, vec_row) AS place FROM scored)
 WHERE place <= 10
 """
 

@@ -43,15 +43,15 @@ def _docs():
     rng = random.Random(4)
     text = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma é", "\n", "1234"]) for _ in range(n))
     rows = [(k, text(rng.randint(0, 400))) for k in range(40)] + [(100, text(5000)), (101, None), (102, ""), (None, "x"),
-                                                                  (7, "same"), (7, "same"), (103, "<|endoftext|> 日本")]
+                                                                  (7, "same"), (7, "same"), (103, "<|endoftext|> 日本"),
+                                                                  (104, "a<|endoftext|>b<|endoftext|><|endoftext|> c <|endoftext")]
     return [(*r, "x", 1) for r in rows]
 
 
 def test_pieces_hold_each_id_once(spark):
     docs = _docs()
     got = K.pack_documents(spark.createDataFrame(docs, SCHEMA).repartition(3), with_ids=True).toPandas()
-    tokenizer = Tokenizer.from_file(P.path(K.VOCABULARY))
-    tokenizer.encode_special_tokens = True
+    tokenizer = Tokenizer.from_file(P.path(K.VOCABULARY))  # left at its defaults
     want = []
     for doc, text, *_ in docs:
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")

@@ -117,3 +117,43 @@ def test_rounds_go_on_to_the_end_of_a_chain(spark):
         texts += [f"{a}one {a}two +1 212 555 {k:02d}{j:02d} {a}end" for j in range(n)]
         texts += [f"{a}one {a}two ident{chr(97 + j)} {a}end" for j in (k - 1, k) if j >= 0]
     assert _spans(spark, texts)[len(texts) - 1] == ["phone:12:18"]
+
+
+def _random_corpus(seed, n=500):
+    """Seeds in contexts of their own, with a few others that fill them, and in contexts that anything fills."""
+    rng = random.Random(seed)
+    words = ["the", "of", "call", "mail", "to", "at", "2024", "ask", "5550199"]
+    phones = [*(f"+1 212 555 0{k}" for k in range(100, 112)), "555 01 99", "5550000"]
+    emails = [*(f"u{k}@x.org" for k in range(12)), "jane(at)x", "kim(at)x"]
+
+    def text():
+        out = [rng.choice(words) for _ in range(rng.randint(3, 25))]
+        for _ in range(rng.randint(0, 2)):
+            before, values = rng.choice([(["reach", "me"], phones), (["my", "number"], emails), ([rng.choice(words)], phones)])
+            at = rng.randrange(len(out) + 1)
+            out[at:at] = [*before, rng.choice(values), rng.choice(["now", "please", rng.choice(words)])]
+        return " ".join(out)
+
+    return [text() for _ in range(n)]
+
+
+def test_leaving_common_patterns_out_changes_nothing(spark):
+    from pyspark.sql import functions as F
+    common = 0
+    for seed in (1, 2):
+        docs = spark.createDataFrame(list(enumerate(_random_corpus(seed))), "doc_id long, text string").repartition(4)
+        keyed = pii._keyed(docs, "doc_id", "text")
+        scanned = pii.scan(keyed)
+        found = [sorted(map(str, pii.discover(keyed, scanned, limited).collect())) for limited in (True, False)]
+        assert found[0] == found[1] and found[0]
+        edges = scanned.select(F.explode("seeds").alias("s")).select(
+            F.explode("s.patterns").alias("pattern"), "s.kind", "s.value").distinct()
+        fillers = pii._pattern_fillers(keyed, pii._supported(edges))
+        common += fillers.where("value is null").count()
+    assert common
+
+
+def test_verdict_column(spark):
+    df, docs = _rows(spark)
+    got = {r["doc_id"]: r["has_pii"] for r in pii.entities(df).collect()}
+    assert got == {d: bool(brute.base_spans(t)) or d == 10 for d, t, *_ in docs}
