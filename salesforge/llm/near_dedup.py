@@ -172,20 +172,29 @@ def shared_at_least(k: int, percent: int = PERCENT, miss: float = MISS) -> int:
     return k
 
 
-def _maybe(sa: Column, sb: Column, na: Column, nb: Column) -> Column:
-    """Union-sketch test of a pair: too few of the union's smallest values in both sketches rules it out."""
-    both = F.array_intersect(sa, sb)
-    union = F.slice(F.array_sort(F.array_union(sa, sb)), 1, K)
-    shared = F.size(F.filter(both, lambda x: x <= F.element_at(union, -1)))
-    estimate = shared >= F.least(F.lit(shared_at_least(K)), F.ceil(F.size(union) * PERCENT / 100))
-    whole = 100 * F.size(both) >= PERCENT * (F.size(sa) + F.size(sb) - F.size(both))
-    return F.when((na <= K) & (nb <= K), whole).otherwise(estimate)
+@pandas_udf(T.BooleanType())
+def maybe_udf(sa: pd.Series, sb: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
+    """Union-sketch test of a pair: too few of the union's smallest values in both sketches rules it out.
+
+    A row holds two sketches, so batches are bounded.
+    """
+    least = shared_at_least(K)
+    out = np.empty(len(sa), bool)
+    for i, (a, b, n, m) in enumerate(zip(sa, sb, na, nb, strict=True)):
+        both = np.intersect1d(a, b, assume_unique=True)
+        if n <= K and m <= K:  # whole sets
+            out[i] = 100 * len(both) >= PERCENT * (len(a) + len(b) - len(both))
+        else:
+            union = np.union1d(a, b)[:K]
+            shared = np.searchsorted(both, union[-1], side="right")
+            out[i] = shared >= min(least, math.ceil(PERCENT / 100 * len(union)))
+    return pd.Series(out)
 
 
 def _similar(x: Column, y: Column) -> Column:
-    """The exact test on full sets."""
-    both = F.size(F.array_intersect(x, y)).cast("long")
-    return 100 * both >= PERCENT * (F.size(x) + F.size(y) - both)
+    """The exact test on full sets, in the JVM: they have no bound, so they stay out of Arrow batches."""
+    both = F.size(F.array_intersect(x, y)).cast("long")  # 100 * both >= PERCENT * (x + y - both)
+    return (100 + PERCENT) * both >= PERCENT * (F.size(x) + F.size(y)).cast("long")
 
 
 def _can_link(n_a: Column, n_b: Column, after_a: Column, after_b: Column) -> Column:
@@ -246,7 +255,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     sk = nodes.select("node", "sketch", "n")
     near = (pairs.join(sk.select(F.col("node").alias("v"), F.col("sketch").alias("sb"), F.col("n").alias("nb")), "v")
             .join(sk.select(F.col("node").alias("u"), F.col("sketch").alias("sa"), F.col("n").alias("na")), "u")
-            .where(_maybe(*map(F.col, ("sa", "sb", "na", "nb")))).select("u", "v", "na", "nb"))
+            .where(maybe_udf("sa", "sb", "na", "nb")).select("u", "v", "na", "nb"))
     near = materialize(near)
     # sets that are their own sketch are verified already
     small = near.where((F.col("na") <= K) & (F.col("nb") <= K)).select("u", "v")
