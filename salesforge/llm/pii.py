@@ -396,12 +396,12 @@ _COMMON_STATE = 2_000_000  # fillers that a task remembers
 class _Fillers:
     """What a task has emitted: each filler of a pattern once, and none any more of patterns that are common.
 
-    ``limits`` has a Bloom filter for each power of two: patterns whose limit is below it.  A pattern that passes by
-    mistake has a higher limit than its own, which costs rows and no result.
+    ``asked`` is a Bloom filter of all patterns, ``limits`` has one for each power of two: patterns whose limit is below
+    it.  A pattern that passes by mistake has a higher limit than its own, which costs rows and no result.
     """
 
-    def __init__(self, limits: list[tuple[int, np.ndarray]]):
-        self.limits = limits
+    def __init__(self, asked: np.ndarray, limits: list[tuple[int, np.ndarray]]):
+        self.asked, self.limits = asked, limits
         self.seen: dict[int, tuple[set[int], set[int]]] = {}
         self.size = 0
         self.common: set[int] = set()
@@ -416,12 +416,13 @@ class _Fillers:
 
     def open(self, keys: np.ndarray) -> np.ndarray:
         """Whether fillers of these patterns are still asked for."""
-        wanted = self.limit_of(keys) > 0
         if len(self.common) != len(self.sorted):
             self.sorted = np.sort(np.fromiter(self.common, np.int64, len(self.common)))
+        wanted = bloom.might_contain(self.asked, keys)
         if len(self.sorted):
-            at = np.searchsorted(self.sorted, keys)
-            wanted &= self.sorted.take(at, mode="clip") != keys
+            some = keys[wanted]
+            at = np.searchsorted(self.sorted, some)
+            wanted[wanted] = self.sorted.take(at, mode="clip") != some
         return wanted
 
     def add(self, slots: list[dict]) -> Iterator[tuple]:
@@ -454,13 +455,14 @@ class _Fillers:
             self.seen, self.size = {}, 0
 
 
-def _pattern_limits(patterns: DataFrame) -> list[tuple[int, np.ndarray]]:
-    """(upper bound, Bloom filter) of the patterns (pattern, limit) for each power of two of their limits."""
+def _pattern_limits(patterns: DataFrame) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """A Bloom filter of the patterns (pattern, limit), and (upper bound, filter) for each power of two of the limits."""
     keyed = materialize(patterns.select(pattern_key("pattern").alias("h"),
                                         F.ceil(F.log2(F.col("limit") + 1)).cast("int").alias("power")))
     sizes = {r["power"]: r["count"] for r in keyed.groupBy("power").count().collect()}  # at most 64 rows
-    return [(1 << p, bloom.build(keyed.where(F.col("power") == p), "h", n, bloom.MAX_BYTES // len(sizes)))
-            for p, n in sorted(sizes.items())]
+    limits = [(1 << p, bloom.build(keyed.where(F.col("power") == p), "h", n, bloom.MAX_BYTES // len(sizes)))
+              for p, n in sorted(sizes.items())]
+    return bloom.build(keyed, "h", sum(sizes.values())), limits
 
 
 def _pattern_fillers(docs: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -468,7 +470,7 @@ def _pattern_fillers(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     limits = docs.sparkSession.sparkContext.broadcast(_pattern_limits(patterns))
 
     def collect(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = _Fillers(limits.value)
+        found = _Fillers(*limits.value)
         for part in parts:
             held, size, rows = [], 0, []
             for text in [*part["text"], None]:
