@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from .common import materialize, text_or_empty
+from .common import materialize, scratch_column, text_or_empty
 
 
 def field_paths(value: object, at: str = "$") -> set[str]:
@@ -69,39 +69,59 @@ def mapping_paths(mapping: dict) -> set[str]:
     return {f"$.{array}[].{role}", f"$.{array}[].{text}"}
 
 
-def mapped_turns(record: dict, mapping: dict) -> list[tuple[str, str]]:
+def _said(value: object) -> str | None:
+    """A text as it is, nothing as the empty text, a number or a truth value as JSON writes it; None for others."""
+    if value is None or isinstance(value, str):
+        return value or ""
+    return json.dumps(value) if isinstance(value, (bool, int, float)) else None
+
+
+def mapped_turns(record: dict, mapping: dict) -> list[tuple[str, str]] | None:
+    """The (role, text) turns of a record, None where a part of the mapping is missing or is no text."""
     if "turns" in mapping:
-        return [(role, record[field] or "") for role, field in mapping["turns"]]
-    array, role, text = mapping["each"]
-    names = mapping.get("roles", {})
-    return [(names.get(x[role], x[role]) or "", x[text] or "") for x in record[array]]
+        found = [(role, _said(record.get(field, {}))) for role, field in mapping["turns"]]
+    else:
+        array, role, text = mapping["each"]
+        names, items = mapping.get("roles", {}), record.get(array)
+        if not isinstance(items, list) or not all(isinstance(x, dict) for x in items):
+            return None
+        found = [(_said(x.get(role, {})), _said(x.get(text, {}))) for x in items]
+        found = [(names.get(r, r), t) for r, t in found]
+    return None if any(r is None or t is None for r, t in found) else found
+
+
+def read_record(raw: str | None, known: dict[str, dict]) -> tuple[str, list[tuple[str, str]] | None]:
+    """(layout, turns) of a record's JSON text; turns are None for any record that cannot be read."""
+    try:
+        record = json.loads(raw) if raw is not None else None
+    except (ValueError, RecursionError):  # no JSON, or nested too deeply to be a record
+        record = None
+    layout = fingerprint(field_paths(record))
+    mapping = known.get(layout)
+    return layout, mapped_turns(record, mapping) if mapping and isinstance(record, dict) else None
 
 
 _TURNS = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("text", T.StringType())]))
 
 
 def canonical(records: DataFrame, raw_col: str = "raw", mappings: list[dict] | None = None) -> DataFrame:
-    """The records with ``layout`` (their fingerprint) and ``turns`` (null without a mapping)."""
+    """The records with ``layout`` (their fingerprint) and ``turns`` (null without a mapping).
+
+    Columns of these names that the records bring are replaced.
+    """
     known = {fingerprint(mapping_paths(m)): m for m in (MAPPINGS if mappings is None else mappings)}
 
     @pandas_udf(T.StructType([T.StructField("layout", T.StringType()), T.StructField("turns", _TURNS)]))
     def read(raws: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in raws:
-            rows = []
-            for raw in part:
-                try:
-                    record = json.loads(raw) if raw is not None else None
-                except ValueError:
-                    record = None
-                layout = fingerprint(field_paths(record))
-                mapping = known.get(layout)
-                turns = None if mapping is None else [
-                    {"role": str(r), "text": str(t)} for r, t in mapped_turns(record, mapping)]
-                rows.append((layout, turns))
-            yield pd.DataFrame(rows, columns=["layout", "turns"])
-
-    read = read.asNondeterministic()
-    return records.withColumn("read", read(F.col(raw_col))).select("*", "read.layout", "read.turns").drop("read")
+            found = [read_record(raw, known) for raw in part]
+            yield pd.DataFrame({"layout": [x for x, _ in found],
+                                "turns": [None if t is None else [{"role": r, "text": x} for r, x in t] for _, t in found]})
+
+    own = scratch_column(records, "read")
+    kept = [F.col(f"`{c}`") for c in records.columns if c.lower() not in ("layout", "turns")]
+    rows = records.withColumn(own, read.asNondeterministic()(F.col(f"`{raw_col}`")))
+    return rows.select(*kept, F.col(f"{own}.layout").alias("layout"), F.col(f"{own}.turns").alias("turns"))
 
 
 def escape(text: Column) -> Column:

@@ -25,6 +25,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,11 +124,11 @@ def _page_id(fields: dict[str, str]) -> int | None:
     return int(fields["X-Page-Id"]) if "X-Page-Id" in fields else None
 
 
-def _digest_of(fields: dict[str, str], body: bytes, offset: int) -> dict:
+def _digest_of(fields: dict[str, str], body: bytes, offset: int, archive: str) -> dict:
     _, http, payload = http_parts(body)
     page, digest = _page_id(http), payload_digest(payload)
     return {"page_id": page, "offset": offset, "payload_bytes": len(payload), "digest": digest,
-            "record_id": record_id(fields["URL"], fields["Archive-date"], page, digest, offset), "url": fields["URL"]}
+            "record_id": record_id(archive, fields["URL"], fields["Archive-date"], page, digest, offset), "url": fields["URL"]}
 
 
 def iso_date(arc_date: str) -> str:
@@ -136,16 +137,20 @@ def iso_date(arc_date: str) -> str:
 
 
 def convert_archive(name: str, data: bytes, revisits: dict[int, dict]) -> bytes:
-    """One ARC file as WARC.  revisits: by offset, what the record refers to."""
-    out = []
+    """One ARC file as WARC.  revisits: by offset, what the record refers to.
+
+    Record ids are made from the archive's name and the place in it, so a page that is stored twice has two.
+    """
+    out, archive = [], ""
     for offset, fields, body in read_arc(data):
         date = iso_date(fields["Archive-date"])
         if fields["URL"].startswith("filedesc://"):
+            archive = fields["URL"]
             out.append(warc_record({"WARC-Type": "warcinfo", "WARC-Record-ID": record_id(name, "info"), "WARC-Date": date,
                                     "WARC-Filename": name, "Content-Type": "application/warc-fields"},
                                    b"format: WARC File Format 1.1\r\nsource: " + fields["URL"].encode() + b"\r\n"))
             continue
-        x = _digest_of(fields, body, offset)
+        x = _digest_of(fields, body, offset, archive)
         head = http_parts(body)[0]
         to = revisits.get(offset)
         block = body if to is None else head
@@ -184,10 +189,11 @@ def write_arc(pages: DataFrame, folder: str, target_bytes: int = TARGET_BYTES) -
     """The pages as legacy archives; the versions alternate from file to file."""
     def files(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, held, size, name = 0, [], 0, ""
+        task = TaskContext.get().partitionId()
 
         def begin() -> bytes:
             nonlocal name
-            name = f"pages-{n}.arc"
+            name = f"pages-{task}-{n}.arc"
             return arc_head(name, 1 + n % 2)
 
         for part in parts:
@@ -213,8 +219,12 @@ def convert(spark: SparkSession, arc_folder: str, warc_folder: str, min_payload:
     def digests(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for path, content in zip(part["path"], part["content"], strict=True):
-                rows = [_digest_of(f, b, at) for at, f, b in read_arc(_plain(content)) if not
-                        f["URL"].startswith("filedesc://")]
+                rows, archive = [], ""
+                for at, f, b in read_arc(_plain(content)):
+                    if f["URL"].startswith("filedesc://"):
+                        archive = f["URL"]
+                    else:
+                        rows.append(_digest_of(f, b, at, archive))
                 yield pd.DataFrame(rows, columns=["page_id", "offset", "payload_bytes", "digest", "record_id", "url"]) \
                     .astype({"page_id": "Int64"}).assign(path=path)
 
@@ -237,7 +247,10 @@ def convert(spark: SparkSession, arc_folder: str, warc_folder: str, min_payload:
                 if data := convert_archive(name, _plain(content), to):
                     yield pd.DataFrame({"value": [_as_row(data)]})
 
-    _write_files(archives.join(revisits, "path", "left").mapInPandas(files, "value string"), warc_folder)
+    # about one archive a partition, however many there are
+    n = max(1, records.select("path").distinct().count())
+    _write_files(archives.repartition(n, "path").join(revisits.repartition(n, "path"), "path", "left")
+                 .mapInPandas(files, "value string"), warc_folder)
 
 
 def read_records(spark: SparkSession, warc_folder: str) -> DataFrame:

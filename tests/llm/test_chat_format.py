@@ -70,3 +70,16 @@ def test_loss_mask_covers_the_assistant_texts(spark):
 
 def test_empty_table(spark):
     assert C.digests(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_odd_records_have_null_turns(spark):
+    odd = ['{"messages":[{"role":"user"},{"content":"x"}]}', '{"messages":[{"role":{},"content":"x"}]}', "[" * 100_000,
+           '{"messages":[{"role":[],"content":"x"}]}', '{"prompt":{},"response":"x"}', "null", "[]", "3", "", None,
+           '{"messages":[{"role":"user","content":"x"},["role"]]}']
+    fine = ['{"messages":[{"role":null,"content":"x"}]}', '{"prompt":null,"response":2.5}']
+    rows = [(i, raw, "t", "l", 1) for i, raw in enumerate([*odd, *fine])]
+    df = spark.createDataFrame(rows, "conv_id long, raw string, turns string, Layout string, read int")
+    got = C.canonical(df).orderBy("conv_id").collect()
+    assert all(r["turns"] is None and r["layout"] for r in got[: len(odd)])
+    assert [[tuple(t) for t in r["turns"]] for r in got[len(odd):]] == [[("", "x")], [("user", ""), ("assistant", "2.5")]]
+    assert got[0].asDict().keys() == {"conv_id", "raw", "read", "layout", "turns"}

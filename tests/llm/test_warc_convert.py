@@ -75,3 +75,15 @@ def test_empty_table(spark, tmp_path):
     W.write_arc(spark.createDataFrame([], SCHEMA), f"file://{tmp_path}/arc")
     W.convert(spark, f"file://{tmp_path}/arc", f"file://{tmp_path}/warc")
     assert W.read_records(spark, f"file://{tmp_path}/warc").count() == 0
+
+
+def test_repeated_pages_have_ids_of_their_own(spark, tmp_path):
+    rows = [(1, "http://a.org/", "same")] * 2 + [(2, "http://b.org/", "other")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    W.write_arc(df, f"{tmp_path}/arc")
+    W.convert(spark, f"{tmp_path}/arc", f"{tmp_path}/warc")
+    headers = [h for r in W.read_files(spark, f"{tmp_path}/warc").collect() for h, _ in W.read_warc(W._plain(r["content"]))]
+    ids = [h["WARC-Record-ID"] for h in headers]
+    assert len(set(ids)) == len(ids)
+    (revisit,) = [h for h in headers if h["WARC-Type"] == "revisit"]
+    assert revisit["WARC-Refers-To"] in ids and revisit["WARC-Refers-To"] != revisit["WARC-Record-ID"]
