@@ -13,8 +13,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from salesforge.llm import line_dedup, near_dedup, packing, pii, quality_rules
-from salesforge.llm.common import read_table, ship_package
-from salesforge.session import ensure_checkpoint_dir
+from salesforge.llm.common import materialize, read_table, ship_package
+from salesforge.session import delete_path, ensure_checkpoint_dir
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -74,7 +74,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-pipeline-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
-    for k, (_, f) in enumerate(STAGES[:-1]):
-        f(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
-        docs = spark.read.parquet(f"{folder}/{k}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    try:
+        for k, (_, f) in enumerate(STAGES[:-1]):
+            f(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+            docs = spark.read.parquet(f"{folder}/{k}")
+            if k:
+                delete_path(spark, f"{folder}/{k - 1}")  # a stage reads its predecessor's table only
+        return materialize(STAGES[-1][1](spark, docs, sf_dir))
+    finally:
+        delete_path(spark, folder)
