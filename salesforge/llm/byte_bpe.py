@@ -5,17 +5,19 @@ higher-order functions over the array of its bytes: each step joins the leftmost
 and renews the two ranks beside it.  Ranks come from a literal map, cut into buckets by a checksum of the key, since a
 look-up in one Spark map walks through its keys.
 
-Words recur, so they are merged once where that pays:
-* the ``DICTIONARY_WORDS`` most frequent words of the corpus (counted over all texts) are encoded first and broadcast,
-  a table of bounded size;
-* all other words are encoded by the same fold beside their documents, once for each chunk of ``CHUNK_CHARS`` characters.
-There is no shuffle besides the count.  Decoding concatenates the bytes of the ids.
+Every distinct word of the corpus is merged once:
+* texts are split once; a chunk of documents is stored as numbers of its own distinct words (frequent words have small
+  numbers, which take one byte);
+* the words of all chunks are made distinct and folded, evenly over the tasks;
+* each chunk gets the ids of its own words back and puts them in their places.  Nothing is collected or broadcast.
+Decoding concatenates the bytes of the ids.
 
 Defined results
 * null text: as the empty text: no ids.  Special tokens in a text are ordinary text.
 * a match of more than ``FOLD_BYTES`` bytes is merged by ``merge_long`` in Python with a heap: the fold is quadratic in
   the word's length.
 * repeated rows and repeated or null ids: every row is encoded by itself; extra columns are not read.
+* very long texts: encoded whole; a task holds the words of one chunk, which is one text if that is longer.
 """
 
 from __future__ import annotations
@@ -23,29 +25,32 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
 import json
+import math
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, word_pattern
+from .common import materialize, scratch_folder, text_or_empty, word_pattern
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-DICTIONARY_WORDS = 300_000
-DICTIONARY_BYTES = 32  # longest word that the dictionary takes
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 4_000_000
 FOLD_BYTES = 512
 BUCKETS = 1 << 14
+WORDS_A_ROW = 500       # the literal rank map is evaluated once a row
+WORDS_A_TASK = 50_000   # at most, where there are more tasks' worth of words than cores
 
 _NONE = 2**31 - 1  # the rank of a pair that is no token
-_RARE = 1 << 31  # ids from here on stand for a word of the chunk that is not encoded yet
+_ESCAPE = 255  # numbers from here on are stored apart
 
 
 @lru_cache(2)
@@ -155,130 +160,131 @@ def encode_words(words: Column, ranks: Column) -> Column:
     return _bound(ranks, lambda r: F.transform(words, lambda w: encode_word(w, r)))
 
 
-def count_words(texts: DataFrame) -> DataFrame:
-    """(word, n) over all texts (column text): counted in each task before they are shuffled."""
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, found = splitter(), Counter()
+class _Chunk:
+    """Documents as numbers of the chunk's distinct words."""
+
+    def __init__(self) -> None:
+        self.chars, self.docs, self.lengths, self.parts = 0, [], [], []
+        self.numbers: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+
+    def add(self, doc: int | None, words: list[str], chars: int) -> None:
+        self.docs.append(doc)
+        self.lengths.append(len(words))
+        self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
+        self.chars += chars
+
+    def row(self, chunk: int) -> pd.DataFrame:
+        numbers = np.concatenate(self.parts)
+        order = np.argsort(-np.bincount(numbers, minlength=len(self.numbers)), kind="stable")  # most frequent first
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        low, high = _split_numbers(place[numbers])
+        names = list(self.numbers)
+        return pd.DataFrame({"chunk": [chunk], "docs": [[None if pd.isna(d) else int(d) for d in self.docs]],
+                             "lengths": [self.lengths], "low": [low], "high": [high],
+                             "words": [[names[i] for i in order.tolist()]]})
+
+
+def _split_numbers(numbers: np.ndarray) -> tuple[bytes, bytes]:
+    """Numbers as one byte each, those from ``_ESCAPE`` on as an escape here and 32 bits there."""
+    return (np.minimum(numbers, _ESCAPE).astype(np.uint8).tobytes(),
+            (numbers[numbers >= _ESCAPE] - _ESCAPE).astype("<u4").tobytes())
+
+
+def _join_numbers(low: bytes, high: bytes) -> np.ndarray:
+    numbers = np.frombuffer(low, np.uint8).astype(np.int64)
+    numbers[numbers == _ESCAPE] += np.frombuffer(high, "<u4")
+    return numbers
+
+
+def coded_chunks(docs: DataFrame, id_col: str, text_col: str, chars: int = CHUNK_CHARS) -> DataFrame:
+    """(chunk, docs, lengths, low, high, words): the documents as numbers of their chunk's distinct words."""
+    def code(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        split, chunk = splitter(), _Chunk()
+        names = itertools.count(TaskContext.get().partitionId() << 33)
         for part in parts:
-            for text in part["text"]:
-                found.update(split(text))
-                if len(found) > 500_000:
-                    yield pd.DataFrame({"word": list(found), "n": list(found.values())})
-                    found.clear()
-        yield pd.DataFrame({"word": list(found), "n": list(found.values())}).astype({"word": str})
-
-    return texts.mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def dictionary(spark: SparkSession, texts: DataFrame, ranks: dict[bytes, int],
-               limit: int = DICTIONARY_WORDS) -> dict[str, bytes]:
-    """The most frequent words and their ids; at most ``limit`` words of ``DICTIONARY_BYTES`` bytes each."""
-    top = (count_words(texts).where((F.octet_length("word") <= DICTIONARY_BYTES) & (F.col("n") > 1))
-           .orderBy(F.desc("n"), "word").limit(limit))
-    words = [r[0] for r in top.select("word").collect()]
-    if not words:
-        return {}
-    size = 1000  # words of a row: rows are dealt over the tasks
-    rows = [(words[i: i + size],) for i in range(0, len(words), size)]
-    encoded = spark.createDataFrame(rows, "words array<string>").repartition(min(len(rows), 32)).select(
-        "words", encode_words(F.col("words"), rank_literal(ranks)).alias("ids"))
-    return {w: np.array(i, "<u4").tobytes() for row in encoded.collect() for w, i in zip(row[0], row[1], strict=True)}
-
-
-def _encoded_chunks(docs: DataFrame, id_col: str, text_col: str, path: str | None) -> DataFrame:
-    """(docs, coded, rare): chunks of documents, with the ids of their rare words beside them."""
-    spark = docs.sparkSession
-    ranks = read_ranks(path or public_tokenizers.path(RANKS))
+            for doc, text in zip(part["doc_id"], part["text"], strict=True):
+                chunk.add(doc, split(text), len(text))
+                if chunk.chars >= chars:
+                    yield chunk.row(next(names))
+                    chunk = _Chunk()
+        if chunk.docs:
+            yield chunk.row(next(names))
+
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                         text_or_empty(F.col(f"`{text_col}`")).alias("text"))
-    known = spark.sparkContext.broadcast(dictionary(spark, texts.select("text"), ranks))
-    long_ranks = path  # read again where a long word turns up
+    return texts.mapInPandas(code, "chunk long, docs array<long>, lengths array<int>, low binary, high binary, "
+                                   "words array<string>")
+
 
-    def look_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split = splitter()
-        chunk = _Chunk(known.value, lambda w: merge_long(
-            w, read_ranks(long_ranks or public_tokenizers.path(RANKS))))
+def encoded_words(words: DataFrame, path: str | None) -> DataFrame:
+    """(word, ids): every word of ``words`` (distinct, cut from its lineage) once, the ids as little-endian 32 bits."""
+    ranks = read_ranks(path or public_tokenizers.path(RANKS))
+    tasks = max(words.sparkSession.sparkContext.defaultParallelism, math.ceil(words.count() / WORDS_A_TASK))
+
+    def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for doc, text in zip(part["doc_id"], part["text"], strict=True):
-                chunk.add(doc, split(text))
-                chunk.chars += len(text)
-                if chunk.chars >= CHUNK_CHARS:
-                    yield chunk.row()
-        if chunk.docs:
-            yield chunk.row()
+            found = part["word"].tolist()
+            yield pd.DataFrame({"words": [found[i: i + WORDS_A_ROW] for i in range(0, len(found), WORDS_A_ROW)]})
+
+    def packed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for some, ids in zip(part["words"], part["ids"], strict=True):
+                yield pd.DataFrame({"word": some, "ids": [np.asarray(i).astype("<u4").tobytes() for i in ids]})
+
+    def merged(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = read_ranks(path or public_tokenizers.path(RANKS))
+        for part in parts:
+            yield part.assign(ids=[np.array(merge_long(w.encode(), known), "<u4").tobytes() for w in part["word"]])
+
+    long = F.octet_length("word") > FOLD_BYTES
+    folded = (words.where(~long).repartition(tasks).mapInPandas(rows, "words array<string>")
+              .select("words", encode_words(F.col("words"), rank_literal(ranks)).alias("ids")))
+    return folded.mapInPandas(packed, "word string, ids binary").union(
+        words.where(long).mapInPandas(merged, "word string, ids binary"))
 
-    chunks = texts.mapInPandas(look_up, "docs array<long>, coded array<binary>, rare array<string>")
-    return chunks.select("docs", "coded", encode_words(F.col("rare"), rank_literal(ranks)).alias("rare"))
+
+def _encoded(docs: DataFrame, id_col: str, text_col: str, path: str | None, folder: str) -> DataFrame:
+    """(docs, lengths, low, high, all_local, all_ids): the stored chunks with the ids of their words."""
+    spark = docs.sparkSession
+    coded_chunks(docs, id_col, text_col).write.option("compression", "zstd").parquet(folder)
+    chunks = spark.read.parquet(folder)
+    own = chunks.select("chunk", F.posexplode("words").alias("local", "word"))
+    words = materialize(own.select("word").distinct())
+    found = (own.join(encoded_words(words, path), "word").groupBy("chunk")  # at most the distinct words of a chunk
+             .agg(F.collect_list(F.struct("local", "ids")).alias("items")))
+    return chunks.select("chunk", "docs", "lengths", "low", "high").join(
+        found.select("chunk", F.col("items.local").alias("all_local"), F.col("items.ids").alias("all_ids")), "chunk", "left")
 
 
 def _documents(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(doc_id, ids) of the documents of encoded chunks."""
     for part in parts:
-        for docs, coded, rare in zip(part["docs"], part["coded"], part["rare"], strict=True):
-            yield pd.DataFrame({"doc_id": pd.Series(docs).astype("Int64"), "ids": _filled(coded, rare)})
+        for docs, lengths, low, high, local, ids in zip(*(part[c] for c in (
+                "docs", "lengths", "low", "high", "all_local", "all_ids")), strict=True):
+            yield pd.DataFrame({"doc_id": pd.Series(docs).astype("Int64"),
+                                "ids": _filled(_join_numbers(low, high), np.asarray(lengths, np.int64), local, ids)})
+
+
+def _filled(numbers: np.ndarray, lengths: np.ndarray, local: list | None, ids: list | None) -> list[bytes]:
+    """The ids of each document: every word's ids in the place of its number."""
+    if local is None:
+        return [b""] * len(lengths)
+    order = np.argsort(np.asarray(local, np.int64))
+    words = [ids[i] for i in order]
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) // 4
+    flat = np.frombuffer(b"".join(words), "<u4")
+    reps = sizes[numbers]
+    ends = np.cumsum(reps)
+    full = flat[np.repeat((np.cumsum(sizes) - sizes)[numbers] - (ends - reps), reps) + np.arange(ends[-1] if len(ends) else 0)]
+    cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths)])]
+    return [full[a:b].tobytes() for a, b in itertools.pairwise(cuts.tolist())]
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """(doc_id, ids): the ids of every whole text, as little-endian unsigned 32-bit integers."""
-    return _encoded_chunks(docs, id_col, text_col, path).mapInPandas(_documents, "doc_id long, ids binary")
-
-
-class _Chunk:
-    """Documents of one chunk: known words as ids, each other word as a number into the chunk's list of rare words."""
-
-    def __init__(self, known: dict[str, bytes], merge: Callable[[bytes], list[int]]):
-        self.known, self.merge = known, merge
-        self._clear()
-
-    def _clear(self) -> None:
-        self.chars = 0
-        self.docs: list = []
-        self.coded: list[bytes] = []
-        self.rare: list[str] = []
-        self.own: dict[str, bytes] = {}
-
-    def _new(self, word: str) -> bytes:
-        if len(word) * 4 > FOLD_BYTES and len(raw := word.encode()) > FOLD_BYTES:
-            code = np.array(self.merge(raw), "<u4").tobytes()
-        else:
-            code = np.array([_RARE + len(self.rare)], "<u4").tobytes()
-            self.rare.append(word)
-        self.own[word] = code
-        return code
-
-    def add(self, doc: int | None, words: list[str]) -> None:
-        known, own = self.known.get, self.own
-        self.docs.append(doc)
-        self.coded.append(b"".join([known(w) or own.get(w) or self._new(w) for w in words]))
-
-    def row(self) -> pd.DataFrame:
-        docs = [None if pd.isna(d) else int(d) for d in self.docs]
-        out = pd.DataFrame({"docs": [docs], "coded": [self.coded], "rare": [self.rare]})
-        self._clear()
-        return out
-
-
-def _filled(coded: list[bytes], rare: list) -> list[bytes]:
-    """The ids with the rare words' ids in their places."""
-    rare = [np.asarray(r, np.int64).astype("<u4") for r in rare]
-    lengths = np.fromiter(map(len, rare), np.int64, len(rare))
-    flat = np.concatenate(rare) if rare else np.empty(0, "<u4")
-    starts = np.cumsum(lengths) - lengths
-    out = []
-    for raw in coded:
-        ids = np.frombuffer(raw, "<u4")
-        holes = ids >= _RARE
-        if holes.any():
-            number = np.where(holes, ids - np.uint32(_RARE), 0).astype(np.int64)
-            reps = np.where(holes, lengths[number], 1)
-            full = np.repeat(ids, reps)
-            at = np.repeat(np.cumsum(reps) - reps, reps)
-            inside = np.repeat(holes, reps)
-            source = np.repeat(starts[number], reps) + np.arange(len(full)) - at
-            full[inside] = flat[source[inside]]
-            raw = full.tobytes()
-        out.append(raw)
-    return out
+    with scratch_folder(docs.sparkSession, "byte-bpe") as folder:
+        return materialize(_encoded(docs, id_col, text_col, path, folder).mapInPandas(_documents, "doc_id long, ids binary"))
 
 
 def decode(ids: bytes, pieces: list[bytes]) -> bytes:
@@ -299,5 +305,6 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
                 "ids_sha256": [hashlib.sha256(i).hexdigest() for i in part["ids"]],
                 "decoded_sha256": [hashlib.sha256(decode(i, pieces)).hexdigest() for i in part["ids"]]})
 
-    return _encoded_chunks(docs, id_col, text_col, path).mapInPandas(
-        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    with scratch_folder(docs.sparkSession, "byte-bpe") as folder:
+        return materialize(_encoded(docs, id_col, text_col, path, folder).mapInPandas(
+            digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))

@@ -179,6 +179,35 @@ WITH urls AS (
 SELECT page_id, host, path, rule, coalesce(listed, 'allow') AS verdict FROM urls LEFT JOIN judged USING (host, path)
 """
 
+# All pairs on exact sets, components by reachability: for small tables.
+OP7_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\f\r]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT row_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+  FROM (SELECT row_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT row_id, count(*) AS n FROM shingles GROUP BY row_id
+), shared AS (
+  SELECT a.row_id AS u, b.row_id AS v, count(*) AS together FROM shingles a JOIN shingles b ON a.s = b.s AND a.row_id < b.row_id
+  GROUP BY ALL
+), links AS (
+  SELECT u, v FROM shared JOIN sizes x ON x.row_id = u JOIN sizes y ON y.row_id = v
+  WHERE 100 * together >= 75 * (x.n + y.n - together)
+), both_ways AS (
+  SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reached AS (
+  SELECT row_id AS u, row_id AS v FROM docs
+  UNION SELECT r.u, b.v FROM reached r JOIN both_ways b ON b.u = r.v
+), components AS (
+  SELECT r.u AS row_id, min(d.doc_id) AS component_id FROM reached r JOIN docs d ON d.row_id = r.v GROUP BY r.u
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM docs JOIN components USING (row_id) LEFT JOIN sizes USING (row_id)
+"""
+
 # Windows of 1, 2, 4 ... lines whose text occurs earlier, at least MIN_CHARS code points long, cover the lines that go.
 OP10_SQL = """
 WITH docs AS (
@@ -295,6 +324,7 @@ ORACLE: dict[str, str] = {
     "op2_arc_to_warc": OP2_SQL,
     "op5_block_topk": OP5_SQL,
     "op6_url_bloom": OP6_SQL,
+    "op7_minhash_near_dedup": OP7_SQL,
     "op9_chat_layouts": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
     "op11_collocations": OP11_SQL,
