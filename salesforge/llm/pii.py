@@ -657,8 +657,9 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.size(more).cast("long").alias("n_found"), (F.size("base") + F.size(more) > 0).alias("has_pii"))
 
 
-# A table of discovered spans up to this many rows is broadcast; a larger one is joined by a shuffle.
+# A table of discovered spans up to this many rows and spans is broadcast; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 50_000
+BROADCAST_SPANS = 500_000
 
 
 def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = None) -> DataFrame:
@@ -667,7 +668,8 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_
     found = materialize(discover(keyed, scan(keyed)))
     i, h, f = (scratch_column(docs, x) for x in ("id", "hash", "found"))
     found = found.select(F.col("id").alias(i), F.col("text_hash").alias(h), F.col("found").alias(f))
-    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    rows, spans = found.agg(F.count("*"), F.coalesce(F.sum(F.size(f)), F.lit(0))).first()
+    if rows <= BROADCAST_ROWS and spans <= BROADCAST_SPANS:
         found = F.broadcast(found)
     text = text_or_empty(F.col(f"`{text_col}`"))
     rows = docs.join(found, F.col(f"`{id_col}`").eqNullSafe(F.col(i)) & (F.xxhash64(text) == F.col(h)), "left")
