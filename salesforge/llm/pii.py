@@ -250,29 +250,38 @@ def _hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
-class _Hashes(dict):
-    """A bounded cache of a hash of each word."""
+def _value_hash(word: str) -> int:
+    bare = word.strip(_STRIP)
+    return (_hash(bare) & ~_FLAGS) | _OPEN * (word[:1] in _STRIP) | _NUMERIC * (bare[:1] in _RUN_START)
 
-    def __init__(self, of: Callable[[str], int]):
-        self.of = of
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        h = self.of(word)
-        if len(word) <= LONG_WORD:
-            self[word] = h
-        return h
+class _WordTable(dict):
+    """Numbers of lower-cased words, with three hashes of each: as a value, as the word before a slot and behind it."""
 
+    def __init__(self) -> None:
+        self.value, self.before, self.after = (np.empty(CACHED_WORDS, np.uint64) for _ in range(3))
+        self.long = False
 
-def _value_hash(word: str) -> int:
-    bare = word.strip(_STRIP)
-    return (_hash(bare) & ~_FLAGS) | _OPEN * (word[:1] in _STRIP) | _NUMERIC * (bare[:1] in _RUN_START)
+    def __missing__(self, word: str) -> int:
+        self[word] = i = len(self)
+        if i == len(self.value):
+            self.value, self.before, self.after = (
+                np.concatenate([x, np.empty_like(x)]) for x in (self.value, self.before, self.after))
+        normal = _DIGIT.sub("0", word)
+        self.value[i] = _value_hash(word)
+        self.before[i], self.after[i] = _hash(_short(normal)), _hash(_short(normal.strip(_STRIP)))
+        self.long |= len(word) > LONG_WORD
+        return i
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The numbers of these words; they hold until the next call, which may begin anew."""
+        if len(self) >= CACHED_WORDS or self.long:  # long words are not kept
+            self.clear()
+            self.long = False
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
-_before = _Hashes(lambda word: _hash(_short(word)))
-_after = _Hashes(lambda word: _hash(_short(word.strip(_STRIP))))
-_value = _Hashes(_value_hash)
+_words = _WordTable()
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -284,10 +293,6 @@ def _key(first: np.ndarray, second: np.ndarray, around: bool) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _hashes(cache: _Hashes, words: list[str]) -> np.ndarray:
-    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-
-
 def pattern_keys(patterns: list[str]) -> np.ndarray:
     """The hash of each pattern, as ``slots_at`` computes it from a text's words."""
     parts = [p.split(" ") for p in patterns]
@@ -312,17 +317,16 @@ def value_key(values: pd.Series) -> pd.Series:
 
 def slots_at(texts: list[str], patterns: Callable | None, values: np.ndarray | None) -> list[list[dict]]:
     """The slots of each text that may have one of the patterns (a test of their keys) or values (a Bloom filter)."""
-    lower = [t.lower() for t in texts]
-    words = [t.split() for t in lower]
-    v = _hashes(_value, [w for ws in words for w in ws])
+    words = [t.lower().split() for t in texts]
+    at = _words.numbers([w for ws in words for w in ws])
+    v = _words.value[at]
     number = (v & np.uint64(_NUMERIC)) != 0
     hit = (v & np.uint64(_OPEN)) != 0
     hit[:-1] |= number[:-1] & number[1:]  # may begin a run
     if values is not None:
         hit |= bloom.might_contain(values, (v & ~np.uint64(_FLAGS)).view(np.int64))
     if patterns is not None:
-        normal = [w for t in lower for w in _DIGIT.sub("0", t).split()]
-        b, a = _hashes(_before, normal), _hashes(_after, normal)
+        b, a = _words.before[at], _words.after[at]
         hit[2:] |= patterns(_key(b[:-2], b[1:-1], False))
         hit[1:-1] |= patterns(_key(b[:-2], a[2:], True))
     out, at = [], 0
