@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from . import bloom
-from .common import materialize, scratch_column, text_or_empty
+from .common import materialize, scratch_column, scratch_folder, text_or_empty
 from .components import connected_components
 
 WORDS = 5
@@ -286,11 +286,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_shingles, component_id, kept) for every row."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                        text_or_empty(F.col(f"`{text_col}`")).cast("binary").alias("text"))
-    base = materialize(docs.mapInArrow(_sketched, "id long, n long, digest binary, sketch array<long>"))
-    # a node is a distinct set; its number is that of its stored row
-    nodes = materialize(base.where("n > 0 and id is not null").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-        .withColumn("node", F.monotonically_increasing_id()))
+    with scratch_folder(docs.sparkSession, "sketches") as folder:  # of all rows: they go once the nodes have theirs
+        docs.mapInArrow(_sketched, "id long, n long, digest binary, sketch array<long>").write.parquet(folder)
+        rows = docs.sparkSession.read.parquet(folder)
+        base = materialize(rows.select("id", "n", "digest"))
+        # a node is a distinct set; its number is that of its stored row
+        nodes = materialize(rows.where("n > 0 and id is not null").groupBy("digest").agg(
+            F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+            .withColumn("node", F.monotonically_increasing_id()))
     prefixes = _prefixes(nodes)
     postings = _postings(prefixes)
 
