@@ -25,13 +25,18 @@ LATIN_MAX = 0x24F
 
 _SHIPPED: set[str] = set()
 
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this library to the Python workers, once for each application.
+    """Send this library to the Python workers, once for each application, and bound what they get at once.
 
-    Functions that run there are looked up by module, and a worker need not have the driver's path.
+    Functions that run there are looked up by module, and a worker need not have the driver's path.  Batches of whole
+    texts are bounded by bytes, unless the session chose a bound itself.
     """
     sc = spark.sparkContext
+    if BATCH_BYTES[0] not in spark.conf.getAll:
+        spark.conf.set(*BATCH_BYTES)
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

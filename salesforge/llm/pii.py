@@ -64,7 +64,7 @@ ACCEPT = 0.7
 RUN_DIGITS = 19  # of the longest card: a run of number tokens with more is not one number
 WHOLE_DIGITS = 8  # of the shortest phone: a token with as many is a number by itself
 LONG_WORD = 64  # longer words stand in a pattern as a digest
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 CHUNK = 1 << 20  # code points of text that are looked through at once
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
