@@ -38,10 +38,13 @@ def scaled_ranks(df: DataFrame, column: str, bits: int = CURVE_BITS) -> DataFram
 
 
 def with_curve_key(df: DataFrame, columns: tuple[str, ...] = CURVE_COLUMNS, bits: int = CURVE_BITS) -> DataFrame:
-    """``df`` with ``_curve``; a missing value counts as the first rank."""
+    """``df`` with ``_curve``; a missing value counts as the first rank.
+
+    The ranks (a row for each day, region or category) are broadcast: rows are not moved by a column with few values.
+    """
     for c in columns:
         ranks = scaled_ranks(df, c, bits).withColumnRenamed(c, f"_value_{c}")
-        df = df.join(ranks, F.col(c) == F.col(f"_value_{c}"), "left").drop(f"_value_{c}")
+        df = df.join(F.broadcast(ranks), F.col(c) == F.col(f"_value_{c}"), "left").drop(f"_value_{c}")
     names = [f"_rank_{c}" for c in columns]
     return df.withColumn("_curve", interleaved([F.coalesce(n, F.lit(0)) for n in names], bits)).drop(*names)
 
