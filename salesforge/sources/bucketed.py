@@ -17,7 +17,13 @@ from pyspark.sql import functions as F
 from ..functions.money import money_sum
 from ..session import delete_path, scratch_dir
 
-BUCKETS = 16
+BUCKETS = 16  # at least
+ROWS_PER_BUCKET = 1_000_000
+
+
+def buckets_for(rows: int) -> int:
+    """So many buckets that a task, which writes or reads one, has about ``ROWS_PER_BUCKET`` rows at most."""
+    return max(BUCKETS, -(-rows // ROWS_PER_BUCKET))
 
 
 def _versions(spark: SparkSession, name: str) -> list[str]:
@@ -26,9 +32,13 @@ def _versions(spark: SparkSession, name: str) -> list[str]:
     return sorted(found, key=lambda t: int(t.split("__v")[1].split("_")[0]))
 
 
-def replace_table(df: DataFrame, name: str, key: str, buckets: int = BUCKETS) -> str:
-    """Make ``name`` the rows of ``df``, bucketed by ``key``; returns the version's table name."""
+def replace_table(df: DataFrame, name: str, key: str, buckets: int | None = None) -> str:
+    """Make ``name`` the rows of ``df``, bucketed by ``key``; returns the version's table name.
+
+    Unless it is given, the number of buckets grows with the rows (of a stored fact, the count reads file footers).
+    """
     spark = df.sparkSession
+    buckets = buckets or buckets_for(df.count())
     older = _versions(spark, name)
     number = int(older[-1].split("__v")[1].split("_")[0]) + 1 if older else 1
     version = f"{name}__v{number}_{uuid.uuid4().hex[:8]}"
