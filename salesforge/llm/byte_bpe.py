@@ -1,21 +1,15 @@
 """Byte-level BPE encoding and decoding by the ranks of a tiktoken file.
 
-A text is split by the tokenizer's pattern; every match is merged separately.  The merges of a word are a fold of Spark
-higher-order functions over the array of its bytes: each step joins the leftmost adjacent pair of lowest rank
-and renews the two ranks beside it.  Ranks come from a literal map, cut into buckets by a checksum of the key, since a
-look-up in one Spark map walks through its keys.
-
-Every distinct word of the corpus is merged once:
-* texts are split once; a chunk of documents is stored as numbers of its own distinct words (frequent words have small
-  numbers, which take one byte);
-* the words of all chunks are made distinct and folded, evenly over the tasks;
-* each chunk gets the ids of its own words back and puts them in their places.  Nothing is collected or broadcast.
-Decoding concatenates the bytes of the ids.
+A text is split by the tokenizer's pattern; every match is merged separately.  The merges of a word are a fold over its
+bytes: each step joins the leftmost adjacent pair of lowest rank and renews the two ranks beside it.  A task takes its
+texts in chunks, numbers their distinct words and folds all new ones together as rows of a matrix (``word_merges``); the ids
+are then put in the places of the numbers.  A word is folded once as long as the task's bounded table holds it.  Nothing is
+shuffled, collected or broadcast, so no disk is taken beside the result.  Decoding concatenates the bytes of the ids.
 
 Defined results
 * null text: as the empty text: no ids.  Special tokens in a text are ordinary text.
-* a match of more than ``FOLD_BYTES`` bytes is merged by ``merge_long`` in Python with a heap: the fold is quadratic in
-  the word's length.
+* a match that is longer than the widest matrix is merged by ``merge_long`` with a heap: the fold is quadratic in the
+  word's length.
 * repeated rows and repeated or null ids: every row is encoded by itself; extra columns are not read.
 * very long texts: encoded whole; a task holds the words of one chunk, which is one text if that is longer.
 """
@@ -25,32 +19,19 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import itertools
-import json
-import math
-import zlib
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch_folder, text_or_empty, word_pattern
+from .common import materialize, text_or_empty, word_pattern
+from .word_merges import RankedPairs, WordIds, chunks_of
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-CHUNK_CHARS = 4_000_000
-FOLD_BYTES = 512
-BUCKETS = 1 << 14
-WORDS_A_ROW = 500       # the literal rank map is evaluated once a row
-WORDS_A_TASK = 50_000   # at most, where there are more tasks' worth of words than cores
-
-_NONE = 2**31 - 1  # the rank of a pair that is no token
-_ESCAPE = 255  # numbers from here on are stored apart
 
 
 @lru_cache(2)
@@ -97,194 +78,42 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[start[i]: end[i]]] for i in range(n) if alive[i]]
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The rank map as one literal: an array of small maps; a key's characters stand for its bytes."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for token, rank in ranks.items():
-        key = token.decode("latin-1")
-        buckets[zlib.crc32(key.encode()) % BUCKETS][key] = rank
-    return F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,int>>")
+@lru_cache(1)
+def ranked_pairs(path: str) -> RankedPairs:
+    """Every way to cut a token into two tokens, with the token's rank."""
+    ranks = read_ranks(path)
+    cuts = [(left, right, rank) for token, rank in ranks.items() for i in range(1, len(token))
+            if (left := ranks.get(token[:i])) is not None and (right := ranks.get(token[i:])) is not None]
+    left, right, rank = np.array(cuts, np.int64).reshape(-1, 3).T
+    return RankedPairs([ranks[bytes([b])] for b in range(256)], left, right, rank, np.arange(max(ranks.values()) + 1))
+
+
+def word_ids(path: str) -> WordIds:
+    """An empty table of words for the ranks of a file.  A match that is a token itself has that id."""
+    ranks = read_ranks(path)
+    return WordIds(ranked_pairs(path), lambda word: merge_long(word, ranks), ranks)
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once; a lambda body computes a repeated expression again each time."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _rank(token: Column, ranks: Column) -> Column:
-    return _bound(token, lambda t: F.coalesce(
-        F.try_element_at(F.get(ranks, (F.crc32(t.cast("binary")) % BUCKETS).cast("int")), t), F.lit(_NONE)))
-
-
-def _merge_step(state: Column, ranks: Column) -> Column:
-    """Joins the leftmost pair of lowest rank.  The new arrays are transforms over places: of array functions,
-    ``slice`` and ``concat`` cost several times as much."""
-    parts, near = state["parts"], state["near"]  # near[i]: rank of parts[i] and parts[i + 1] together
-
-    def merged(p: Column, joined: Column) -> Column:  # p: the pair's place from 0
-        places = F.sequence(F.lit(0), F.size(near) - 1)
-        return F.struct(
-            F.transform(places, lambda i: F.when(i == p, joined).otherwise(
-                F.get(parts, F.when(i < p, i).otherwise(i + 1)))).alias("parts"),
-            F.when(F.size(near) == 1, F.array().cast("array<int>")).otherwise(
-                F.transform(F.sequence(F.lit(0), F.size(near) - 2), lambda i: (
-                    F.when(i == p - 1, _rank(F.concat(F.get(parts, i), joined), ranks))
-                    .when(i == p, _rank(F.concat(joined, F.get(parts, i + 2)), ranks))
-                    .otherwise(F.get(near, F.when(i < p, i).otherwise(i + 1)))))).alias("near"))
-
-    def at_lowest(low: Column) -> Column:
-        return F.when(F.coalesce(low, F.lit(_NONE)) == _NONE, state).otherwise(
-            _bound(F.array_position(near, low).cast("int") - 1, lambda p: _bound(
-                F.concat(F.get(parts, p), F.get(parts, p + 1)), lambda joined: merged(p, joined))))
-
-    return _bound(F.array_min(near), at_lowest)
-
-
-def encode_word(word: Column, ranks: Column) -> Column:
-    """The ids of one word (a string) as array<int>, by folding the ranked merges over its bytes."""
-    def fold(chars: Column) -> Column:
-        n = F.length(chars)
-        parts = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(chars, i, F.lit(1)))
-        near = F.transform(F.sequence(F.lit(1), n - 1), lambda i: _rank(F.substring(chars, i, F.lit(2)), ranks))
-        merged = F.aggregate(F.sequence(F.lit(2), n), F.struct(parts.alias("parts"), near.alias("near")),
-                             lambda state, _: _merge_step(state, ranks))["parts"]
-        return F.transform(merged, lambda part: _rank(part, ranks))
-
-    # the word as a string with one character for each byte
-    return _bound(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), lambda c: _bound(
-        _rank(c, ranks), lambda whole: F.when((whole != _NONE) | (F.length(c) == 1), F.array(whole)).otherwise(fold(c))))
-
-
-def encode_words(words: Column, ranks: Column) -> Column:
-    """array<string> -> array<array<int>>; the literal map is evaluated once for the row."""
-    return _bound(ranks, lambda r: F.transform(words, lambda w: encode_word(w, r)))
-
-
-class _Chunk:
-    """Documents as numbers of the chunk's distinct words."""
-
-    def __init__(self) -> None:
-        self.chars, self.docs, self.lengths, self.parts = 0, [], [], []
-        self.numbers: defaultdict[str, int] = defaultdict(itertools.count().__next__)
-
-    def add(self, doc: int | None, words: list[str], chars: int) -> None:
-        self.docs.append(doc)
-        self.lengths.append(len(words))
-        self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
-        self.chars += chars
-
-    def row(self, chunk: int) -> pd.DataFrame:
-        numbers = np.concatenate(self.parts)
-        order = np.argsort(-np.bincount(numbers, minlength=len(self.numbers)), kind="stable")  # most frequent first
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        low, high = _split_numbers(place[numbers])
-        names = list(self.numbers)
-        return pd.DataFrame({"chunk": [chunk], "docs": [[None if pd.isna(d) else int(d) for d in self.docs]],
-                             "lengths": [self.lengths], "low": [low], "high": [high],
-                             "words": [[names[i] for i in order.tolist()]]})
-
-
-def _split_numbers(numbers: np.ndarray) -> tuple[bytes, bytes]:
-    """Numbers as one byte each, those from ``_ESCAPE`` on as an escape here and 32 bits there."""
-    return (np.minimum(numbers, _ESCAPE).astype(np.uint8).tobytes(),
-            (numbers[numbers >= _ESCAPE] - _ESCAPE).astype("<u4").tobytes())
-
-
-def _join_numbers(low: bytes, high: bytes) -> np.ndarray:
-    numbers = np.frombuffer(low, np.uint8).astype(np.int64)
-    numbers[numbers == _ESCAPE] += np.frombuffer(high, "<u4")
-    return numbers
-
-
-def coded_chunks(docs: DataFrame, id_col: str, text_col: str, chars: int = CHUNK_CHARS) -> DataFrame:
-    """(chunk, docs, lengths, low, high, words): the documents as numbers of their chunk's distinct words."""
-    def code(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, chunk = splitter(), _Chunk()
-        names = itertools.count(TaskContext.get().partitionId() << 33)
-        for part in parts:
-            for doc, text in zip(part["doc_id"], part["text"], strict=True):
-                chunk.add(doc, split(text), len(text))
-                if chunk.chars >= chars:
-                    yield chunk.row(next(names))
-                    chunk = _Chunk()
-        if chunk.docs:
-            yield chunk.row(next(names))
-
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                        text_or_empty(F.col(f"`{text_col}`")).alias("text"))
-    return texts.mapInPandas(code, "chunk long, docs array<long>, lengths array<int>, low binary, high binary, "
-                                   "words array<string>")
-
-
-def encoded_words(words: DataFrame, path: str | None) -> DataFrame:
-    """(word, ids): every word of ``words`` (distinct, cut from its lineage) once, the ids as little-endian 32 bits."""
-    ranks = read_ranks(path or public_tokenizers.path(RANKS))
-    tasks = max(words.sparkSession.sparkContext.defaultParallelism, math.ceil(words.count() / WORDS_A_TASK))
-
-    def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            found = part["word"].tolist()
-            yield pd.DataFrame({"words": [found[i: i + WORDS_A_ROW] for i in range(0, len(found), WORDS_A_ROW)]})
-
-    def packed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for some, ids in zip(part["words"], part["ids"], strict=True):
-                yield pd.DataFrame({"word": some, "ids": [np.asarray(i).astype("<u4").tobytes() for i in ids]})
-
-    def merged(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = read_ranks(path or public_tokenizers.path(RANKS))
-        for part in parts:
-            yield part.assign(ids=[np.array(merge_long(w.encode(), known), "<u4").tobytes() for w in part["word"]])
-
-    long = F.octet_length("word") > FOLD_BYTES
-    folded = (words.where(~long).repartition(tasks).mapInPandas(rows, "words array<string>")
-              .select("words", encode_words(F.col("words"), rank_literal(ranks)).alias("ids")))
-    return folded.mapInPandas(packed, "word string, ids binary").union(
-        words.where(long).mapInPandas(merged, "word string, ids binary"))
-
-
-def _encoded(docs: DataFrame, id_col: str, text_col: str, path: str | None, folder: str) -> DataFrame:
-    """(docs, lengths, low, high, all_local, all_ids): the stored chunks with the ids of their words."""
-    spark = docs.sparkSession
-    coded_chunks(docs, id_col, text_col).write.option("compression", "zstd").parquet(folder)
-    chunks = spark.read.parquet(folder)
-    own = chunks.select("chunk", F.posexplode("words").alias("local", "word"))
-    words = materialize(own.select("word").distinct())
-    found = (own.join(encoded_words(words, path), "word").groupBy("chunk")  # at most the distinct words of a chunk
-             .agg(F.collect_list(F.struct("local", "ids")).alias("items")))
-    return chunks.select("chunk", "docs", "lengths", "low", "high").join(
-        found.select("chunk", F.col("items.local").alias("all_local"), F.col("items.ids").alias("all_ids")), "chunk", "left")
-
-
-def _documents(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(doc_id, ids) of the documents of encoded chunks."""
+def _encoded(parts: Iterator[pd.DataFrame], path: str) -> Iterator[tuple[pd.Series, list[bytes]]]:
+    """(doc_ids, ids) of the texts of a task, chunk by chunk."""
+    split, words = splitter(), word_ids(path)
     for part in parts:
-        for docs, lengths, low, high, local, ids in zip(*(part[c] for c in (
-                "docs", "lengths", "low", "high", "all_local", "all_ids")), strict=True):
-            yield pd.DataFrame({"doc_id": pd.Series(docs).astype("Int64"),
-                                "ids": _filled(_join_numbers(low, high), np.asarray(lengths, np.int64), local, ids)})
-
-
-def _filled(numbers: np.ndarray, lengths: np.ndarray, local: list | None, ids: list | None) -> list[bytes]:
-    """The ids of each document: every word's ids in the place of its number."""
-    if local is None:
-        return [b""] * len(lengths)
-    order = np.argsort(np.asarray(local, np.int64))
-    words = [ids[i] for i in order]
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) // 4
-    flat = np.frombuffer(b"".join(words), "<u4")
-    reps = sizes[numbers]
-    ends = np.cumsum(reps)
-    full = flat[np.repeat((np.cumsum(sizes) - sizes)[numbers] - (ends - reps), reps) + np.arange(ends[-1] if len(ends) else 0)]
-    cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths)])]
-    return [full[a:b].tobytes() for a, b in itertools.pairwise(cuts.tolist())]
+        for begin, end in chunks_of(part["text"]):
+            yield part["doc_id"].iloc[begin:end], words.encode([split(t) for t in part["text"].iloc[begin:end]])
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                       text_or_empty(F.col(f"`{text_col}`")).alias("text"))
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """(doc_id, ids): the ids of every whole text, as little-endian unsigned 32-bit integers."""
-    with scratch_folder(docs.sparkSession, "byte-bpe") as folder:
-        return materialize(_encoded(docs, id_col, text_col, path, folder).mapInPandas(_documents, "doc_id long, ids binary"))
+    def encode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for own, ids in _encoded(parts, path or public_tokenizers.path(RANKS)):
+            yield pd.DataFrame({"doc_id": own.astype("Int64").array, "ids": ids})
+
+    return materialize(_texts(docs, id_col, text_col).mapInPandas(encode, "doc_id long, ids binary"))
 
 
 def decode(ids: bytes, pieces: list[bytes]) -> bytes:
@@ -298,13 +127,12 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
         pieces = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             pieces[rank] = token
-        for part in _documents(parts):
+        for own, ids in _encoded(parts, path or public_tokenizers.path(RANKS)):
             yield pd.DataFrame({
-                "doc_id": part["doc_id"],
-                "n_tokens": [len(i) // 4 for i in part["ids"]],
-                "ids_sha256": [hashlib.sha256(i).hexdigest() for i in part["ids"]],
-                "decoded_sha256": [hashlib.sha256(decode(i, pieces)).hexdigest() for i in part["ids"]]})
-
-    with scratch_folder(docs.sparkSession, "byte-bpe") as folder:
-        return materialize(_encoded(docs, id_col, text_col, path, folder).mapInPandas(
-            digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
+                "doc_id": own.astype("Int64").array,
+                "n_tokens": [len(i) // 4 for i in ids],
+                "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids],
+                "decoded_sha256": [hashlib.sha256(decode(i, pieces)).hexdigest() for i in ids]})
+
+    return materialize(_texts(docs, id_col, text_col).mapInPandas(
+        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))

@@ -69,3 +69,30 @@ def test_pattern_for_latin_text_splits_alike():
 
 def test_empty_table(spark):
     assert B.digests(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_words_are_merged_in_the_task_without_a_shuffle(spark, reference):
+    from salesforge.llm import word_merges as W
+
+    rng = random.Random(11)
+    words = ["".join(rng.choice("aeinrst é日\n1") for _ in range(n)) for n in [*range(1, 70), 200] for _ in range(20)]
+    table = B.word_ids(P.path(B.RANKS))
+    got = table.encode([[w] for w in words] + [[], words])
+    want = [np.array(reference._encode_single_piece(w.encode()), "<u4").tobytes() for w in words]
+    assert got == [*want, b"", b"".join(want)]
+    plans = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(B, "materialize", lambda df: plans.append(df._jdf.queryExecution().toString()) or df)
+        B.digests(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    assert len(plans) == 1 and "Exchange" not in plans[0] and "Generate" not in plans[0]
+    assert [*W.chunks_of(["x" * W.CHUNK_CHARS, "a", "b"])] == [(0, 1), (1, 3)]
+
+
+def test_a_full_table_begins_anew(reference, monkeypatch):
+    from salesforge.llm import word_merges as W
+
+    monkeypatch.setattr(W, "CACHED_WORDS", 3)
+    table = B.word_ids(P.path(B.RANKS))
+    for text in ["a bc de fgh ijkl", "ijkl zz y", "a b", "", "a b ttt qqq rrr"]:
+        words = B.splitter()(text)
+        assert np.frombuffer(table.encode([words])[0], "<u4").tolist() == reference.encode_ordinary(text)
