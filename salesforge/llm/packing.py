@@ -27,34 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, text_or_empty, word_pattern
+from .word_merges import RankedPairs, WordIds, chunks_of
 
 WINDOW = 1024
 CLOSING_ID = 0
 VOCABULARY = "byte_bpe_50k.json"
 PIECES_PER_GROUP = 8192
-CACHED_WORDS = 300_000
-
-
-class _Words(dict):
-    """Little-endian ids of each word: a bounded cache before the tokenizer.
-
-    When it is full it becomes the older half, from which words that turn up again are taken back.
-    """
-
-    def __init__(self, encode: Callable[[str], list[int]]):
-        self.encode = encode
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.pop(word, None)
-        if ids is None:
-            ids = np.array(self.encode(word), "<u4").tobytes()
-        if len(word) <= 64:
-            if len(self) >= CACHED_WORDS // 2:
-                self.older = dict(self)
-                self.clear()
-            self[word] = ids
-        return ids
 
 
 def byte_characters() -> dict[int, str]:
@@ -66,46 +44,57 @@ def byte_characters() -> dict[int, str]:
 
 
 @lru_cache(1)
-def token_ids(path: str) -> Callable[[str], bytes]:
-    """A function from a text to its ids as little-endian unsigned 32-bit integers.
-
-    The tokenizer works on each word of its own pattern separately, so its ids of a word are cached.  Added tokens of the
-    vocabulary that stand in a text are cut out first, the longest where several begin, as the tokenizer does.
-    """
+def _vocabulary(path: str) -> tuple[dict, RankedPairs, Callable[[bytes], list[int]]]:
+    """(added tokens with their ids, the ranked merges, the model's ids of a word that is too long for them)."""
     import json
     import os
 
-    import regex
     from tokenizers import Tokenizer
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    tokenizer = Tokenizer.from_file(path)
-    model, characters = tokenizer.model, byte_characters()
-
-    def ids_of_word(word: str) -> list[int]:  # the model alone: a word is split already
-        return [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(characters))]
-
-    words = _Words(ids_of_word)
-    latin, beyond = word_pattern(public_tokenizers.PATTERN)
-    full = regex.compile(public_tokenizers.PATTERN)
-
-    def encode_plain(text: str) -> bytes:
-        pattern = full if beyond.search(text) else latin
-        return b"".join(map(words.__getitem__, pattern.findall(text)))
-
     with open(path, encoding="utf-8") as f:
-        tokens = json.load(f).get("added_tokens") or []
+        content = json.load(f)
+    tokens, model = content.get("added_tokens") or [], content["model"]
     if any(t.get(flag) for t in tokens for flag in ("single_word", "lstrip", "rstrip")):
         raise ValueError("added tokens that depend on their surroundings are not supported")
+    if any(model.get(flag) for flag in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
+        raise ValueError("the vocabulary is not one of plain merges")
     added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in tokens if t["content"]}
-    if not added:
-        return encode_plain
+    ids, characters = model["vocab"], byte_characters()
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    left, right, made = np.array([(ids[a], ids[b], ids[a + b]) for a, b in merges], np.int64).reshape(-1, 3).T
+    pairs = RankedPairs([ids[characters[b]] for b in range(256)], left, right, np.arange(len(merges)), made)
+    plain = Tokenizer.from_file(path).model
+
+    def ids_of_word(word: bytes) -> list[int]:  # the model alone: a word is split already
+        return [t.id for t in plain.tokenize(word.decode("latin-1").translate(characters))]
+
+    return added, pairs, ids_of_word
+
+
+def token_ids(path: str) -> Callable[[list[str]], list[bytes]]:
+    """A function from texts to the ids of each as little-endian unsigned 32-bit integers.
+
+    The tokenizer works on each word of its own pattern separately: the distinct words are merged together.  Added tokens
+    of the vocabulary that stand in a text are cut out first, the longest where several begin, as the tokenizer does.
+    """
+    import regex
+
+    added, pairs, ids_of_word = _vocabulary(path)
+    words = WordIds(pairs, ids_of_word)
+    latin, beyond = word_pattern(public_tokenizers.PATTERN)
+    full = regex.compile(public_tokenizers.PATTERN)
     cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
 
-    def encode(text: str) -> bytes:
-        if not any(t in text for t in added):
-            return encode_plain(text)
-        return b"".join(added[part] if part in added else encode_plain(part) for part in cut.split(text))
+    def split(text: str) -> list[str]:
+        return (full if beyond.search(text) else latin).findall(text)
+
+    def encode(texts: list[str]) -> list[bytes]:
+        if not any(t in text for text in texts for t in added):
+            return words.encode([split(text) for text in texts])
+        parts = [cut.split(text) for text in texts]
+        plain = iter(words.encode([split(p) for own in parts for p in own if p not in added]))
+        return [b"".join([added[p] if p in added else next(plain) for p in own]) for own in parts]
 
     return encode
 
@@ -118,9 +107,10 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = token_ids(vocabulary or public_tokenizers.path(VOCABULARY))
         for part in parts:
-            rows = []
-            for doc, text in zip(part["doc_id"], part["text"], strict=True):
-                ids = encode(text) + closing
+            rows, encoded = [], (ids for begin, end in chunks_of(part["text"])
+                                 for ids in encode(part["text"].iloc[begin:end].tolist()))
+            for doc, ids in zip(part["doc_id"], encoded, strict=True):
+                ids += closing
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     piece = ids[4 * start: 4 * (start + window)]

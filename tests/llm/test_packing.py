@@ -77,3 +77,13 @@ def test_sequences_are_padded_but_at_powers_of_two(spark):
 
 def test_empty_table(spark):
     assert K.pack_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_words_of_many_lengths_have_the_tokenizers_ids():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("aeinrst  é日\n12") for _ in range(rng.randint(0, 400))) for _ in range(200)]
+    texts += ["x" * n for n in (1, 2, 63, 64, 65, 66, 700)] + ["é" * 40, "a<|endoftext|>" * 3]
+    tokenizer, encode = Tokenizer.from_file(P.path(K.VOCABULARY)), K.token_ids(P.path(K.VOCABULARY))
+    for got in (encode(texts), encode(texts[::-1])[::-1]):  # the second time from the table
+        for text, ids in zip(texts, got, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
