@@ -40,6 +40,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -281,6 +282,12 @@ class _WordTable(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
+def _give_back() -> None:
+    """At a task's end: a worker stays for later tasks, also of other operators, and would keep the table beside theirs."""
+    _words.clear()
+    pa.default_memory_pool().release_unused()
+
+
 _words = _WordTable()
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -367,6 +374,7 @@ def scan_udf(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             base.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
             own.append(seeds(text, found))
         yield pd.DataFrame({"base": base, "seeds": own})
+    _give_back()
 
 
 scan_udf = scan_udf.asNondeterministic()
@@ -486,6 +494,7 @@ def _pattern_fillers(docs: DataFrame, patterns: DataFrame) -> DataFrame:
                         rows += found.add(slots)
                     held, size = [], 0
             yield pd.DataFrame(rows, columns=["pattern", "value", "wide", "narrow"])
+        _give_back()
 
     return docs.select("text").mapInPandas(
         collect, "pattern string, value string, wide boolean, narrow boolean").join(patterns, "pattern")
@@ -509,6 +518,7 @@ def _slots(docs: DataFrame, patterns: DataFrame | None, values: DataFrame | None
                     out += slots_at(held, *tests)
                     held, size = [], 0
             yield pd.Series(out + slots_at(held, *tests), dtype=object)
+        _give_back()
 
     return docs.select("id", "text_hash", F.explode(look.asNondeterministic()("text")).alias("s")).select(
         "id", "text_hash", "s.*")

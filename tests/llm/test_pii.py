@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import pandas as pd
+
 from salesforge.llm import pii
 from tests.llm import brute
 
@@ -157,3 +159,18 @@ def test_verdict_column(spark):
     df, docs = _rows(spark)
     got = {r["doc_id"]: r["has_pii"] for r in pii.entities(df).collect()}
     assert got == {d: bool(brute.base_spans(t)) or d == 10 for d, t, *_ in docs}
+
+
+def test_a_task_leaves_no_words_in_its_worker(spark):
+    docs = spark.createDataFrame([(k, f"mail to user{k}@example.org or call {k}") for k in range(50)],
+                                 "doc_id long, text string").repartition(1)
+
+    def held(parts):
+        for part in parts:
+            yield part
+        yield pd.DataFrame({"n": [len(pii._words)]})
+
+    values = spark.createDataFrame([("call",)], "value string")
+    assert pii._slots(pii._keyed(docs, "doc_id", "text"), None, values).count() == 50
+    left = spark.range(0, 8, 1, 8).where("id < 0").withColumnRenamed("id", "n").mapInPandas(held, "n long").collect()
+    assert {r["n"] for r in left} == {0}
