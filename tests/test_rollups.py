@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from salesforge.operators import etl
 from salesforge.plans import rollups
+from salesforge.session import compiled_methods
+from salesforge.schema import RAW_COLUMNS
 from salesforge.sources.tables import raw_lines
 from salesforge.streaming import daily_ingest, weekly_stream
 from tests.conftest import SMALL
@@ -76,6 +78,31 @@ def _raw(spark, rows):
         "ingest_supp long, ingest_price double, ingest_copy int")
 
 
+def test_new_lines_meet_the_stored_keys_in_one_exchange(spark, tmp_path):
+    lines, day = f"{tmp_path}/lines", dt.date(2023, 1, 5)
+    daily_ingest.store_batch(_raw(spark, [(1, day, 5.0, 0), (2, None, 5.0, 0)]), lines, "q-0")
+    batch = _raw(spark, [(1, day, 4.0, 0), (2, None, 5.0, 0), (3, day, 7.0, 1), (3, day, 6.0, 0), (4, None, 1.0, 0)])
+    new = daily_ingest._new_lines(spark, batch, lines, "q-1")
+    plan = _plan(new)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert sorted((r.order_id, r.unit_price) for r in new.collect()) == [(3, 6.0), (4, 1.0)]
+    assert new.columns == [*RAW_COLUMNS, "order_month"]
+
+
+def test_streams_run_in_methods_that_are_compiled(spark, tmp_path, monkeypatch):
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name)
+    monkeypatch.setattr(daily_ingest, "store_batch", lambda batch, *_: seen.append(batch.sparkSession.conf.get(name)))
+    landing = daily_ingest.drop_exports(_raw(spark, [(1, dt.date(2023, 1, 5), 5.0, 0)]), f"{tmp_path}/landing")
+    daily_ingest.run_daily_ingest(spark, landing, f"{tmp_path}/lines", f"{tmp_path}/ck")
+    assert seen == ["8000"] and spark.conf.get(name) == before
+    try:
+        with compiled_methods(spark):
+            raise KeyError
+    except KeyError:
+        assert spark.conf.get(name) == before
+
+
 def test_weekly_stream_drops_what_is_later_than_the_watermark(spark, tmp_path):
     day = lambda n: dt.date(2023, 1, 1) + dt.timedelta(days=n)
     landing, base = f"{tmp_path}/landing", f"{tmp_path}/stream"
