@@ -103,6 +103,19 @@ def test_streams_run_in_methods_that_are_compiled(spark, tmp_path, monkeypatch):
         assert spark.conf.get(name) == before
 
 
+def test_a_drop_makes_its_rows_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for pdf in frames:
+            made.add(len(pdf))
+            yield pdf
+
+    raw = _raw(spark, [(k, dt.date(2023, 1, 5), 5.0, 0) for k in range(50)])
+    path = weekly_stream.write_drop(raw.mapInPandas(counted, raw.schema), f"{tmp_path}/drop")
+    assert made.value == 50 == spark.read.option("header", True).csv(path).count()
+
+
 def test_weekly_stream_drops_what_is_later_than_the_watermark(spark, tmp_path):
     day = lambda n: dt.date(2023, 1, 1) + dt.timedelta(days=n)
     landing, base = f"{tmp_path}/landing", f"{tmp_path}/stream"
