@@ -268,12 +268,12 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     bits = nodes.sparkSession.sparkContext.broadcast(
         bloom.build(wanted.select(F.xxhash64("id").alias("h")), "h", n_wanted))
 
-    @pandas_udf(T.BooleanType())
-    def maybe_wanted(hashes: pd.Series) -> pd.Series:
-        return pd.Series(bloom.might_contain(bits.value, hashes.to_numpy(np.int64)))
+    def wanted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # one Python worker a task: a filter by itself would be a second one beside it, which stays for later tasks
+        return _whole_sets(b.filter(pa.array(bloom.might_contain(bits.value, b.column("h").to_numpy()))) for b in batches)
 
-    sets = (docs.where(F.col("id").isNotNull()).where(maybe_wanted(F.xxhash64("id")))
-            .mapInArrow(_whole_sets, "id long, digest binary, set array<long>")
+    sets = (docs.where(F.col("id").isNotNull()).withColumn("h", F.xxhash64("id"))
+            .mapInArrow(wanted_sets, "id long, digest binary, set array<long>")
             .join(wanted, ["id", "digest"]).dropDuplicates(["node"]).select("node", "set"))
     sets = materialize(sets)
     return small.union(

@@ -42,7 +42,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -65,8 +65,8 @@ ACCEPT = 0.7
 RUN_DIGITS = 19  # of the longest card: a run of number tokens with more is not one number
 WHOLE_DIGITS = 8  # of the shortest phone: a token with as many is a number by itself
 LONG_WORD = 64  # longer words stand in a pattern as a digest
-CACHED_WORDS = 200_000
-CHUNK = 1 << 20  # code points of text that are looked through at once
+CACHED_WORDS = 1 << 15  # in each worker; the frequent ones are soon there again
+CHUNK = 1 << 17  # code points of text that are looked through at once
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = re.compile(r"[0-9]+")
@@ -570,6 +570,12 @@ def _weigh(places: DataFrame, conf: DataFrame) -> tuple[DataFrame, DataFrame]:
     return materialize(accepted), materialize(weights)
 
 
+def _no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty frame that the JVM makes: ``createDataFrame`` would start Python workers of another kind to read none."""
+    fields = (f.strip().split(" ") for f in schema.split(","))
+    return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in fields])
+
+
 def _scores(docs: DataFrame, seed_edges: DataFrame, limited: bool = True) -> tuple[DataFrame, DataFrame]:
     """What all rounds find: (pattern, kind, score) confident and (value, kind, score) accepted.
 
@@ -578,11 +584,11 @@ def _scores(docs: DataFrame, seed_edges: DataFrame, limited: bool = True) -> tup
     """
     spark = docs.sparkSession
     sown = seed_edges.withColumn("weight", F.lit(1.0))
-    conf = spark.createDataFrame([], "pattern string, kind string, conf double")
-    accepted = spark.createDataFrame([], "value string, kind string, score double")
-    edges = spark.createDataFrame([], "pattern string, value string, wide boolean, narrow boolean")
-    places = spark.createDataFrame([], "value string, wide boolean, narrow boolean, patterns array<string>, n long")
-    known = spark.createDataFrame([], "pattern string, limit long")  # the limit up to which fillers were asked for
+    conf = _no_rows(spark, "pattern string, kind string, conf double")
+    accepted = _no_rows(spark, "value string, kind string, score double")
+    edges = _no_rows(spark, "pattern string, value string, wide boolean, narrow boolean")
+    places = _no_rows(spark, "value string, wide boolean, narrow boolean, patterns array<string>, n long")
+    known = _no_rows(spark, "pattern string, limit long")  # the limit up to which fillers were asked for
     weights, tried = sown, seed_edges.select("value").distinct()
     new = materialize(_supported(seed_edges, limited))
     before = now = (0, 0, 0)

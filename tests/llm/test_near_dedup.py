@@ -93,3 +93,19 @@ def test_components_of_long_paths_and_stars(spark):
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "u long, v long")).collect()))
     want = {i: 100 for i in range(100, 141)} | {i: 7 for i in range(7, 60)} | {60: 60, 65: 60, 70: 60}
     assert got == want
+
+
+def test_a_task_has_one_python_worker(spark, monkeypatch):
+    plans, whole = [], N.materialize
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return whole(df)
+
+    monkeypatch.setattr(N, "materialize", noted)
+    docs = _docs()
+    got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(
+        spark.createDataFrame(_rows(docs.items()), SCHEMA)).collect()}
+    assert got == brute.components(docs)
+    assert any("MapInArrow" in p for p in plans)
+    assert not any("MapInArrow" in p and "ArrowEvalPython" in p for p in plans)

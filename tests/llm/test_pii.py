@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pandas as pd
 
 from salesforge.llm import pii
@@ -174,3 +175,33 @@ def test_a_task_leaves_no_words_in_its_worker(spark):
     assert pii._slots(pii._keyed(docs, "doc_id", "text"), None, values).count() == 50
     left = spark.range(0, 8, 1, 8).where("id < 0").withColumnRenamed("id", "n").mapInPandas(held, "n long").collect()
     assert {r["n"] for r in left} == {0}
+
+
+def test_the_look_up_holds_little_of_a_long_input():
+    import tracemalloc
+
+    values = np.zeros((1, 8), np.uint64)
+    tracemalloc.start()
+    try:
+        for k in range(40):
+            pii.slots_at([" ".join(f"w{k}x{j}" for j in range(5000))], None, values)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        pii._give_back()
+    assert peak < 16 << 20
+
+
+def test_no_rows_need_no_python_worker(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "mail to user@example.org now")], "doc_id long, text string")
+    keyed = pii._keyed(docs, "doc_id", "text")
+    scanned = pii.scan(keyed)
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("rows of the driver are read by Python workers of another kind")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    assert pii.discover(keyed, scanned).count() == 0
+    none = pii._no_rows(spark, "value string, wide boolean, patterns array<string>, n long")
+    assert none.count() == 0 and none.schema.simpleString() == (
+        "struct<value:string,wide:boolean,patterns:array<string>,n:bigint>")
