@@ -218,9 +218,14 @@ def clean_fact(raw: DataFrame, strict: bool = False) -> DataFrame:
     return repaired_fact(imputed_lines(raw))
 
 
-def imputed_lines(raw: DataFrame) -> DataFrame:
-    """The steps that need other lines: dedup -> impute price.  The supplied revenue figures are left behind."""
-    return dedup_lines(raw.drop(*REVENUE_COLUMNS)).transform(impute_price_median)
+def unique_lines(raw: DataFrame) -> DataFrame:
+    """The deduplicated lines.  The supplied revenue figures are left behind."""
+    return dedup_lines(raw.drop(*REVENUE_COLUMNS))
+
+
+def imputed_lines(raw: DataFrame, medians: DataFrame | None = None) -> DataFrame:
+    """The steps that need other lines: dedup -> impute price (by ``medians`` where they are known already)."""
+    return impute_price_median(unique_lines(raw), medians)
 
 
 def repaired_fact(lines: DataFrame) -> DataFrame:

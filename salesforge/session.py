@@ -81,6 +81,21 @@ def part_of_key_suffices(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Jobs in this block, and streams started in it, give their shuffle files back when they end.
+
+    Otherwise the files of finished jobs stay until the driver happens to collect its garbage, beside those of the next.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def compiled_methods(spark: SparkSession) -> Iterator[None]:
     """Jobs in this block, and streams started in it, run no generated method that the JVM leaves uncompiled.

@@ -18,9 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_text
-from ..operators.etl import backfill_region, imputed_lines, repaired_fact
+from ..operators.etl import (backfill_region, imputed_lines, median_of_histogram, price_histogram, repaired_fact,
+                             unique_lines)
+from ..plans.physical import materialize
+from ..plans.slices import sliced
 from ..schema import FACT_COLUMNS, FACT_SCHEMA
-from ..session import delete_path, part_of_key_suffices, replace_path, scratch_dir
+from ..session import delete_path, part_of_key_suffices, replace_path, scratch_dir, shuffles_go
 from .tables import raw_lines
 
 STAR_TABLES = ["lineitem", "orders", "customer", "nation", "region", "part"]
@@ -50,21 +53,32 @@ def write_by_month(df: DataFrame, path: str, mode: str = "overwrite",
     ``derive`` makes the rows that are written from the ranged ones, row by row,
     so that columns which follow from others need not be moved.
     """
+    return _write_slices([df], path, mode, cluster, replace, derive)
+
+
+def _write_slices(slices: list[DataFrame], path: str, mode: str = "overwrite",
+                  cluster: tuple[str, ...] = ("region", "category"), replace: str = "static",
+                  derive: Callable[[DataFrame], DataFrame] | None = None) -> str:
+    """``write_by_month`` of the rows of all slices, one after the other."""
+    spark = slices[0].sparkSession
     whole = mode == "overwrite" and replace == "static"
     target = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}" if whole else path
     try:
-        ranged = df.repartitionByRange("order_month", *cluster, "order_id")
-        (ranged.transform(derive or (lambda rows: rows))
-           .sortWithinPartitions("order_month", *cluster)
-           .write.mode(mode)
-           .option("partitionOverwriteMode", replace)
-           .partitionBy("order_month")
-           .parquet(target))
+        for i, df in enumerate(slices):
+            ranged = df.repartitionByRange("order_month", *cluster, "order_id")
+            with shuffles_go(spark):
+                (ranged.transform(derive or (lambda rows: rows))
+                   .sortWithinPartitions("order_month", *cluster)
+                   .write.mode("append" if i else mode)
+                   .option("partitionOverwriteMode", replace)
+                   .option("compression", "zstd")
+                   .partitionBy("order_month")
+                   .parquet(target))
         if whole:
-            replace_path(df.sparkSession, target, path)
+            replace_path(spark, target, path)
     finally:
         if whole:
-            delete_path(df.sparkSession, target)
+            delete_path(spark, target)
     return path
 
 
@@ -78,11 +92,31 @@ def load_fact(raw: DataFrame, path: str) -> str:
 
     The steps that need one line only run behind the exchange of the write.
     The lines of ``raw`` come from a join on the order, which is part of their
-    key: they are deduplicated where they lie.
+    key: they are deduplicated where they lie.  A large ``raw`` is loaded in
+    slices of orders, since its shuffles are several times as large as itself:
+    first all slices are counted for the medians, then they are written.
     """
-    lines = backfill_region(imputed_lines(raw)).withColumn("order_month", month_text("order_date"))
+    def lines(part: DataFrame, medians: DataFrame | None) -> DataFrame:
+        return backfill_region(imputed_lines(part, medians)).withColumn("order_month", month_text("order_date"))
+
+    parts = sliced(raw, "order_id")
     with part_of_key_suffices(raw.sparkSession):
-        return write_by_month(lines, path, derive=repaired_fact)
+        medians = _medians_of(parts, f"{path.rstrip('/')}.prices-{uuid.uuid4().hex[:8]}") if len(parts) > 1 else None
+        return _write_slices([lines(part, medians) for part in parts], path, derive=repaired_fact)
+
+
+def _medians_of(parts: list[DataFrame], scratch: str) -> DataFrame:
+    """(category, median_price) over the deduplicated lines of all slices; their histograms lie in ``scratch`` meanwhile."""
+    spark = parts[0].sparkSession
+    try:
+        with shuffles_go(spark):
+            for part in parts:
+                price_histogram(unique_lines(part)).write.mode("append").parquet(scratch)
+            whole = (spark.read.schema("category string, unit_price double, _cnt long").parquet(scratch)
+                     .groupBy("category", "unit_price").agg(F.sum("_cnt").alias("_cnt")))
+            return materialize(median_of_histogram(whole))
+    finally:
+        delete_path(spark, scratch)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
