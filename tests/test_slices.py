@@ -10,6 +10,7 @@ from salesforge.operators import etl
 from salesforge.plans import slices
 from salesforge.session import delete_path
 from salesforge.sources import warehouse
+from salesforge.streaming import daily_ingest
 from tests.test_rollups import _raw
 
 COPY = ["order_id", "sku", "unit_price", "net_revenue", "order_month"]
@@ -78,6 +79,22 @@ def test_a_load_gives_its_shuffle_files_back(spark, tmp_path):
     assert not _shuffle_files(spark) - before
 
 
+def test_daily_ingest_of_a_sliced_drop(spark, tmp_path, four_slices, monkeypatch):
+    raw = _stored(spark, f"{tmp_path}/raw", _lines())
+    before = _shuffle_files(spark)
+    landing = daily_ingest.drop_exports(raw, f"{tmp_path}/landing")
+    assert len(four_slices) == 1
+    files = [f for _, _, names in os.walk(landing) for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(f".csv.{daily_ingest.DROP_CODEC}") for f in files)
+    monkeypatch.setattr(daily_ingest, "SLICE_BYTES", 1)  # a batch takes one file at least
+    for name in ("ck", "ck-2"):
+        daily_ingest.run_daily_ingest(spark, landing, f"{tmp_path}/lines", f"{tmp_path}/{name}")
+        assert len([f for f in os.listdir(f"{tmp_path}/{name}/commits") if f.isdigit()]) == len(files)
+    assert not _shuffle_files(spark) - before
+    got = daily_ingest.fact_from_lines(spark, f"{tmp_path}/lines").select(*COPY)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, etl.clean_fact(raw).select(*COPY).collect()))
+
+
 def test_a_failed_slice_leaves_the_old_table(spark, tmp_path, four_slices, monkeypatch):
     raw = _stored(spark, f"{tmp_path}/raw", _lines())
     path = warehouse.load_fact(raw, f"{tmp_path}/fact")
