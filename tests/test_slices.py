@@ -10,7 +10,7 @@ from salesforge.operators import etl
 from salesforge.plans import slices
 from salesforge.session import delete_path
 from salesforge.sources import warehouse
-from salesforge.streaming import daily_ingest
+from salesforge.streaming import daily_ingest, weekly_stream
 from tests.test_rollups import _raw
 
 COPY = ["order_id", "sku", "unit_price", "net_revenue", "order_month"]
@@ -95,6 +95,20 @@ def test_daily_ingest_of_a_sliced_drop(spark, tmp_path, four_slices, monkeypatch
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, etl.clean_fact(raw).select(*COPY).collect()))
 
 
+def test_weekly_stream_of_a_sliced_drop(spark, tmp_path, four_slices):
+    raw = _stored(spark, f"{tmp_path}/raw", _lines())
+    before = _shuffle_files(spark)
+    path = weekly_stream.write_drop(raw, f"{tmp_path}/landing/1")
+    assert len(four_slices) == 1 and all(f.endswith(f".csv.{daily_ingest.DROP_CODEC}")
+                                         for f in os.listdir(path) if f.startswith("part-"))
+    weekly_stream.run_weekly_stream(spark, f"{tmp_path}/landing", f"{tmp_path}/stream")
+    assert not _shuffle_files(spark) - before
+    week = F.date_sub("order_date", F.dayofweek("order_date") - 1).alias("week")
+    want = etl.clean_fact(raw).groupBy(week).agg(F.sum(F.col("net_revenue").cast("decimal(18,2)")).cast("double"))
+    got = weekly_stream.weekly_revenue_of(spark, f"{tmp_path}/stream")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_a_failed_slice_leaves_the_old_table(spark, tmp_path, four_slices, monkeypatch):
     raw = _stored(spark, f"{tmp_path}/raw", _lines())
     path = warehouse.load_fact(raw, f"{tmp_path}/fact")
