@@ -36,7 +36,7 @@ import hashlib
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from ..plans.slices import input_bytes
 from . import bloom
 from .common import concat_spans, materialize, scratch_column, text_or_empty
 
@@ -248,12 +249,19 @@ _FLAGS = 3
 
 
 def _hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+    try:
+        return xxhash.xxh3_64_intdigest(word)  # of its UTF-8
+    except UnicodeEncodeError:
+        return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+
+
+def _flagged(word: str, bare: str, hashed: int) -> int:
+    return (hashed & ~_FLAGS) | _OPEN * (word[:1] in _STRIP) | _NUMERIC * (bare[:1] in _RUN_START)
 
 
 def _value_hash(word: str) -> int:
     bare = word.strip(_STRIP)
-    return (_hash(bare) & ~_FLAGS) | _OPEN * (word[:1] in _STRIP) | _NUMERIC * (bare[:1] in _RUN_START)
+    return _flagged(word, bare, _hash(bare))
 
 
 class _WordTable(dict):
@@ -268,8 +276,13 @@ class _WordTable(dict):
         if i == len(self.value):
             self.value, self.before, self.after = (
                 np.concatenate([x, np.empty_like(x)]) for x in (self.value, self.before, self.after))
+        bare = word.strip(_STRIP)
+        h = _hash(bare)
+        self.value[i] = _flagged(word, bare, h)
+        if len(word) <= LONG_WORD and not _DIGIT.search(bare):  # stands in patterns as it is
+            self.before[i], self.after[i] = h if len(bare) == len(word) else _hash(word), h
+            return i
         normal = _DIGIT.sub("0", word)
-        self.value[i] = _value_hash(word)
         self.before[i], self.after[i] = _hash(_short(normal)), _hash(_short(normal.strip(_STRIP)))
         self.long |= len(word) > LONG_WORD
         return i
@@ -500,6 +513,38 @@ def _pattern_fillers(docs: DataFrame, patterns: DataFrame) -> DataFrame:
         collect, "pattern string, value string, wide boolean, narrow boolean").join(patterns, "pattern")
 
 
+# Of inputs beyond this, the fillers are gathered in growing shares of the texts: up to these 64ths of them.
+SHARE_BYTES = 64 << 20
+_SHARES, _PARTS = (1, 8, 64), 64
+
+
+def _fillers_of(docs: DataFrame, patterns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pattern, value, wide, narrow), fillers of ``patterns`` (pattern, limit), and (pattern, limit) of the common ones.
+
+    A pattern that has more fillers than its limit in a share of the texts has them in all texts: its fillers are left out,
+    and no later share looks for them.  A limit grows with the corpus, so a task by itself seldom finds out.
+    """
+    share, before, common = F.pmod("text_hash", F.lit(_PARTS)), 0, []
+    edges, asked = _no_rows(docs.sparkSession, "pattern string, value string, wide boolean, narrow boolean"), patterns
+    for upto in _SHARES if input_bytes(docs) > SHARE_BYTES else (_PARTS,):
+        some = docs.where((share >= before) & (share < upto)) if (before, upto) != (0, _PARTS) else docs
+        filled = materialize(_pattern_fillers(some, asked))
+        rows = edges.union(filled.where(F.col("value").isNotNull()).select("pattern", "value", "wide", "narrow"))
+        gone = filled.where(F.col("value").isNull()).select("pattern", "limit").distinct()
+        if upto < _PARTS:
+            rows = materialize(rows.groupBy("pattern", "value").agg(
+                F.max("wide").alias("wide"), F.max("narrow").alias("narrow")))
+            over = (rows.groupBy("pattern").agg(F.least(F.count_if("wide"), F.count_if("narrow")).alias("n"))
+                    .join(asked, "pattern").where("n > limit").select("pattern", "limit"))
+            gone = materialize(gone.union(over).distinct())
+            asked, before = materialize(asked.join(gone, "pattern", "left_anti")), upto
+        common.append(gone)
+        edges = rows.join(gone, "pattern", "left_anti")
+        if upto < _PARTS and asked.isEmpty():
+            break
+    return edges, reduce(DataFrame.union, common)
+
+
 def _slots(docs: DataFrame, patterns: DataFrame | None, values: DataFrame | None) -> DataFrame:
     """(id, text_hash, slot columns) of the slots that may have one of the patterns or of the values."""
     bits = docs.sparkSession.sparkContext.broadcast(
@@ -594,11 +639,10 @@ def _scores(docs: DataFrame, seed_edges: DataFrame, limited: bool = True) -> tup
     before = now = (0, 0, 0)
     while not new.isEmpty() or before != now:
         if not new.isEmpty():
-            filled = materialize(_pattern_fillers(docs, new))
-            common = filled.where(F.col("value").isNull()).select("pattern", "limit").distinct()
+            filled, common = _fillers_of(docs, new)
             seeded = seed_edges.join(new, "pattern").select("pattern", "value", F.lit(True).alias("wide"),
                                                             F.lit(True).alias("narrow"))
-            rows = filled.where(F.col("value").isNotNull()).select("pattern", "value", "wide", "narrow").union(seeded)
+            rows = filled.union(seeded)
             edges = materialize(edges.union(rows.join(common, "pattern", "left_anti").groupBy("pattern", "value").agg(
                 F.max("wide").alias("wide"), F.max("narrow").alias("narrow"))))
             whole = new.join(common, "pattern", "left_anti").select("pattern", F.lit(1 << 62).alias("limit"))

@@ -205,3 +205,23 @@ def test_no_rows_need_no_python_worker(spark, monkeypatch):
     none = pii._no_rows(spark, "value string, wide boolean, patterns array<string>, n long")
     assert none.count() == 0 and none.schema.simpleString() == (
         "struct<value:string,wide:boolean,patterns:array<string>,n:bigint>")
+
+
+def test_patterns_that_are_common_in_a_share_are_not_looked_for_again(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SHARE_BYTES", -1)
+    asked, plain = [], pii._pattern_fillers
+
+    def noted(docs, patterns):
+        asked.append({r[0] for r in patterns.select("pattern").collect()})
+        return plain(docs, patterns)
+
+    monkeypatch.setattr(pii, "_pattern_fillers", noted)
+    # each task sees one filler or two of the first pattern, far below its limit; the second has one filler in all
+    texts = [f"they said w{k:03d}x today" for k in range(600)] + ["write to zed9 now"] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(300)
+    patterns = spark.createDataFrame([("they said", 4), ("write to", 4)], "pattern string, limit long")
+    found, common = pii._fillers_of(pii._keyed(docs, "doc_id", "text"), patterns)
+    assert [sorted(x) for x in asked][0] == ["they said", "write to"]
+    assert len(asked) == 3 and all(x == {"write to"} for x in asked[1:])
+    assert [tuple(r) for r in common.distinct().collect()] == [("they said", 4)]
+    assert {tuple(r) for r in found.collect()} == {("write to", "zed9", True, True)}
